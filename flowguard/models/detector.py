@@ -127,12 +127,8 @@ class AnomalyDetector(Estimator, _DetectorParams, DefaultParamsReadable, Default
         if recon is None:
             return kmeans.fit(data).state["centres"]
         assembler = VectorAssembler(inputCols=[column, "recon_error"], outputCol="_augmented")
-        space = assembler.transform(recon.transform(data)).select("_augmented").persist()
-        try:
-            kmeans._set(featuresCol="_augmented")
-            return kmeans.fit(space).state["centres"]
-        finally:
-            space.unpersist()
+        kmeans._set(featuresCol="_augmented")
+        return kmeans.fit(assembler.transform(recon.transform(data))).state["centres"]
 
 
 class AnomalyDetectorModel(ArrayModel, _DetectorParams):

@@ -161,8 +161,8 @@ def _tree_builder(rows: int, depth: int, seed: int):
                 path[node - inner] = level + average_path(len(members))
                 continue
             f = rng.choice(able)
-            # In (low, high]: both sides get at least one row.
-            at = high[f] - rng.random() * (high[f] - low[f])
+            # In (low, high], also after rounding: both sides get at least one row.
+            at = max(high[f] - rng.random() * (high[f] - low[f]), np.nextafter(low[f], high[f]))
             feature[node], cut[node] = f, at
             goes_right = part[:, f] >= at
             waiting.append((2 * node + 1, level + 1, members[~goes_right]))

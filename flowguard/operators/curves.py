@@ -8,7 +8,7 @@ before it. Only the bucket totals (``buckets`` rows) meet in one place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.cleaning import ratio
@@ -24,17 +24,15 @@ def score_counts(df: DataFrame, label: str, score: str, digits: int | None = Non
               .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
-def _bucket(score: Column, edges: Column) -> Column:
-    return F.size(F.filter(edges, lambda e: e < score))
-
-
 def running_counts(counts: DataFrame, buckets: int | None = None) -> DataFrame:
     """Add running ``tp`` and ``fp`` from the highest score down, this score included, and
     the totals ``n_pos`` and ``n_neg``."""
     buckets = buckets or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / buckets for i in range(1, buckets)] or [0.5]
     edges = counts.agg(F.percentile_approx("score", probs, 100 * buckets)).scalar()
-    placed = counts.withColumn("bucket", _bucket(F.col("score"), edges))
+    # Through a column of its own: a subquery may not stand inside a higher-order function.
+    placed = counts.withColumn("edges", edges).withColumn(
+        "bucket", F.size(F.filter("edges", lambda e: e < F.col("score")))).drop("edges")
     # At most `buckets` rows: their running totals may meet in one task, and be broadcast.
     totals = placed.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)

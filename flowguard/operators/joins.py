@@ -39,8 +39,9 @@ def lookup_flows(packets: DataFrame, flows: DataFrame, key: str = "flow_id",
         is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
         left = packets.withColumn(
             "_salt", F.when(is_hot, F.monotonically_increasing_id() % salts).otherwise(0))
-        spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        right = right.withColumn("_salt", F.explode(spread).cast("bigint"))
+        zero = F.lit(0).cast("bigint")
+        spread = F.when(is_hot, F.sequence(zero, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(zero))
+        right = right.withColumn("_salt", F.explode(spread))
         joined = left.join(right, [key, "_salt"], "left").drop("_salt")
     return joined.withColumn("have_flow", F.coalesce("have_flow", F.lit(False)))
 

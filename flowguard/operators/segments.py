@@ -8,7 +8,7 @@ one row per flow and slice. A flow with a third of all packets is spread over it
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,20 +20,26 @@ SLICE_SECONDS = 60
 
 @dataclass(frozen=True)
 class PacketColumns:
-    """Names of the packet columns; optional ones may be None."""
+    """Names of the packet columns; optional ones may be None. Arrival gaps are divided by
+    ``iat_unit``."""
 
     key: str = "flow_id"
     ts: str = "timestamp"
     length: str = "packet_length"
     iat: str | None = None
+    iat_unit: float = 1.0
     flags: tuple[str, ...] = ()
     label: str | None = "Label"
-    attack_type: str | None = None
 
 
-def seconds(ts: Column) -> Column:
-    """Seconds since the epoch with microseconds."""
-    return F.unix_micros(ts) / F.lit(1_000_000.0)
+def micros(ts: Column) -> Column:
+    """Microseconds since the epoch. The session time zone should be UTC when times carry no
+    zone."""
+    return F.unix_micros(ts.cast("timestamp"))
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    return (micros(end) - micros(start)) / F.lit(1_000_000.0)
 
 
 def segment_aggregates(c: PacketColumns) -> list[Column]:
@@ -44,7 +50,8 @@ def segment_aggregates(c: PacketColumns) -> list[Column]:
            F.min(length).alias("pkt_len_min"), F.max(length).alias("pkt_len_max"),
            F.min(c.ts).alias("_first"), F.max(c.ts).alias("_last")]
     if c.iat:
-        out += [F.avg(c.iat).alias("iat_mean"), F.stddev_pop(c.iat).alias("iat_std")]
+        out += [(F.avg(c.iat) / c.iat_unit).alias("iat_mean"),
+                (F.stddev_pop(c.iat) / c.iat_unit).alias("iat_std")]
     out += [F.sum(f).alias(f.replace("flag_", "") + "_count") for f in c.flags]
     if c.label:
         out.append(F.max(c.label).alias("Label"))
@@ -53,7 +60,7 @@ def segment_aggregates(c: PacketColumns) -> list[Column]:
 
 def with_rates(segments: DataFrame) -> DataFrame:
     """Duration and rates; rates of a segment without duration are NULL."""
-    span = seconds(F.col("_last")) - seconds(F.col("_first"))
+    span = seconds_between(F.col("_first"), F.col("_last"))
     return (segments.withColumn("flow_duration", span).drop("_first", "_last")
             .withColumn("flow_packets_per_s", F.try_divide(F.col("total_packets").cast("double"), "flow_duration"))
             .withColumn("flow_bytes_per_s", F.try_divide(F.col("total_bytes").cast("double"), "flow_duration")))
@@ -69,12 +76,12 @@ def flow_segments(packets: DataFrame, c: PacketColumns = PacketColumns(),
 
 
 def _sliced(df: DataFrame, c: PacketColumns, slice_seconds: int) -> DataFrame:
-    return df.withColumn("_slice", F.floor(seconds(F.col(c.ts)) / slice_seconds))
+    return df.withColumn("_slice", F.floor(micros(F.col(c.ts)) / (slice_seconds * 1_000_000)))
 
 
 def _with_gaps(packets: DataFrame, c: PacketColumns, out: str, slice_seconds: int) -> DataFrame:
-    """``with_arrival_gaps`` with the ``_slice`` column kept, so that later steps reuse the
-    partitioning by (flow, slice)."""
+    """``with_arrival_gaps`` in microseconds and with the ``_slice`` column kept, so that
+    later steps reuse the partitioning by (flow, slice)."""
     sliced = _sliced(packets, c, slice_seconds)
     bounds = sliced.groupBy(c.key, "_slice").agg(F.min(c.ts).alias("_first"), F.max(c.ts).alias("_last"))
     over_flow = Window.partitionBy(c.key).orderBy("_slice")
@@ -83,7 +90,7 @@ def _with_gaps(packets: DataFrame, c: PacketColumns, out: str, slice_seconds: in
         F.min("_first").over(over_flow.rowsBetween(Window.unboundedPreceding, 0)).alias("flow_start"))
     inside = Window.partitionBy(c.key, "_slice").orderBy(c.ts)
     previous = F.coalesce(F.lag(c.ts).over(inside), F.col("_carried"))
-    gap = seconds(F.col(c.ts)) - seconds(previous)
+    gap = micros(F.col(c.ts)) - micros(previous)
     return sliced.join(carried, [c.key, "_slice"], "left").withColumn(out, gap).drop("_carried")
 
 
@@ -94,7 +101,8 @@ def with_arrival_gaps(packets: DataFrame, c: PacketColumns = PacketColumns(), ou
     The slice table carries the last time of the previous slice and the flow's start. It is
     joined on (flow, slice), the partitioning the in-slice window needs as well.
     """
-    return _with_gaps(packets, c, out, slice_seconds).drop("_slice")
+    gaps = _with_gaps(packets, c, out, slice_seconds).drop("_slice")
+    return gaps.withColumn(out, F.col(out) / F.lit(1_000_000.0))
 
 
 def flow_segments_relative(packets: DataFrame, c: PacketColumns = PacketColumns(),
@@ -102,10 +110,10 @@ def flow_segments_relative(packets: DataFrame, c: PacketColumns = PacketColumns(
                            slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Segments counted from the flow's first packet: number floor(offset / length), at most
     ``max_segments``, the last one taking the rest. Arrival gaps are derived."""
-    gaps = with_arrival_gaps(packets, c, "_iat", slice_seconds)
-    offset = seconds(F.col(c.ts)) - seconds(F.col("flow_start"))
+    gaps = _with_gaps(packets, c, "_iat", slice_seconds)
+    offset = seconds_between(F.col("flow_start"), F.col(c.ts))
     index = F.least(F.floor(offset / segment_seconds), F.lit(max_segments - 1)).cast("int")
-    columns = PacketColumns(c.key, c.ts, c.length, "_iat", c.flags, c.label, c.attack_type)
+    columns = replace(c, iat="_iat", iat_unit=1e6)
     grouped = gaps.withColumn("segment_index", index).groupBy(c.key, "segment_index")
     return with_rates(grouped.agg(*segment_aggregates(columns)))
 
@@ -116,7 +124,7 @@ def session_number(packets: DataFrame, gap_seconds: float, c: PacketColumns = Pa
     ``gap_seconds``. Counts of earlier slices are carried, so a slice is numbered alone."""
     gaps = _with_gaps(packets, c, "_gap", slice_seconds).drop("flow_start")
     marked = gaps.withColumn(
-        "_starts", F.coalesce((F.col("_gap") >= gap_seconds).cast("int"), F.lit(0)))
+        "_starts", F.coalesce((F.col("_gap") >= int(gap_seconds * 1_000_000)).cast("int"), F.lit(0)))
     per_slice = marked.groupBy(c.key, "_slice").agg(F.sum("_starts").alias("_n"))
     before = Window.partitionBy(c.key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(c.key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
