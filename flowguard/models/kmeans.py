@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,51 +18,125 @@ from pyspark.sql import functions as F
 from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix
 from flowguard.taxonomy import KMEANS_K, KMEANS_RESTARTS, SEED
 
-# Restarts are independent jobs over the same cached rows, so a few run side by side.
-PARALLEL_FITS = 4
+# Rows the starting centres are chosen from. Every row takes part in the passes after that.
+START_ROWS = 10_000
 
 
 class _KMeansParams(HasFeatures, HasSeed):
     k = Param(Params._dummy(), "k", "number of clusters", TypeConverters.toInt)
-    restarts = Param(Params._dummy(), "restarts", "fits from different seeds; the best is kept",
+    restarts = Param(Params._dummy(), "restarts", "starts from different seeds; the best is kept",
                      TypeConverters.toInt)
-    maxIter = Param(Params._dummy(), "maxIter", "iterations per fit", TypeConverters.toInt)
+    maxIter = Param(Params._dummy(), "maxIter", "passes over the data", TypeConverters.toInt)
+    tol = Param(Params._dummy(), "tol", "centre movement that counts as settled", TypeConverters.toFloat)
     clusterCol = Param(Params._dummy(), "clusterCol", "cluster column", TypeConverters.toString)
     distanceCol = Param(Params._dummy(), "distanceCol", "distance column", TypeConverters.toString)
 
     def _defaults(self) -> None:
-        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=20, seed=SEED,
-                         clusterCol="cluster", distanceCol="kmeans_distance")
+        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=1e-3,
+                         seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance")
 
 
 class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultParamsWritable):
-    """The fit of lowest cost out of several seeds (the lowest seed on a tie)."""
+    """The best of several k-means starts.
+
+    ``ml.clustering.KMeans`` would read the data restarts x iterations times. Here all
+    starts move together: one pass gives every partition's sums for all of them, which are
+    added up to one vector. A start that has settled leaves the later passes.
+    """
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=20, seed=SEED,
-                 clusterCol="cluster", distanceCol="kmeans_distance"):
+    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=1e-3,
+                 seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance"):
         super().__init__()
         self._defaults()
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> NearestCentreModel:
-        rows = df.select(self.getFeaturesCol()).persist()
-
-        def attempt(i: int) -> tuple[float, int, np.ndarray]:
-            kmeans = KMeans(featuresCol=self.getFeaturesCol(), k=self.getOrDefault("k"),
-                            maxIter=self.getOrDefault("maxIter"), seed=self.getOrDefault("seed") + i)
-            model = kmeans.fit(rows)
-            return model.summary.trainingCost, i, np.array(model.clusterCenters())
-
+        k, restarts, seed = (self.getOrDefault(p) for p in ("k", "restarts", "seed"))
+        rows = df.select(as_array(self.getFeaturesCol()).alias("x")).persist()
         try:
-            with ThreadPool(PARALLEL_FITS) as pool:
-                task = inheritable_thread_target(df.sparkSession)(attempt)
-                tried = pool.map(task, range(max(1, self.getOrDefault("restarts"))))
+            n = rows.count()
+            if n == 0:
+                raise ValueError("no rows to fit on")
+            share = min(1.0, START_ROWS / n)
+            sample = rows if share == 1.0 else rows.sample(share, seed)
+            points = np.array([r["x"] for r in sample.collect()])
+            starts = [_spread_centres(points, k, np.random.default_rng([seed, i]))
+                      for i in range(max(1, restarts))]
+            centres = self._settle(rows, starts)
         finally:
             rows.unpersist()
-        _, _, centres = min(tried, key=lambda t: t[:2])
         return self._copyValues(NearestCentreModel({"centres": centres}))
 
+    def _settle(self, rows: DataFrame, starts: list[np.ndarray]) -> np.ndarray:
+        """Move all starts until settled; the centres of the lowest cost (the first start on
+        a tie)."""
+        moving = dict(enumerate(starts))
+        done: dict[int, tuple[float, np.ndarray]] = {}
+        for last in [False] * self.getOrDefault("maxIter") + [True]:
+            names = list(moving)
+            results = _pass(rows, np.stack([moving[i] for i in names]))
+            for i, (sums, counts, cost) in zip(names, results):
+                filled = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], moving[i])
+                shift = np.sqrt(((filled - moving[i]) ** 2).sum(axis=1)).max()
+                if last or shift <= self.getOrDefault("tol"):
+                    done[i] = (cost, moving.pop(i))
+                else:
+                    moving[i] = filled
+            if not moving:
+                break
+        return min(done.items(), key=lambda item: (item[1][0], item[0]))[1][1]
+
+
+def _spread_centres(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ starting centres: each next one drawn by squared distance to those before."""
+    chosen = [points[rng.integers(len(points))]]
+    nearest = ((points - chosen[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        total = nearest.sum()
+        pick = rng.choice(len(points), p=nearest / total) if total > 0 else rng.integers(len(points))
+        chosen.append(points[pick])
+        nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Sums, counts and cost of every start (starts, k, width) from one pass."""
+    starts, k, width = centres.shape
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, total = shared.value, None
+        for batch in batches:
+            if batch.num_rows:
+                part = _partial_sums(common, feature_matrix(batch.column(0)))
+                total = part if total is None else total + part
+        if total is not None:
+            flat = pa.array([total.ravel().tolist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([flat], ["part"])
+
+    parts = rows.mapInArrow(partial, "part array<double>")
+    total = parts.agg(Summarizer.sum(array_to_vector(F.col("part"))).alias("t")).first()["t"]
+    shared.unpersist()
+    table = total.toArray().reshape(starts, k, width + 2)
+    return [(t[:, :width], t[:, width], float(t[:, width + 1].sum())) for t in table]
+
+
+def _partial_sums(centres: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Per start and cluster: sum of its rows, their number, their summed squared distance."""
+    starts, k, width = centres.shape
+    out = np.zeros((starts, k, width + 2))
+    square = (x ** 2).sum(axis=1)
+    for i, c in enumerate(centres):
+        squares = np.maximum(square[:, None] - 2.0 * (x @ c.T) + (c ** 2).sum(axis=1), 0.0)
+        cluster = squares.argmin(axis=1)
+        member = np.zeros((len(x), k))
+        member[np.arange(len(x)), cluster] = 1.0
+        out[i, :, :width] = member.T @ x
+        out[i, :, width] = member.sum(axis=0)
+        out[i, :, width + 1] = member.T @ squares[np.arange(len(x)), cluster]
+    return out
+
 
 class NearestCentreModel(ArrayModel, _KMeansParams):
     """Adds the nearest centre's number and the Euclidean distance to it."""
