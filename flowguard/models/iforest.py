@@ -64,7 +64,10 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
             raise ValueError("no rows to fit on")
         rows = min(rows, n)
         depth = max(1, math.ceil(math.log2(max(rows, 2))))
-        drawn = self._draw(df, n, trees, rows, seed)
+        # A fixed number of partitions: the sample is small but building is not, and adaptive
+        # execution would merge it into one task.
+        slots = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+        drawn = self._draw(df, n, trees, rows, seed).repartition(slots, "tree")
         built = drawn.groupBy("tree").applyInPandas(
             _tree_builder(rows, depth, seed), "tree int, feature array<int>, cut array<double>, path array<double>")
         found = sorted(built.collect(), key=lambda r: r["tree"])

@@ -32,7 +32,7 @@ class _KMeansParams(HasFeatures, HasSeed):
     distanceCol = Param(Params._dummy(), "distanceCol", "distance column", TypeConverters.toString)
 
     def _defaults(self) -> None:
-        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=1e-3,
+        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=5e-3,
                          seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance")
 
 
@@ -45,7 +45,7 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
     """
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=1e-3,
+    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=5e-3,
                  seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance"):
         super().__init__()
         self._defaults()
