@@ -71,7 +71,7 @@ def _flow_segments_relative(spark, sf):
 
 
 @query("flow_sessions", """
-WITH g AS (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 43200e6, true) AS starts
+WITH g AS (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) > 43200e6, true) AS starts
            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts) AS num FROM g)
 SELECT user_id, epoch_us(min(ts)) AS session_start_us,""" + STATS_SQL + "FROM s GROUP BY user_id, num")

@@ -120,11 +120,11 @@ def flow_segments_relative(packets: DataFrame, c: PacketColumns = PacketColumns(
 
 def session_number(packets: DataFrame, gap_seconds: float, c: PacketColumns = PacketColumns(),
                    out: str = "session", slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Number the sessions of each flow from 0: a new one starts after a pause of at least
+    """Number the sessions of each flow from 0: a new one starts after a pause longer than
     ``gap_seconds``. Counts of earlier slices are carried, so a slice is numbered alone."""
     gaps = _with_gaps(packets, c, "_gap", slice_seconds).drop("flow_start")
     marked = gaps.withColumn(
-        "_starts", F.coalesce((F.col("_gap") >= int(gap_seconds * 1_000_000)).cast("int"), F.lit(0)))
+        "_starts", F.coalesce((F.col("_gap") > int(gap_seconds * 1_000_000)).cast("int"), F.lit(0)))
     per_slice = marked.groupBy(c.key, "_slice").agg(F.sum("_starts").alias("_n"))
     before = Window.partitionBy(c.key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(c.key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
