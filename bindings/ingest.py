@@ -146,7 +146,7 @@ SELECT event_id, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (),
 
 
 def _fitted(spark, sf, **options):
-    t = gappy_events(spark, sf)
+    t = gappy_events(spark, sf).select("event_id", "value", "k").persist()
     return t, Preprocessor(inputCols=["value", "k"], **options).fit(t)
 
 

@@ -7,13 +7,16 @@ import json
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Model
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import (DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader,
                              MLWritable, MLWriter)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FEW_PARTITIONS = 64
+
 
 class HasFeatures(Params):
     """The vector column a model reads."""
@@ -46,6 +49,15 @@ def feature_width(df: DataFrame, column: str) -> int:
     return len(row["v"])
 
 
+def sum_arrays(parts: DataFrame, column: str, partitions: int) -> np.ndarray:
+    """Sum of one array per partition. Few partitions send their arrays straight to the
+    driver; with many they are added up on the executors first."""
+    if partitions <= FEW_PARTITIONS:
+        return np.sum([r[0] for r in parts.select(column).collect()], axis=0)
+    total = parts.agg(Summarizer.sum(array_to_vector(F.col(column))).alias("t")).first()["t"]
+    return total.toArray()
+
+
 class _ArrayWriter(MLWriter):
     def __init__(self, instance: ArrayModel):
         super().__init__()

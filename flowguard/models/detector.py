@@ -181,7 +181,10 @@ class AnomalyDetectorModel(ArrayModel, _DetectorParams):
             row = score_stats(scored, columns).first()
             self.state["mean"] = np.array([row[f"m{i}"] for i in range(len(columns))])
             self.state["std"] = np.array([row[f"s{i}"] for i in range(len(columns))])
-            self.set_budget(self.with_score(scored), self.getOrDefault("budget"))
+            combined, budget = self.with_score(scored), self.getOrDefault("budget")
+            wanted = {c: F.col(c) for c in (self.getOrDefault("outputCol"), "recon_error") if c in combined.columns}
+            found = exact_quantiles(combined, wanted, [0.5, 1.0 - budget])
+            self.state["threshold"] = np.array([found[self.getOrDefault("outputCol")][1].value])
             if "cluster" in scored.columns and "recon_error" in scored.columns:
                 k = len(self.state["centres"])
                 means = scored.groupBy("cluster").agg(F.avg("recon_error").alias("m")).collect()
@@ -189,8 +192,7 @@ class AnomalyDetectorModel(ArrayModel, _DetectorParams):
                 for r in means:
                     tendency[r["cluster"]] = r["m"]
                 self.state["tendency"] = tendency
-                median = exact_quantiles(scored, {"r": F.col("recon_error")}, [0.5])["r"][0]
-                self.state["recon_median"] = np.array([median.value])
+                self.state["recon_median"] = np.array([found["recon_error"][0].value])
         finally:
             scored.unpersist()
 

@@ -8,14 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix
+from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix, sum_arrays
 from flowguard.taxonomy import KMEANS_K, KMEANS_RESTARTS, SEED
 
 # Rows the starting centres are chosen from. Every row takes part in the passes after that.
@@ -32,7 +30,7 @@ class _KMeansParams(HasFeatures, HasSeed):
     distanceCol = Param(Params._dummy(), "distanceCol", "distance column", TypeConverters.toString)
 
     def _defaults(self) -> None:
-        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=5e-3,
+        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=20, tol=1e-2,
                          seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance")
 
 
@@ -41,11 +39,12 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
 
     ``ml.clustering.KMeans`` would read the data restarts x iterations times. Here all
     starts move together: one pass gives every partition's sums for all of them, which are
-    added up to one vector. A start that has settled leaves the later passes.
+    added up to one vector. Starts are brought near their places on a sample of fixed size
+    first, which saves passes over all rows; a start that has settled leaves later passes.
     """
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=30, tol=5e-3,
+    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=20, tol=1e-2,
                  seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance"):
         super().__init__()
         self._defaults()
@@ -61,7 +60,7 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
             share = min(1.0, START_ROWS / n)
             sample = rows if share == 1.0 else rows.sample(share, seed)
             points = np.array([r["x"] for r in sample.collect()])
-            starts = [_spread_centres(points, k, np.random.default_rng([seed, i]))
+            starts = [_refined(points, _spread_centres(points, k, np.random.default_rng([seed, i])))
                       for i in range(max(1, restarts))]
             centres = self._settle(rows, starts)
         finally:
@@ -77,12 +76,11 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
             names = list(moving)
             results = _pass(rows, np.stack([moving[i] for i in names]))
             for i, (sums, counts, cost) in zip(names, results):
-                filled = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], moving[i])
-                shift = np.sqrt(((filled - moving[i]) ** 2).sum(axis=1)).max()
+                moved, shift = _moved(moving[i], sums, counts)
                 if last or shift <= self.getOrDefault("tol"):
                     done[i] = (cost, moving.pop(i))
                 else:
-                    moving[i] = filled
+                    moving[i] = moved
             if not moving:
                 break
         return min(done.items(), key=lambda item: (item[1][0], item[0]))[1][1]
@@ -100,6 +98,23 @@ def _spread_centres(points: np.ndarray, k: int, rng: np.random.Generator) -> np.
     return np.array(chosen)
 
 
+def _moved(centres: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, float]:
+    """Means of the clusters (an empty one keeps its centre) and the largest movement."""
+    moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], centres)
+    return moved, float(np.sqrt(((moved - centres) ** 2).sum(axis=1)).max())
+
+
+def _refined(points: np.ndarray, centres: np.ndarray, steps: int = 20) -> np.ndarray:
+    """A few steps on the starting sample."""
+    width = points.shape[1]
+    for _ in range(steps):
+        sums = _partial_sums(centres[None], points)[0]
+        centres, shift = _moved(centres, sums[:, :width], sums[:, width])
+        if shift < 1e-3:
+            break
+    return centres
+
+
 def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """Sums, counts and cost of every start (starts, k, width) from one pass."""
     starts, k, width = centres.shape
@@ -116,9 +131,9 @@ def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.nda
             yield pa.RecordBatch.from_arrays([flat], ["part"])
 
     parts = rows.mapInArrow(partial, "part array<double>")
-    total = parts.agg(Summarizer.sum(array_to_vector(F.col("part"))).alias("t")).first()["t"]
+    total = sum_arrays(parts, "part", rows.rdd.getNumPartitions())
     shared.unpersist()
-    table = total.toArray().reshape(starts, k, width + 2)
+    table = total.reshape(starts, k, width + 2)
     return [(t[:, :width], t[:, width], float(t[:, width + 1].sum())) for t in table]
 
 

@@ -3,7 +3,7 @@
 ``percentile`` keeps a map of all distinct values in one task, which a column of 10^12
 doubles does not allow. Here a mergeable sketch proposes two values around each wanted
 rank, one counting pass checks where the rank lies relative to them, and the search goes on
-inside the interval until at most ``limit`` values are left, which are then sorted. Every
+inside the interval until few enough values are left to be sorted. Every
 pass is a partial aggregate without a row shuffle; each narrows the interval by a factor of
 about ``accuracy`` / 4. The answer is always exact: the sketch only proposes.
 """
@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LIMIT = 50_000
+# Values that may be sorted in one task, over all columns together.
+LIMIT = 2_000_000
 ACCURACY = 10_000
 
 
@@ -126,13 +127,15 @@ def count_values(df: DataFrame, items: dict[str, Column]) -> dict[str, int]:
 
 
 def order_statistics(df: DataFrame, items: dict[str, Column], ranks: Callable[[str, int], list[int]],
-                     counts: dict[str, int] | None = None, limit: int = LIMIT,
+                     counts: dict[str, int] | None = None, limit: int | None = None,
                      accuracy: int = ACCURACY) -> dict[str, dict[int, float | int]]:
     """Exact values at 0-based ranks of each column expression, NULLs left out.
 
     ``ranks(name, n)`` names the ranks wanted of a column with ``n`` values. The input is
-    read several times, so it must give the same rows each time.
+    read several times, so it must give the same rows each time. ``limit`` is the number of
+    values of one interval that may be sorted.
     """
+    limit = LIMIT // max(1, len(items)) if limit is None else limit
     counts = counts or count_values(df, items)
     searches = [_Search(name, r, counts[name]) for name in items if counts[name]
                 for r in sorted(set(ranks(name, counts[name])))]
