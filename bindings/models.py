@@ -267,7 +267,10 @@ def _stream_decided(spark, sf):
     cfg = job_config(unify_options=JOB_UNIFY, classifier_trees=5, forest_trees=50, restarts=1)
     first, second = _saved_stages(spark, sf, cfg)
     stage1, stage2 = PipelineModel.load(first), PipelineModel.load(second)
-    flow_proba = stage2.transform(unified_flows(job_segments(spark, sf), cfg)).select("flow_id", "proba")
+    # Written once: a micro-batch then joins a table and does not score the flows again.
+    table = shared_dir(spark, "flow-proba")
+    stage2.transform(unified_flows(job_segments(spark, sf), cfg)).select("flow_id", "proba").write.parquet(table)
+    flow_proba = spark.read.parquet(table)
     raw = stream_table(spark, sf, "orders.parquet")
     arriving = raw.select(
         F.col("o_orderkey").alias("flow_id"), F.col("o_orderkey").alias("packet_id"), "o_custkey",

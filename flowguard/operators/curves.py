@@ -8,6 +8,8 @@ before it. Only the bucket totals (``buckets`` rows) meet in one place.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +31,20 @@ def running_counts(counts: DataFrame, buckets: int | None = None) -> DataFrame:
     the totals ``n_pos`` and ``n_neg``."""
     buckets = buckets or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / buckets for i in range(1, buckets)] or [0.5]
-    edges = counts.agg(F.percentile_approx("score", probs, 100 * buckets)).scalar()
+    step = math.isqrt(buckets) + 1
+    # The test on the counters is always true; it keeps them in this branch, so that the
+    # counting shuffle is the same in all branches and is run once.
+    edges = (counts.where(F.col("pos") + F.col("neg") > 0)
+             .agg(F.percentile_approx("score", probs, 100 * buckets).alias("fine"))
+             .select(F.struct("fine", F.filter("fine", lambda _, i: (i + 1) % step == 0).alias("coarse")))
+             .scalar())
     # Through a column of its own: a subquery may not stand inside a higher-order function.
-    placed = counts.withColumn("edges", edges).withColumn(
-        "bucket", F.size(F.filter("edges", lambda e: e < F.col("score")))).drop("edges")
+    with_edges = counts.withColumn("edges", edges)
+    # Edges below the score: first among every step-th edge, then among the few in between.
+    first = F.size(F.filter("edges.coarse", lambda e: e < F.col("score"))) * step
+    between = F.slice("edges.fine", F.col("first") + 1, F.lit(step - 1))
+    placed = with_edges.withColumn("first", first).withColumn(
+        "bucket", F.col("first") + F.size(F.filter(between, lambda e: e < F.col("score")))).drop("edges", "first")
     # At most `buckets` rows: their running totals may meet in one task, and be broadcast.
     totals = placed.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +58,8 @@ def running_counts(counts: DataFrame, buckets: int | None = None) -> DataFrame:
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = placed.select("bucket", "score", "pos", "neg", F.sum("pos").over(inside).alias("tp"),
                           F.sum("neg").over(inside).alias("fp"))
-    return local.join(F.broadcast(offsets), "bucket").select(
+    # A left join: an inner one would push a null test of the bucket down to the raw rows.
+    return local.join(F.broadcast(offsets), "bucket", "left").select(
         "score", "pos", "neg", (F.col("tp") + F.col("p0")).alias("tp"),
         (F.col("fp") + F.col("n0")).alias("fp"), "n_pos", "n_neg", "bucket")
 

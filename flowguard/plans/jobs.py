@@ -200,14 +200,17 @@ def score_cascade(packets: DataFrame, flows: DataFrame, stage1: PipelineModel, s
                   keep: tuple[str, ...] = (), **lookup) -> DataFrame:
     """Score packets, look up their flows, score those, decide.
 
-    Flows are scored before the join, once per flow, and only key and probability are joined:
-    the join carries two columns instead of all features, and a flow met by many packets is
-    not scored again for each. ``flagged_only`` scores and returns alerts only.
+    Flows are scored before the join: only those that packets (or alerts, with
+    ``flagged_only``) ask for, each once, and only key and probability are joined. The join
+    carries two columns instead of all features, and a flow met by many packets is not
+    scored again for each.
     """
     threshold = get_threshold(stage2) if threshold is None else threshold
     columns = list(dict.fromkeys([*keep, "flow_id", "Label", "attack_type", "anomaly_score", "alert"]))
     scored = stage1.transform(packets)
     scored = scored.select(*[c for c in columns if c in scored.columns])
+    asked = scored.where("alert = 1") if flagged_only else packets
+    flows = flows.join(asked.select("flow_id").distinct(), "flow_id", "left_semi")
     ready = anomaly.transform(flows) if anomaly is not None else flows
     proba = stage2.transform(ready).select("flow_id", "proba")
     joined = (flagged_lookup(scored, proba, **lookup) if flagged_only
