@@ -75,7 +75,7 @@ SELECT p.packet_id, p.attack_type, u.attack_type AS flow_attack_type, u.n_segmen
        u.total_packets, u.flow_id IS NOT NULL AS have_flow
 FROM pkt p LEFT JOIN uni u ON u.flow_id = p.flow_id""")
 def _packet_flow_lookup(spark, sf):
-    return lookup_flows(packets(spark, sf), unified(spark, sf)).select(
+    return lookup_flows(packets(spark, sf), unified(spark, sf), spread_by="packet_id").select(
         "packet_id", "attack_type", "flow_attack_type", "n_segments", "total_packets", "have_flow")
 
 
@@ -85,7 +85,7 @@ SELECT count(*) AS n_packets,
 FROM orders""")
 def _unmatched_packets(spark, sf):
     flows = unified(spark, sf).select("flow_id", "n_segments")
-    return unmatched(lookup_flows(packets(spark, sf), flows))
+    return unmatched(lookup_flows(packets(spark, sf), flows, spread_by="packet_id"))
 
 
 @query("flagged_lookup", LOOKUP_SQL + """
@@ -95,7 +95,7 @@ WHERE p.packet_length >= (SELECT quantile_cont(packet_length, 0.8) FROM pkt)""")
 def _flagged_lookup(spark, sf):
     p = packets(spark, sf)
     flagged = alerts(p, "packet_length", budget_threshold(p, "packet_length", 0.2))
-    return flagged_lookup(flagged, unified(spark, sf)).select("packet_id", "n_segments", "have_flow")
+    return flagged_lookup(flagged, unified(spark, sf), spread_by="packet_id").select("packet_id", "n_segments", "have_flow")
 
 
 @query("leakage_guard", LOOKUP_SQL + """

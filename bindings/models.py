@@ -173,7 +173,7 @@ def looked_up(spark, sf):
     """Packets with an alert on their price, and a flow probability from the flow's tax."""
     flows = unified(spark, sf).select("flow_id", (F.col("flow_packets_per_s") * 12.5).alias("proba"))
     flagged = packets(spark, sf).withColumn("alert", reached(F.col("packet_length"), F.lit(250_000.0)))
-    return supervised_only(cascade_decision(lookup_flows(flagged, flows), 0.55), 0.7)
+    return supervised_only(cascade_decision(lookup_flows(flagged, flows, spread_by="packet_id"), 0.55), 0.7)
 
 
 CASCADE_SQL = "WITH " + PACKETS_SQL + "," + SEGMENTS_SQL + """,

@@ -20,26 +20,31 @@ def frequent_keys(df: DataFrame, key: str, support: float = HOT_SUPPORT) -> list
 
 
 def lookup_flows(packets: DataFrame, flows: DataFrame, key: str = "flow_id",
-                 suffix: str = "flow_", hot: list | None = None, salts: int = SALTS) -> DataFrame:
+                 prefix: str = "flow_", hot: list | None = None, salts: int = SALTS,
+                 spread_by: str | None = None) -> DataFrame:
     """Left join of every packet to its flow, with ``have_flow``.
 
     ``flows`` has one row per key. Its columns that also occur in ``packets`` get the prefix
     ``flow_``. Packets of hot keys are spread over ``salts`` buckets and only the flow rows
     of those keys (at most 1 / support) are repeated, so a key with a third of all packets
-    does not end in one task. Whether to broadcast is left to the optimizer's size check.
+    does not end in one task. The bucket comes from the packet's partition and, if named,
+    the ``spread_by`` column: never from its position, which may change when a lost task is
+    run again. Whether to broadcast is left to the optimizer's size check.
     """
     if hot is None:
         hot = frequent_keys(packets, key)
     clash = [c for c in flows.columns if c in packets.columns and c != key]
-    right = flows.withColumnsRenamed({c: suffix + c for c in clash})
+    right = flows.withColumnsRenamed({c: prefix + c for c in clash})
     right = right.withColumn("have_flow", F.lit(True))
     if not hot:
         joined = packets.join(right, key, "left")
     else:
-        is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-        left = packets.withColumn(
-            "_salt", F.when(is_hot, F.monotonically_increasing_id() % salts).otherwise(0))
         zero = F.lit(0).cast("bigint")
+        is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+        place = F.spark_partition_id().cast("bigint")
+        if spread_by:
+            place = F.shiftright(F.xxhash64(spread_by), 1) + place
+        left = packets.withColumn("_salt", F.when(is_hot, F.pmod(place, F.lit(salts))).otherwise(zero))
         spread = F.when(is_hot, F.sequence(zero, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(zero))
         right = right.withColumn("_salt", F.explode(spread))
         joined = left.join(right, [key, "_salt"], "left").drop("_salt")

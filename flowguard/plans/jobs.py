@@ -13,11 +13,11 @@ from flowguard.models.classifier import (boosted_trees, feature_importance, fit_
 from flowguard.models.detector import AnomalyDetector, AnomalyDetectorModel, KeepScore
 from flowguard.models.preprocess import PORT_COLUMNS, Preprocessor, PreprocessorModel
 from flowguard.operators.correlation import detection_by_bucket, flow_length_corr, within_class_corr
-from flowguard.operators.curves import auc_roc, pr_auc
+from flowguard.operators.curves import auc_roc, pr_auc, pr_curve, roc_curve
 from flowguard.operators.flows import segment_stats, unify_flows
 from flowguard.operators.joins import flagged_lookup, lookup_flows, without_test_flows
-from flowguard.operators.metrics import (binary_metrics, cascade_summary, mcnemar, per_class_detection,
-                                         to_long)
+from flowguard.operators.metrics import (binary_metrics, cascade_summary, cluster_composition, mcnemar,
+                                         per_class_detection, score_histogram, to_long)
 from flowguard.operators.sampling import imbalanced_sample, split_by_key, stratified_split
 from flowguard.operators.thresholds import (alerts, cascade_threshold, contamination, fpr_threshold,
                                             tune_threshold)
@@ -206,7 +206,7 @@ def score_cascade(packets: DataFrame, flows: DataFrame, stage1: PipelineModel, s
     scored again for each.
     """
     threshold = get_threshold(stage2) if threshold is None else threshold
-    columns = list(dict.fromkeys([*keep, "flow_id", "Label", "attack_type", "anomaly_score", "alert"]))
+    columns = list(dict.fromkeys([*keep, "flow_id", "Label", "attack_type", "cluster", "anomaly_score", "alert"]))
     scored = stage1.transform(packets)
     scored = scored.select(*[c for c in columns if c in scored.columns])
     asked = scored.where("alert = 1") if flagged_only else packets
@@ -244,11 +244,13 @@ def cascade_from_saved(packets: DataFrame, segments: DataFrame, stage1_path: str
 
 @dataclass
 class Report:
-    """Long metrics (scope, stage, metric, value) and the decided packet test rows."""
+    """Long metrics (scope, stage, metric, value), the decided packet test rows, and the
+    tables behind the figures."""
 
     metrics: DataFrame
     decided: DataFrame
     importance: DataFrame
+    figures: dict[str, DataFrame]
     stage1: PipelineModel
     stage2: PipelineModel
     cascade_model: str
@@ -289,6 +291,33 @@ def detector_feature(detector: PipelineModel) -> PipelineModel:
     return PipelineModel([*detector.stages, KeepScore()])
 
 
+def flow_against_packet(metrics: DataFrame) -> DataFrame:
+    """Whether the detector separates flows better than packets: AUC of one less the other
+    (NULL when there was no flow detector)."""
+    def auc(scope: str):
+        return F.max(F.when((F.col("scope") == scope) & (F.col("metric") == "auc_roc"), F.col("value")))
+
+    return to_long("comparison", "flow_vs_packet", metrics.agg(
+        (auc("flow_unsupervised") - auc("stage1_only")).alias("auc_difference"),
+        (auc("flow_unsupervised") > auc("stage1_only")).cast("int").alias("flow_beats_packet")))
+
+
+def figure_tables(decided: DataFrame, flow_scored: DataFrame, cfg: JobConfig) -> dict[str, DataFrame]:
+    """The data of every figure, computed when asked for."""
+    out = {
+        "roc_packets": roc_curve(decided, "Label", "anomaly_score"),
+        "pr_packets": pr_curve(decided, "Label", "anomaly_score"),
+        "roc_flows": roc_curve(flow_scored, "Label", "proba"),
+        "pr_flows": pr_curve(flow_scored, "Label", "proba"),
+        "score_histogram": score_histogram(decided, "anomaly_score"),
+        "detection_stage1": per_class_detection(decided, "alert", classes=cfg.taxonomy.attacks),
+        "detection_two_stage": per_class_detection(decided, "combined", classes=cfg.taxonomy.attacks),
+    }
+    if "cluster" in decided.columns:
+        out["clusters"] = cluster_composition(decided, "cluster", "attack_type", cfg.taxonomy.classes)
+    return out
+
+
 def run_detection(packets: DataFrame, segments: DataFrame, cfg: JobConfig) -> Report:
     """The full two-stage run.
 
@@ -304,6 +333,7 @@ def run_detection(packets: DataFrame, segments: DataFrame, cfg: JobConfig) -> Re
     unified = unified_flows(segments, cfg).persist()
     guarded = without_test_flows(unified, test)
     flows = split_flows(flow_sample(guarded, cfg), cfg).persist()
+    flow_test = part(flows, "test")
     if cfg.flow_anomaly:
         variants, flow_metrics, with_score = ablation(flows, cfg)
         chosen = max(variants, key=lambda n: (variants[n][1], n == "with_flow_anomaly"))
@@ -312,13 +342,15 @@ def run_detection(packets: DataFrame, segments: DataFrame, cfg: JobConfig) -> Re
     else:
         stage2 = fit_stage2(part(flows, "train"), part(flows, "val"), cfg)
         chosen, anomaly = "without_flow_anomaly", None
-        flow_metrics = evaluation(chosen, stage2.transform(part(flows, "test")), "decision", "proba")
+        flow_metrics = evaluation(chosen, stage2.transform(flow_test), "decision", "proba")
 
     val = part(flows, "val")
     confirm = cascade_threshold(stage2.transform(anomaly.transform(val) if anomaly else val), "proba",
                                 get_threshold(stage2), recall=cfg.cascade_recall)
-    decided = score_cascade(test, unified, stage1, stage2, confirm, anomaly=anomaly, keep=(cfg.packet_id,)).persist()
+    decided = score_cascade(test, unified, stage1, stage2, confirm, anomaly=anomaly, keep=(cfg.packet_id,),
+                            spread_by=cfg.packet_id).persist()
 
+    flow_scored = stage2.transform(anomaly.transform(flow_test) if anomaly else flow_test)
     fpr_cut = fpr_threshold(decided, "anomaly_score", target=cfg.target_fpr)
     at_fpr = alerts(decided, "anomaly_score", fpr_cut, "fpr_alert")
     names = next(s for s in stage2.stages if isinstance(s, PreprocessorModel)).feature_names
@@ -335,9 +367,10 @@ def run_detection(packets: DataFrame, segments: DataFrame, cfg: JobConfig) -> Re
         constant(pkt, "two_stage", "threshold", confirm=confirm, f1=get_threshold(stage2),
                  target_recall=cfg.cascade_recall),
         cascade_metrics(decided, cfg),
-    ])
+    ]).persist()
+    metrics = metrics.unionByName(flow_against_packet(metrics))
     importance = top_features(feature_importance(pkt.sparkSession, stage2, names))
-    return Report(metrics, decided, importance, stage1, stage2, chosen)
+    return Report(metrics, decided, importance, figure_tables(decided, flow_scored, cfg), stage1, stage2, chosen)
 
 
 @dataclass

@@ -86,8 +86,8 @@ def test_lookup_keeps_every_packet_of_a_hot_flow(spark):
     flows = spark.range(0, 400).select(F.col("id").alias("flow_id"), (F.col("id") * 10).alias("n_segments"))
     assert 7 in frequent_keys(packets, "flow_id")
     plain = packets.join(flows, "flow_id", "left").select("packet_id", "n_segments").collect()
-    for hot in ([], None, [7, 450]):
-        got = lookup_flows(packets, flows, hot=hot)
+    for hot, spread_by in (([], None), (None, None), ([7, 450], "packet_id")):
+        got = lookup_flows(packets, flows, hot=hot, spread_by=spread_by)
         assert sorted(got.select("packet_id", "n_segments").collect()) == sorted(plain)
         assert got.where("have_flow <> (n_segments is not null)").count() == 0
     assert tuple(unmatched(lookup_flows(packets, flows)).first()) == (3_000, sum(r[1] is None for r in plain))

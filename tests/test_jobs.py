@@ -57,6 +57,8 @@ def test_whole_run(tables, cfg):
     assert report.decided.where("combined = 1 AND alert = 0").count() == 0
     assert report.decided.where("NOT have_flow AND combined <> alert").count() == 0
     assert report.decided.where("NOT have_flow").count() > 0
+    assert {k: v.count() > 0 for k, v in report.figures.items()} == dict.fromkeys(report.figures, True)
+    assert len(report.figures) == 8 and value(m, "comparison", "flow_beats_packet", "flow_vs_packet") in (0.0, 1.0)
     assert report.importance.count() >= 4 and report.cascade_model in ("with_flow_anomaly", "without_flow_anomaly")
 
 
