@@ -128,12 +128,14 @@ def count_values(df: DataFrame, items: dict[str, Column]) -> dict[str, int]:
 
 def order_statistics(df: DataFrame, items: dict[str, Column], ranks: Callable[[str, int], list[int]],
                      counts: dict[str, int] | None = None, limit: int | None = None,
-                     accuracy: int = ACCURACY) -> dict[str, dict[int, float | int]]:
+                     accuracy: int = ACCURACY,
+                     guess: Callable[[int, int], tuple] | None = None) -> dict[str, dict[int, float | int]]:
     """Exact values at 0-based ranks of each column expression, NULLs left out.
 
     ``ranks(name, n)`` names the ranks wanted of a column with ``n`` values. The input is
     read several times, so it must give the same rows each time. ``limit`` is the number of
-    values of one interval that may be sorted.
+    values of one interval that may be sorted. Where the distribution is known, ``guess(rank, n)``
+    gives the first two values to try and spares the first sketch.
     """
     limit = LIMIT // max(1, len(items)) if limit is None else limit
     counts = counts or count_values(df, items)
@@ -143,7 +145,9 @@ def order_statistics(df: DataFrame, items: dict[str, Column], ranks: Callable[[s
         open_ = [s for s in searches if s.value is None and s.size > limit]
         if not open_:
             break
-        _check(df, items, open_, _propose(df, items, open_, accuracy))
+        pairs = [guess(s.rank, s.size) for s in open_] if guess else _propose(df, items, open_, accuracy)
+        guess = None
+        _check(df, items, open_, pairs)
     left = [s for s in searches if s.value is None]
     if left:
         _finish(df, items, left)
