@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +100,3 @@ class ArrayModel(Model, MLWritable, MLReadable):
     def read(cls) -> MLReader:
         return _ArrayReader(cls)
 
-
-def params_as_json(params: Params) -> str:
-    return json.dumps({p.name: params.getOrDefault(p) for p in params.params if params.isDefined(p)})
