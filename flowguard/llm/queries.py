@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import quality
+from flowguard.llm import pieces, quality, tokenfile
+from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from flowguard.session import shared_dir
+
+END_ID = 2
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer file; the package lies on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 OP4_SQL = r"""
 WITH d AS (
@@ -35,3 +45,17 @@ FROM b
 def op4(spark, sf):
     return quality.quality_rules(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_token_files")
+def op8(spark, sf):
+    folder = shared_dir(spark, "tokens")
+    delete_at_exit(spark, folder)
+    tokenfile.write_tokens(table(spark, sf, "documents"), folder, vocabulary("word_bpe_49k.json"), END_ID)
+    return tokenfile.read_tokens(spark, folder).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_pieces")
+def op10(spark, sf):
+    return pieces.digests(pieces.encode_pieces(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model")))
