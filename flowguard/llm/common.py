@@ -15,8 +15,8 @@ from flowguard.session import shared_dir
 #: Bytes of UTF-8 text that a numpy pass takes at once; a longer text is a pass of its own.
 BLOCK = 4 << 20
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                for b in range(256))
 
 
@@ -51,12 +51,27 @@ def parts(spark: SparkSession) -> int:
 
 def lower_words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lowered."""
-    return text.encode().translate(_LOWER).split() if text else []
+    return text.encode().translate(LOWER).split() if text else []
 
 
 def alnum_words(text: str | None) -> list[bytes]:
     """Runs of ASCII letters, digits and non-ASCII characters, A-Z lowered."""
-    return text.encode().translate(_ALNUM).split() if text else []
+    return text.encode().translate(ALNUM).split() if text else []
+
+
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of translated text, where bytes up to the space separate."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = data > 32
+    steps = np.diff(inside)
+    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+
+
+def joined(values: list[str | None], lowered: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as one byte array with a space after each, and the bounds of the texts in it."""
+    raw = [v.encode() if v else b"" for v in values]
+    bounds = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    return np.frombuffer((b" ".join(raw) + b" ").translate(lowered), np.uint8), bounds
 
 
 def texts(batches: Iterator[pa.RecordBatch], limit: int = BLOCK) -> Iterator[tuple[list, list]]:
@@ -88,24 +103,30 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; those of ordinary blocks are kept."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 16), base, np.uint64)
+        have[0] = 1
+        have = np.multiply.accumulate(have)
+        if n <= 2 * BLOCK:
+            _POWERS[base] = have
+    return have[:n]
 
 
 class RollingHash:
     """64-bit hashes of any slices of one byte string, from prefix sums."""
 
     def __init__(self, data: np.ndarray):
-        up = powers(_BASE, len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((mixed(data.astype(np.uint64) + np.uint64(1))) * up, out=self.sums[1:])
+        np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=self.sums[1:])
         self.down = powers(_BACK, len(data) + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import pieces, quality, tokenfile
+from flowguard.llm import decontaminate, pieces, quality, tokenfile
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from flowguard.session import shared_dir
@@ -59,3 +59,37 @@ def op8(spark, sf):
 @query("op10_pieces")
 def op10(spark, sf):
     return pieces.digests(pieces.encode_pieces(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model")))
+
+
+OP5_SQL = r"""
+WITH c AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+q AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS p, least(10, len(w)) AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM q WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT k FROM win),
+dw AS (
+  SELECT doc_id, i, k, list_slice(w, i, i + k - 1) AS p
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM c, lens WHERE len(w) >= k)),
+hit AS (SELECT dw.doc_id, dw.i, dw.k, win.item_id FROM dw JOIN win ON win.p = dw.p),
+h AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS l
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT c.doc_id, len(c.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
+       sha256(coalesce(it.l, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM c LEFT JOIN h ON h.doc_id = c.doc_id LEFT JOIN it ON it.doc_id = c.doc_id
+"""
+
+
+@query("op5_decontaminate", OP5_SQL)
+def op5(spark, sf):
+    found = decontaminate.match_phrases(decontaminate.build_index(table(spark, sf, "documents")),
+                                        table(spark, sf, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    hit = decontaminate.n_hit()
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
