@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import decontaminate, pieces, quality, tokenfile
+from flowguard.llm import decontaminate, langid, pieces, quality, tokenfile, toxicity
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from flowguard.session import shared_dir
@@ -93,3 +93,20 @@ def op5(spark, sf):
     hit = decontaminate.n_hit()
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+@query("op6_toxicity")
+def op6(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.fit(docs, labels.filter(langid.fold("doc_id", 5) != 0))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (langid.fold("doc_id", 5) == 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_language")
+def op7(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs.filter(langid.fold("doc_id", 3) != 1))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", (langid.fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
