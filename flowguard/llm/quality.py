@@ -97,13 +97,14 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def order_rules(df: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejections per second on a sample of ``rows`` rows at most."""
-    sample = df.limit(rows).repartition(1).persist()
+def order_rules(docs: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules by rejections per second on a random sample of about ``rows`` documents."""
+    n = docs.count()
+    if not n:
+        return list(rules)
+    sample = with_base(docs.sample(min(1.0, rows / n), seed=0).repartition(1)).persist()
     try:
-        n = sample.count()
-        if not n:
-            return list(rules)
+        sample.count()
         value = {}
         for rule in rules:
             begin = time.perf_counter()
@@ -125,8 +126,8 @@ def cascade(rules: list[Rule]) -> Column:
 def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text",
                   sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, text, the base counts, base_failed, failed_rule and kept."""
-    base = with_base(id_and_text(docs, id_col, text_col))
-    rules = default_rules() if rules is None else rules
-    ordered = [Rule("base", base_failed()), *order_rules(base, rules, sample_rows)]
+    docs = id_and_text(docs, id_col, text_col)
+    base, rules = with_base(docs), default_rules() if rules is None else rules
+    ordered = [Rule("base", base_failed()), *order_rules(docs, rules, sample_rows)]
     return base.withColumns({"base_failed": base_failed(), "failed_rule": cascade(ordered)}) \
                .withColumn("kept", F.col("failed_rule").isNull())
