@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import decontaminate, langid, pieces, quality, tokenfile, toxicity
+from flowguard.llm import decontaminate, langid, pieces, quality, surrogates, tokenfile, toxicity
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from flowguard.session import shared_dir
@@ -41,6 +41,18 @@ FROM b
 """
 
 
+#: Key of the surrogates in the queries; a user keeps an own one secret.
+SURROGATE_KEY = "example key"
+
+
+@query("op1_surrogates")
+def op1(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = surrogates.count_entities(F.col("text"))
+    counted = docs.select("doc_id", "text", found.alias("n_entities"))
+    return surrogates.replace_entities(counted, SURROGATE_KEY)
+
+
 @query("op4_quality_rules", OP4_SQL)
 def op4(spark, sf):
     return quality.quality_rules(table(spark, sf, "documents")).select(
