@@ -30,7 +30,9 @@ from flowguard.llm.common import id_and_text, texts
 
 MARK = "▁"
 SEGMENT = re.compile(" +[^ ]*")
-#: Segments a worker remembers; beyond that it starts anew.
+#: Characters up to which segments are merged many at a time.
+SHORT = 32
+#: Segments a worker remembers twice over; beyond that the ones not met again are forgotten.
 REMEMBERED = 200_000
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 
@@ -39,16 +41,43 @@ class MergeVocabulary:
     def __init__(self, path: str):
         import sentencepiece
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = self.lib.get_piece_size()
+        size = self.size = self.lib.get_piece_size()
         plain = [i for i in range(size) if not (self.lib.is_control(i) or self.lib.is_unknown(i)
                                                or self.lib.is_byte(i) or self.lib.is_unused(i))]
         self.ids = {self.lib.id_to_piece(i): i for i in plain}
-        self.score = {self.lib.id_to_piece(i): self.lib.get_score(i) for i in plain}
+        self.cost = {self.lib.id_to_piece(i): -self.lib.get_score(i) for i in plain}
         self.byte = [self.lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.byte)}
+        raw = [self.lib.id_to_piece(i).replace(MARK, " ").encode() for i in range(size)]
+        for b, i in enumerate(self.byte):
+            raw[i] = bytes((b,))
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_size = np.asarray([len(r) for r in raw])
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        #: The id of each character, those that are no piece above all ids.
+        self.char = np.arange(size, size + 0x110000, dtype=np.int64)
+        self.char[:128] = self.byte[:128]
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.char[ord(p)] = i
+        self.char[ord(" ")] = self.char[ord(MARK)]
+        #: Adjacent ids that join to a piece: sorted keys, ids and costs of the pieces.
+        pairs = sorted((self.pair_key(self.symbol(p[:k]), self.symbol(p[k:])), i)
+                       for p, i in self.ids.items() for k in range(1, len(p))
+                       if (k == 1 or p[:k] in self.ids) and (k == len(p) - 1 or p[k:] in self.ids))
+        self.pairs = np.asarray([k for k, _ in pairs], np.int64)
+        self.pair_id = np.asarray([i for _, i in pairs], np.int64)
+        self.pair_cost = np.asarray([-self.lib.get_score(i) for _, i in pairs])
         #: False if a piece goes over a word's end; a whole text is then one segment.
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.known: dict[str, tuple[bytes, str]] = {}
+        #: Segments met lately, and those met before; only the first grows.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def symbol(self, text: str) -> int:
+        return int(self.char[ord(text)]) if len(text) == 1 else self.ids[text]
+
+    def pair_key(self, left, right):
+        return left * (self.size + 0x110000) + right
 
     def segments(self, text: str | None) -> list[str]:
         if not text:
@@ -58,9 +87,9 @@ class MergeVocabulary:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The symbols left when no adjacent pair on the agenda joins to a piece."""
-        score, n = self.score, len(symbols)
+        cost, n = self.cost, len(symbols)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [(-score[p], i, p) for i in range(n - 1) if (p := symbols[i] + symbols[i + 1]) in score]
+        agenda = [(cost[p], i, p) for i in range(n - 1) if (p := symbols[i] + symbols[i + 1]) in cost]
         heapq.heapify(agenda)
         while agenda:
             _, i, piece = heapq.heappop(agenda)
@@ -71,11 +100,11 @@ class MergeVocabulary:
             k = right[i] = right[j]
             if k < n:
                 left[k] = i
-                if (p := piece + symbols[k]) in score:
-                    heapq.heappush(agenda, (-score[p], i, p))
+                if (p := piece + symbols[k]) in cost:
+                    heapq.heappush(agenda, (cost[p], i, p))
             h = left[i]
-            if h >= 0 and (p := symbols[h] + piece) in score:
-                heapq.heappush(agenda, (-score[p], h, p))
+            if h >= 0 and (p := symbols[h] + piece) in cost:
+                heapq.heappush(agenda, (cost[p], h, p))
         return [s for s in symbols if s]
 
     def encode_segment(self, segment: str) -> list[int]:
@@ -88,47 +117,124 @@ class MergeVocabulary:
                 out.append(i)
         return out
 
-    def surface(self, ids: list[int]) -> str:
-        """Decoded text of a segment with its first space."""
-        raw = b"".join(bytes((self.byte_of[i],)) if i in self.byte_of else self.lib.id_to_piece(i).encode() for i in ids)
-        return raw.decode(errors="replace").replace(MARK, " ")
+    def pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and costs of the pieces that pairs of symbols join to; no piece: endless cost."""
+        keys = self.pair_key(left, right)
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        found = (self.pairs[at] == keys) & (right >= 0)
+        return self.pair_id[at], np.where(found, self.pair_cost[at], np.inf)
+
+    def merge_rows(self, symbols: np.ndarray) -> np.ndarray:
+        """The same agenda for many short segments at once. Rows of symbols end in -1; column i of
+        the agenda is the cost of the pair that begins at place i, so the first least cost of a
+        row is the pair to merge."""
+        width = symbols.shape[1]
+        if width < 2:
+            return symbols
+        made, agenda = (x.reshape(len(symbols), width - 1) for x in self.pair(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
+        rows, columns = np.arange(len(symbols)), np.arange(width)
+        while len(rows):
+            at = agenda.argmin(axis=1)
+            own = np.arange(len(rows))
+            active = np.isfinite(agenda[own, at])
+            rows, agenda, made, at = rows[active], agenda[active], made[active], at[active]
+            if not len(rows):
+                break
+            own = own[:len(rows)]
+            line = symbols[rows]
+            line[own, at] = made[own, at]
+            shift = columns + (columns > at[:, None])
+            line = np.take_along_axis(np.pad(line, ((0, 0), (0, 1)), constant_values=-1), shift, axis=1)
+            symbols[rows] = line
+            move = columns[:-1] + (columns[:-1] >= at[:, None])
+            agenda = np.take_along_axis(np.pad(agenda, ((0, 0), (0, 1)), constant_values=np.inf), move, axis=1)
+            made = np.take_along_axis(np.pad(made, ((0, 0), (0, 1))), move, axis=1)
+            for place, ok in ((at, at < width - 1), (at - 1, at > 0)):
+                r, c = own[ok], place[ok]
+                made[r, c], agenda[r, c] = self.pair(line[r, c], line[r, c + 1])
+        return symbols
+
+    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments one after another, and the number of ids of each."""
+        sizes = np.asarray([len(s) for s in segments])
+        codes = self.char[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")]
+        starts = np.cumsum(sizes) - sizes
+        found: list = [None] * len(segments)
+        for low, high in ((0, 6), (6, 10), (10, 16), (16, SHORT)):
+            chosen = np.flatnonzero((sizes > low) & (sizes <= high))
+            columns = np.arange(high)
+            for some in np.array_split(chosen, max(1, len(chosen) // 20_000)):
+                inside = columns < sizes[some][:, None]
+                symbols = np.where(inside, codes[np.minimum(starts[some][:, None] + columns, len(codes) - 1)], -1)
+                symbols = self.merge_rows(symbols)
+                kept = symbols >= 0
+                counts = kept.sum(axis=1)
+                flat, ends = symbols[kept].astype(np.int32), np.cumsum(counts)
+                strange = np.logical_or.reduceat(flat >= self.size, ends - counts) if len(flat) else kept[:, 0]
+                for k, e, n, odd in zip(some.tolist(), ends.tolist(), counts.tolist(), strange.tolist()):
+                    found[k] = self.encode_segment(segments[k]) if odd else flat[e - n:e]
+        for k in np.flatnonzero(sizes > SHORT).tolist():
+            found[k] = self.encode_segment(segments[k])
+        counts = np.asarray([len(f) for f in found])
+        return np.concatenate([np.asarray(f, np.int32) for f in found]), counts
+
+    def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The text of ids as bytes, a space before each word, and the bytes of each id."""
+        sizes = self.raw_size[ids]
+        ends = np.cumsum(sizes)
+        place = np.repeat(self.raw_start[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.raw[place].tobytes(), sizes
 
     def learn(self, fresh: list[str]) -> None:
-        """Encode segments by the agenda and compare each with the library."""
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-        mine = [self.encode_segment(s) for s in fresh]
+        """Encode segments by the agenda and compare them with the library."""
+        ids, counts = self.encode_segments(fresh)
         theirs = self.lib.encode([s[1:] for s in fresh], num_threads=1)
-        back = self.lib.decode(mine)
-        for s, ids, other, decoded in zip(fresh, mine, theirs, back):
-            if s == " ":  # the space the library adds before a text: nothing by itself, a mark before other segments
-                other, decoded = ids, ""
-            text = self.surface(ids)
-            if ids != other or text[1:] != decoded:
-                raise ValueError(f"segment {s[:80]!r}: agenda {ids[:20]} {text[:80]!r}, library {other[:20]} {decoded[:80]!r}")
-            self.known[s] = (np.asarray(ids, "<i4").tobytes(), text)
-
-    def encode(self, values: list[str | None]) -> list[tuple[bytes, str]]:
-        """Ids (32-bit, little-endian) and decoded text of each value."""
+        back = self.lib.decode(theirs)
+        ends = np.cumsum(counts)
+        listed = np.fromiter(chain.from_iterable(theirs), np.int32)
+        alone = [k for k, s in enumerate(fresh) if s == " "]  # the library adds no mark to nothing
+        if alone or not (np.array_equal(listed, ids) and np.array_equal(counts, [len(t) for t in theirs])):
+            for k, (s, other) in enumerate(zip(fresh, theirs)):
+                mine = ids[ends[k] - counts[k]:ends[k]].tolist()
+                if s != " " and mine != other:
+                    raise ValueError(f"segment {s[:80]!r}: agenda {mine[:20]}, library {other[:20]}")
+        for s, decoded in zip(fresh, back):
+            if s[1:] != decoded:
+                raise ValueError(f"segment {s[:80]!r}: decoded {decoded[:80]!r}")
+        if self.decode(ids)[0] != "".join(fresh).encode():
+            raise ValueError("segments decode to another text")
+        raw = ids.astype("<i4").tobytes()
+        self.known.update((s, raw[4 * (e - n):4 * e]) for s, e, n in zip(fresh, ends.tolist(), counts.tolist()))
+
+    def encode(self, values: list[str | None]) -> list[bytes]:
+        """Ids (32-bit, little-endian) of each value."""
         split = [self.segments(v) for v in values]
-        wanted = set(chain.from_iterable(split))
-        fresh = wanted.difference(self.known)
-        if len(self.known) + len(fresh) > REMEMBERED:
-            fresh = wanted
+        wanted = set(chain.from_iterable(split)).difference(self.known)
+        if len(self.known) + len(wanted) > REMEMBERED:
+            self.known, self.older = {}, self.known
+            wanted = set(chain.from_iterable(split))
+        known, older = self.known, self.older
+        known.update((s, older[s]) for s in wanted.intersection(older))
+        fresh = [s for s in wanted if s not in older]
         if fresh:
-            self.learn(list(fresh))
-        known, out = self.known, []
-        for segments in split:
-            found = [known[s] for s in segments]
-            out.append((b"".join([f[0] for f in found]), "".join([f[1] for f in found])[1:]))
-        for value, (ids, decoded) in zip(values, out):
+            self.learn(fresh)
+        out = [b"".join([known[s] for s in segments]) for segments in split]
+        for value, ids in zip(values, out):
             if value and len(value) <= 1 << 20:
                 listed = self.lib.encode(value)
-                if np.asarray(listed, "<i4").tobytes() != ids or self.lib.decode(listed) != decoded:
+                mine = np.frombuffer(ids, "<i4")
+                if not np.array_equal(listed, mine) or self.lib.decode(listed).encode() != self.decode(mine)[0][1:]:
                     raise ValueError(f"text {value[:80]!r}: the joined segments differ from the library")
                 break
         return out
 
+    def decode_all(self, encoded: list[bytes]) -> list[bytes]:
+        """Decoded text of each value; the space before the first word goes."""
+        ids = np.frombuffer(b"".join(encoded), "<i4")
+        body, sizes = self.decode(ids)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *(len(e) // 4 for e in encoded)])].tolist()
+        return [body[a + 1:b] for a, b in zip(ends, ends[1:])]
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> MergeVocabulary:
@@ -141,11 +247,10 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         book = vocabulary(path)
         for keys, values in texts(batches, 1 << 20):
             found = book.encode(values)
-            ends = np.cumsum([0, *(len(f[0]) // 4 for f in found)])
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                           pa.array(np.frombuffer(b"".join(f[0] for f in found), "<i4")))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), ids, pa.array([f[1] for f in found], pa.string())], ["doc_id", "ids", "decoded"])
+            ends = np.cumsum([0, *(len(f) // 4 for f in found)])
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+            decoded = pa.array(book.decode_all(found), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids, decoded], ["doc_id", "ids", "decoded"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(encode, SCHEMA)
 
