@@ -18,6 +18,7 @@ the id and text columns are read.
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -26,36 +27,82 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from flowguard.llm.common import id_and_text, parts, texts
 
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 NO_ID = np.iinfo(np.int64).min
 
 
+#: Words that normalization only puts in lower case: no white space, nothing to compose.
+SIMPLE = regex.compile("[!-~¡-ɏ]+")
+# The characters that stand for bytes in byte-level vocabularies.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def byte_characters() -> dict[int, str]:
+    hidden = [b for b in range(256) if b not in SHOWN]
+    return {b: chr(b) for b in SHOWN} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordEncoder:
-    """A tokenizer whose words end at white space, so each distinct word is encoded once."""
+    """A tokenizer whose words end at white space, so each distinct word is encoded once. If the
+    file has the parts of a lower-casing byte-level vocabulary, simple words are cut by its
+    pattern and each distinct cut is given to the library's model alone; all other words, and
+    those with a special token, go through the whole tokenizer."""
 
     def __init__(self, path: str, wide: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib, self.code = Tokenizer.from_file(path), "I" if wide else "H"
-        self.known: dict[bytes, bytes] = {}
+        self.model, self.known, self.older = self.lib.model, {}, {}
+        self.cuts: dict[str, bytes] = {}
+        self.shown = [c for _, c in sorted(byte_characters().items())]
+        parts = json.loads(self.lib.to_str())
+        steps, cut = parts["normalizer"].get("normalizers", []), parts["pre_tokenizer"].get("pretokenizers", [])
+        plain = ([n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cut] == ["Split", "ByteLevel"]
+                 and cut[0]["invert"] and cut[0]["behavior"] == "Removed" and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"])
+        self.cut = regex.compile(cut[0]["pattern"]["Regex"]) if plain else None
+        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in parts["added_tokens"]) or "(?!)")
+
+    def cut_ids(self, text: str) -> bytes:
+        found = self.cuts.get(text)
+        if found is None:
+            if len(self.cuts) > REMEMBERED:
+                self.cuts.clear()
+            shown = text if text.isascii() else "".join([self.shown[b] for b in text.encode()])
+            found = self.cuts[text] = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return found
+
+    def learn(self, fresh: list[bytes]) -> None:
+        rest, known, cut_ids = [], self.known, self.cut_ids
+        if self.cut is None:
+            rest, fresh = fresh, []
+        for w in fresh:
+            text = w.decode()
+            if w.isalpha():  # ASCII letters are one cut
+                known[w] = cut_ids(text.lower())
+            elif SIMPLE.fullmatch(text) and not self.special.search(text):
+                known[w] = b"".join([cut_ids(c) for c in self.cut.findall(text.lower())])
+            else:
+                rest.append(w)
+        found = self.lib.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        known.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(rest, found))
 
     def encode(self, values: list[str | None]) -> list[bytes]:
         split = [v.encode().split() if v else [] for v in values]
-        wanted = set(chain.from_iterable(split))
-        fresh = list(wanted.difference(self.known))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list(wanted)
-        code, known = self.code, self.known
-        found = self.lib.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        known.update((w, array(code, e.ids).tobytes()) for w, e in zip(fresh, found))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        every = set(chain.from_iterable(split))
+        wanted = every.difference(self.known)
+        if len(self.known) + len(wanted) > REMEMBERED:
+            self.known, self.older, wanted = {}, self.known, every
+        known, older = self.known, self.older
+        known.update((w, older[w]) for w in wanted.intersection(older))
+        self.learn([w for w in wanted if w not in known])
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 @lru_cache(maxsize=2)
