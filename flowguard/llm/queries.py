@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import decontaminate, jaccard, langid, pieces, quality, surrogates, tokenfile, toxicity
+from flowguard.llm import decontaminate, jaccard, langid, pieces, quality, suffixes, surrogates, tokenfile, toxicity
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from flowguard.session import shared_dir
@@ -22,6 +22,11 @@ def op2(spark, sf):
     return jaccard.similar_documents(table(spark, sf, "documents"))
 
 
+@query("op3_suffix_dedup")
+def op3(spark, sf):
+    return suffixes.digests(suffixes.remove_repeats(table(spark, sf, "documents")))
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
