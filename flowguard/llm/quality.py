@@ -66,13 +66,13 @@ def repeat_words(words: Column) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(windows(h), counted))
 
 
-def with_base(docs: DataFrame) -> DataFrame:
-    """doc_id, text, n_lines and the counts of the base rules."""
+def with_base(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, text, n_lines and the counts of the base rules, besides carried columns."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACE_CHARS, "") != "")
-    step = docs.select("doc_id", "text", words_of(text).alias("_words"), lines.alias("_lines"))
+    step = docs.select(*carried, "doc_id", "text", words_of(text).alias("_words"), lines.alias("_lines"))
     return step.select(
-        "doc_id", "text", F.size("_words").cast("long").alias("n_words"),
+        *carried, "doc_id", "text", F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.translate(text, SPACE_CHARS, "")).cast("long").alias("word_chars"),
         (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -131,3 +131,13 @@ def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, id_col: str
     ordered = [Rule("base", base_failed()), *order_rules(docs, rules, sample_rows)]
     return base.withColumns({"base_failed": base_failed(), "failed_rule": cascade(ordered)}) \
                .withColumn("kept", F.col("failed_rule").isNull())
+
+
+def keep_good(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text",
+              sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with all their columns."""
+    ordered = [Rule("base", base_failed()), *order_rules(id_and_text(docs, id_col, text_col),
+                                                        default_rules() if rules is None else rules, sample_rows)]
+    whole = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("doc_id"),
+                        F.col(text_col).cast("string").alias("text"))
+    return with_base(whole, "_row").filter(cascade(ordered).isNull()).select("_row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import decontaminate, jaccard, langid, pieces, quality, suffixes, surrogates, tokenfile, toxicity
+from flowguard.llm import decontaminate, jaccard, langid, pieces, preferences, quality, suffixes, surrogates, tokenfile, toxicity
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from flowguard.session import shared_dir
@@ -132,3 +132,56 @@ def op7(spark, sf):
     model = langid.fit(docs.filter(langid.fold("doc_id", 3) != 1))
     found = langid.predict(docs, model)
     return found.select("doc_id", (langid.fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+OP9_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+ends AS (SELECT conv_id, min(i) AS a, max(i) AS z FROM t WHERE role = 'assistant' GROUP BY conv_id HAVING min(i) < max(i)),
+said AS (SELECT e.conv_id, e.z, t.text AS first_text FROM ends e JOIN t ON t.conv_id = e.conv_id AND t.i = e.a),
+both_there AS (SELECT conv_id // 2 AS k FROM t GROUP BY 1 HAVING count(DISTINCT conv_id) = 2),
+p AS (
+  SELECT 'own-' || t.conv_id AS pair_id, 'c' AS side, i, role, text FROM t JOIN said ON said.conv_id = t.conv_id
+  UNION ALL
+  SELECT 'own-' || t.conv_id, 'r', i, role, CASE WHEN i = z THEN first_text ELSE text END FROM t JOIN said ON said.conv_id = t.conv_id
+  UNION ALL
+  SELECT 'next-' || k, CASE WHEN conv_id % 2 = 0 THEN 'c' ELSE 'r' END, i, role, text FROM t JOIN both_there ON k = conv_id // 2),
+sizes AS (SELECT pair_id, count(*) FILTER (side = 'c') AS nc, count(*) FILTER (side = 'r') AS nr FROM p GROUP BY pair_id),
+same AS (
+  SELECT a.pair_id, a.i FROM p a JOIN p b ON a.pair_id = b.pair_id AND a.i = b.i AND a.role = b.role AND a.text = b.text
+  WHERE a.side = 'c' AND b.side = 'r'),
+com AS (
+  SELECT s.pair_id, coalesce(max(x.i), 0) AS n, any_value(nc) AS nc, any_value(nr) AS nr FROM sizes s
+  LEFT JOIN (SELECT pair_id, i, row_number() OVER (PARTITION BY pair_id ORDER BY i) AS r FROM same) x
+    ON x.pair_id = s.pair_id AND x.i = x.r GROUP BY s.pair_id),
+r AS (
+  SELECT p.pair_id, side, i, n, role, '<|' || role || '|>' || chr(10) AS h,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS s
+  FROM p JOIN com ON com.pair_id = p.pair_id),
+w AS (SELECT *, sum(length(s)) OVER (PARTITION BY pair_id, side ORDER BY i) AS z FROM r WHERE i > n),
+o AS (
+  SELECT pair_id, string_agg(s, '' ORDER BY i) FILTER (side = 'c') AS c, string_agg(s, '' ORDER BY i) FILTER (side = 'r') AS r,
+         string_agg(CAST(z - length(s) + length(h) AS VARCHAR) || '-' || CAST(z AS VARCHAR), ',' ORDER BY i)
+           FILTER (side = 'c' AND role = 'assistant') AS cm,
+         string_agg(CAST(z - length(s) + length(h) AS VARCHAR) || '-' || CAST(z AS VARCHAR), ',' ORDER BY i)
+           FILTER (side = 'r' AND role = 'assistant') AS rm
+  FROM w GROUP BY pair_id),
+f AS (SELECT pair_id, string_agg(s, '' ORDER BY i) AS t FROM r WHERE i <= n AND side = 'c' GROUP BY pair_id)
+SELECT com.pair_id, CAST(com.n AS INTEGER) AS n_common, coalesce(o.c, '') <> coalesce(o.r, '') AS differs,
+       sha256(coalesce(f.t, '')) AS prompt_sha256, sha256(coalesce(o.c, '')) AS chosen_sha256,
+       sha256(coalesce(o.r, '')) AS rejected_sha256, coalesce(o.cm, '') AS chosen_mask, coalesce(o.rm, '') AS rejected_mask
+FROM com LEFT JOIN o ON o.pair_id = com.pair_id LEFT JOIN f ON f.pair_id = com.pair_id
+"""
+
+
+@query("op9_preferences", OP9_SQL)
+def op9(spark, sf):
+    talks = preferences.conversations(table(spark, sf, "conversations"))
+    made = preferences.format_preferences(preferences.retold(talks).unionByName(preferences.neighbours(talks)))
+    mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat(
+        s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",")
+    return made.select("pair_id", "n_common", "differs", F.sha2("prompt", 256).alias("prompt_sha256"),
+                       F.sha2("chosen", 256).alias("chosen_sha256"), F.sha2("rejected", 256).alias("rejected_sha256"),
+                       mask("chosen_mask").alias("chosen_mask"), mask("rejected_mask").alias("rejected_mask"))
