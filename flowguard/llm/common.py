@@ -92,6 +92,19 @@ def texts(batches: Iterator[pa.RecordBatch], limit: int = BLOCK) -> Iterator[tup
         yield ids, held
 
 
+def squeezed(docs: DataFrame) -> DataFrame:
+    """doc_id and the compressed bytes of the text, to pass through shuffles."""
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        pack = zstandard.ZstdCompressor(level=3)
+        for ids, values in texts(batches, 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()),
+                                              pa.array([pack.compress((v or "").encode()) for v in values], pa.binary())],
+                                             ["doc_id", "raw"])
+
+    return docs.mapInArrow(squeeze, "doc_id long, raw binary")
+
+
 # -- hashes of 64 bits over numpy arrays -----------------------------------------------------
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import (LOWER, RollingHash, id_and_text, joined, mixed, packed, parts, stage, texts,
+from flowguard.llm.common import (LOWER, RollingHash, id_and_text, joined, mixed, packed, parts, squeezed, stage, texts,
                                   unpacked)
 from flowguard.llm.graph import components
 
@@ -47,9 +47,9 @@ SHINGLE = 5
 LEAF = 64
 FAN = 32
 #: Group contents that one bucket is meant to hold, and that a task packs at once.
-BUCKET = 1 << 20
+BUCKET = 1 << 19
 
-POINT = "cluster long, doc_id long, n long, shingles binary, counts binary"
+POINT = "cluster long, doc_id long, n long, raw binary, counts binary"
 U = np.uint64
 
 
@@ -152,10 +152,13 @@ def contents(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(keys), np.concatenate(sets)) if keys else (np.zeros(0, U), np.zeros(0, np.int64))
 
 
-def candidate_edges(docs: DataFrame, total: int) -> DataFrame:
-    """Edges (a, b) between set fingerprints that share a group content, with weight 0, and rows
-    (a, a) whose weight counts the sharings of a."""
+def candidate_edges(docs: DataFrame, total: int, drop: int) -> DataFrame:
+    """Edges (a, b) between set marks that share a group content, with weight 0, and rows (a, a)
+    whose weight counts the sharings of a. A mark is a fingerprint without its low ``drop`` bits;
+    of the content hashes, too, only as many bits are sent as keep chance meetings rare. Sets
+    that meet by chance cost a comparison, no more."""
     bits = max(4, int(total // 2 // BUCKET).bit_length())
+    spare = max(0, 64 - int(max(total, 2)).bit_length() - 20)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -168,12 +171,13 @@ def candidate_edges(docs: DataFrame, total: int) -> DataFrame:
             key, mark = key[order], mark[order]
             bucket = (key >> U(64 - bits)).astype(np.int64)
             cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            key >>= U(spare)
             blobs = [packed(key[a:b], mark[a:b]) for a, b in zip(cut, np.append(cut[1:], len(key)))]
             return pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
         for _, values in texts(batches, 1 << 20):
             found, counts = shingle_sets(values)
-            mark = fingerprints(found, counts)[0]
+            mark = fingerprints(found, counts)[0] >> U(drop)
             key, place = contents(found, counts)
             # Copies met again in this task deal nothing new: what a hot group sends is one set per task.
             fresh = np.zeros(len(mark), bool)
@@ -243,56 +247,57 @@ def numbers(blob: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(blob, dtype)
 
 
-def same_size_overlap(a: np.ndarray, b: np.ndarray) -> int:
-    return len(np.intersect1d(a, b, assume_unique=True))
-
-
 def points(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The sets and vectors of the representatives of the classes in clusters."""
+    """The texts (compressed, smaller than their sets) and vectors of the representatives of the
+    classes in clusters."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            rows = table.drop_columns(["text"]).to_pylist()
-            column = batch.column("text")
-            for begin in range(0, len(rows), 128):
-                some = rows[begin:begin + 128]
-                found, counts = shingle_sets([column[begin + i].as_py() for i in range(len(some))])
+            for begin in range(0, batch.num_rows, 128):
+                some = batch.slice(begin, 128)
+                rows = some.to_pylist()
+                found, counts = shingle_sets([open_.decompress(r["raw"]).decode() for r in rows])
                 first, second = fingerprints(found, counts)
                 ends = np.cumsum(counts)
-                out = [(r["cluster"], r["doc_id"], n, found[e - n:e]) for r, n, e, f, s in zip(
-                    some, counts.tolist(), ends.tolist(), first.view(np.int64).tolist(), second.view(np.int64).tolist())
-                    if f == r["fa"] and s == r["fb"]]  # another text of the same id is another class
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                    pa.array([o[2] for o in out], pa.int64()), pa.array([o[3].tobytes() for o in out], pa.binary()),
-                    pa.array([counts_of(o[3]).astype("<i4").tobytes() for o in out], pa.binary()),
-                ], ["cluster", "doc_id", "n", "shingles", "counts"])
+                out = [(r["cluster"], r["doc_id"], n, r["raw"], counts_of(found[e - n:e]).astype("<i4").tobytes())
+                       for r, n, e, f, s in zip(rows, counts.tolist(), ends.tolist(), first.view(np.int64).tolist(),
+                                                second.view(np.int64).tolist())
+                       if f == r["fa"] and s == r["fb"]]  # another text of the same id is another class
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(
+                    (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["cluster", "doc_id", "n", "raw", "counts"])
 
-    rows = docs.join(nodes.select("cluster", "doc_id", "fa", "fb"), "doc_id").select("cluster", "doc_id", "fa", "fb", "text")
-    return rows.mapInArrow(build, POINT).dropDuplicates(["doc_id"])
+    rows = squeezed(docs).join(nodes.select("cluster", "doc_id", "fa", "fb"), "doc_id")
+    return rows.select("cluster", "doc_id", "fa", "fb", "raw").mapInArrow(build, POINT)
 
 
 def verified(pairs: DataFrame) -> DataFrame:
-    """Of rows (a, b, na, nb, ca, cb, sa, sb) the links: bound first, then the sets."""
+    """Of rows (a, b, na, nb, ca, cb, ra, rb) the links: bound first, then the sets."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                na, nb, ca, cb = (batch.column(c)[i].as_py() for c in ("na", "nb", "ca", "cb"))
-                need = needed(na, nb, nb)
-                if need is None or summed_minima(numbers(ca, "<i4"), numbers(cb, "<i4")) < need:
-                    continue
-                shared = same_size_overlap(*(numbers(batch.column(c)[i].as_py(), "<u8") for c in ("sa", "sb")))
-                if linked(shared, na, nb):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in "ab"], ["a", "b"])
+            links = []
+            for begin in range(0, batch.num_rows, 256):
+                some = batch.slice(begin, 256)
+                a, b, na, nb, ca, cb = (some.column(c).to_pylist() for c in ("a", "b", "na", "nb", "ca", "cb"))
+                near = [i for i in range(len(a)) if (need := needed(na[i], nb[i], nb[i])) is not None
+                        and summed_minima(numbers(ca[i], "<i4"), numbers(cb[i], "<i4")) >= need]
+                raw = {a[i]: some.column("ra")[i] for i in near} | {b[i]: some.column("rb")[i] for i in near}
+                names = {k: i for i, k in enumerate(raw)}
+                found, counts = shingle_sets([open_.decompress(v.as_py()).decode() for v in raw.values()])
+                ends = np.cumsum(counts)
+                sets = [found[e - n:e] for n, e in zip(counts.tolist(), ends.tolist())]
+                links += [(a[i], b[i]) for i in near
+                          if linked(len(np.intersect1d(sets[names[a[i]]], sets[names[b[i]]], assume_unique=True)), na[i], nb[i])]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return pairs.mapInArrow(check, "a long, b long")
 
 
 def beside(p: DataFrame, side: str) -> DataFrame:
     return p.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("counts").alias(f"c{side}"),
-                    F.col("shingles").alias(f"s{side}"))
+                    F.col("raw").alias(f"r{side}"))
 
 
 def pivot_links(p: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -301,10 +306,10 @@ def pivot_links(p: DataFrame, pivots: DataFrame) -> DataFrame:
     salts = F.greatest(F.lit(1), F.col("size") / 256).cast("int")
     centre = p.join(pivots.withColumnRenamed("pivot", "doc_id"), ["cluster", "doc_id"]) \
               .select("cluster", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
-                      F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"), F.col("shingles").alias("sa"))
+                      F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"), F.col("raw").alias("ra"))
     others = p.join(pivots, "cluster").filter("doc_id <> pivot").select(
         "cluster", F.pmod(F.xxhash64("doc_id"), salts).cast("int").alias("salt"),
-        F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"), F.col("shingles").alias("sb"))
+        F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"), F.col("raw").alias("rb"))
     return verified(others.join(centre, ["cluster", "salt"]))
 
 
@@ -404,13 +409,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = id_and_text(docs, id_col, text_col)
     marks = stage(sets_of(docs), "sets")
     usable = marks.filter("n > 0 AND doc_id IS NOT NULL")
-    total = usable.agg(F.sum("n")).first()[0] or 0
-    found = stage(candidate_edges(docs.filter("doc_id IS NOT NULL"), total).groupBy("a", "b").agg(F.sum("w").alias("w")), "meetings")
+    total, rows = usable.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    drop = max(0, 64 - int(max(rows, 2)).bit_length() - 24)
+    found = stage(candidate_edges(docs.filter("doc_id IS NOT NULL"), total, drop).groupBy("a", "b").agg(F.sum("w").alias("w")), "meetings")
     clusters = components(found.filter("a <> b"))
-    support = found.filter("a = b").select(F.col("a").alias("node"), "w")
-    classes = usable.groupBy("fa", "fb", "n").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    nodes = stage(classes.join(clusters.withColumnRenamed("node", "fa").withColumnRenamed("component", "cluster"), "fa")
-                  .join(support.withColumnRenamed("node", "fa"), "fa"), "nodes")
+    support = found.filter("a = b").select(F.col("a").alias("mark"), "w")
+    classes = usable.groupBy("fa", "fb", "n").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")) \
+                    .withColumn("mark", F.shiftrightunsigned("fa", drop))
+    nodes = stage(classes.join(clusters.withColumnRenamed("node", "mark").withColumnRenamed("component", "cluster"), "mark")
+                  .join(support, "mark"), "nodes")
     p = stage(points(docs, nodes), "points")
     pivots = stage(nodes.groupBy("cluster").agg(F.max_by("doc_id", F.struct("w", -F.col("doc_id"))).alias("pivot"),
                                                 F.count(F.lit(1)).alias("size")).filter("size > 1"), "pivots")
