@@ -50,7 +50,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def grams(word: str, n: int) -> list[str]:
-    marked = f" {word} "
+    marked = f" {word} " if n > 1 else word
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
@@ -69,7 +69,8 @@ class Model:
         marked = f" {word} "
         size = len(marked)
         for n in range(LONGEST, 0, -1):
-            found = [r for i in range(size - n + 1) if (r := rows.get((n, marked[i:i + n]))) is not None]
+            places = range(size - n + 1) if n > 1 else range(1, size - 1)
+            found = [r for i in places if (r := rows.get((n, marked[i:i + n]))) is not None]
             if found:
                 return found, LONGEST + 1 - n
         return [], 0
