@@ -1,123 +1,70 @@
 """Exact order statistics and quantiles of columns of any size.
 
 ``percentile`` keeps a map of all distinct values in one task, which a column of 10^12
-doubles does not allow. Here a mergeable sketch proposes two values around each wanted
-rank, one counting pass checks where the rank lies relative to them, and the search goes on
-inside the interval until few enough values are left to be sorted. Every
-pass is a partial aggregate without a row shuffle; each narrows the interval by a factor of
-about ``accuracy`` / 4. The answer is always exact: the sketch only proposes.
+doubles does not allow. Here a value is found by descent through the digits of its 64-bit
+image, which has the order of the values: each pass counts, over the rows that share the
+digits found so far, how often each next digit occurs, and the running sum tells the digit
+of the wanted rank. Five passes of 13 bits give every value of every column exactly. A pass is
+one counting scan for all columns with at most 8192 counters per open prefix and task; rows
+are never shuffled, and nothing depends on the size of the table.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Values that may be sorted in one task, over all columns together.
-LIMIT = 2_000_000
-ACCURACY = 10_000
-
-
-@dataclass
-class _Search:
-    """One wanted rank: it lies among the ``size`` values between ``lo`` and ``hi``, with
-    ``below`` values under ``lo``."""
-
-    item: str
-    rank: int
-    size: int
-    below: int = 0
-    lo: float | int | None = None
-    hi: float | int | None = None
-    value: float | int | None = None
-
-    def rank_inside(self) -> int:
-        return self.rank - self.below
-
-    def inside(self, c: Column) -> Column:
-        if self.lo is None and self.hi is None:
-            return c
-        keep = F.lit(True)
-        if self.lo is not None:
-            keep = keep & (c >= self.lo)
-        if self.hi is not None:
-            keep = keep & (c <= self.hi)
-        return F.when(keep, c)
-
-
-def _propose(df: DataFrame, items: dict[str, Column], open_: list[_Search],
-             accuracy: int) -> list[tuple]:
-    """Two values around each wanted rank, from one sketch per interval.
-
-    Ranks are placed on the sketch's own grid, so neighbouring ranks get the same pair.
-    """
-    wanted: dict[tuple, list[float]] = {}
-    places = []
-    for s in open_:
-        step = s.rank_inside() * accuracy // max(s.size - 1, 1)
-        probs = wanted.setdefault((s.item, s.lo, s.hi), [])
-        pair = (max(step - 2, 0) / accuracy, min(step + 3, accuracy) / accuracy)
-        probs += [p for p in pair if p not in probs]
-        places.append(((s.item, s.lo, s.hi), pair))
-    example = {(s.item, s.lo, s.hi): s for s in open_}
-    names = {k: f"p{i}" for i, k in enumerate(wanted)}
-    row = df.agg(*[
-        F.percentile_approx(example[k].inside(items[k[0]]), probs, accuracy).alias(names[k])
-        for k, probs in wanted.items()]).first()
-    return [tuple(row[names[k]][wanted[k].index(p)] for p in pair) for k, pair in places]
-
-
-def _check(df: DataFrame, items: dict[str, Column], open_: list[_Search], pairs: list[tuple]) -> None:
-    """Count around the proposed values and shrink each interval."""
-    distinct = list(dict.fromkeys((s.item, a, b) for s, (a, b) in zip(open_, pairs)))
-    aggs = []
-    for i, (item, a, b) in enumerate(distinct):
-        c = items[item]
-        aggs += [
-            F.count_if(c < a).alias(f"lt_a{i}"), F.count_if(c <= a).alias(f"le_a{i}"),
-            F.count_if(c < b).alias(f"lt_b{i}"), F.count_if(c <= b).alias(f"le_b{i}"),
-            F.min(F.when(c > a, c)).alias(f"above_a{i}"),
-            F.max(F.when(c < b, c)).alias(f"under_b{i}"),
-        ]
-    row = df.agg(*aggs).first()
-    for s, (a, b) in zip(open_, pairs):
-        i = distinct.index((s.item, a, b))
-        lt_a, le_a, lt_b, le_b = (row[f"{k}{i}"] for k in ("lt_a", "le_a", "lt_b", "le_b"))
-        before = s.size
-        if s.rank < lt_a:
-            s.hi, s.size = a, le_a - s.below
-        elif s.rank < le_a:
-            s.value = a
-        elif s.rank < lt_b:
-            s.lo, s.hi = row[f"above_a{i}"], row[f"under_b{i}"]
-            s.size, s.below = lt_b - le_a, le_a
-        elif s.rank < le_b:
-            s.value = b
-        else:
-            s.lo, s.size, s.below = b, s.size - (lt_b - s.below), lt_b
-        if s.value is None and s.size >= before:
-            raise RuntimeError(f"no progress on {s.item}: is the input stable between passes?")
-
-
-def _finish(df: DataFrame, items: dict[str, Column], left: list[_Search]) -> None:
-    """Sort the few values left in each interval and read off the wanted ones."""
-    groups: dict[tuple, list[_Search]] = {}
-    for s in left:
-        groups.setdefault((s.item, s.lo, s.hi, s.below), []).append(s)
-    members = list(groups.values())
-    lists = df.agg(*[
-        F.sort_array(F.collect_list(g[0].inside(items[g[0].item]))).alias(f"g{i}")
-        for i, g in enumerate(members)])
-    picks = lists.select(*[
-        F.get(f"g{i}", F.lit(s.rank - s.below)).alias(f"v{i}_{j}")
-        for i, g in enumerate(members) for j, s in enumerate(g)]).first()
-    for i, g in enumerate(members):
-        for j, s in enumerate(g):
-            s.value = picks[f"v{i}_{j}"]
+BITS = 13
+SIGN = np.uint64(1 << 63)
+
+
+def _images(values: pa.Array) -> np.ndarray:
+    """64-bit images of the values present, in the order of the values (NaN last, as in Spark)."""
+    present = values.drop_null().to_numpy(zero_copy_only=False)
+    if present.dtype.kind != "f":
+        return present.astype(np.int64).view(np.uint64) ^ SIGN
+    plain = np.where(np.isnan(present), np.nan, present + 0.0).view(np.uint64)
+    return np.where(plain & SIGN, ~plain, plain | SIGN)
+
+
+def _value(image: int, whole: bool) -> float | int:
+    bits = np.array([image], np.uint64)
+    if whole:
+        return int((bits ^ SIGN).view(np.int64)[0])
+    return float(np.where(bits & SIGN, bits ^ SIGN, ~bits).view(np.float64)[0])
+
+
+def _next_digits(df: DataFrame, groups: list[tuple[int, int]], places: list[tuple[int, int]], top: int,
+                 low: int) -> dict[tuple[int, int], tuple[int, int]]:
+    """For (group, place) the next digit and the number of values before it in the group. A
+    group is a column and the image's bits above ``top``; the digit is the bits from ``low`` on."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = top - low
+        counts = np.zeros((len(groups), 1 << width), np.int64)
+        for batch in batches:
+            for column in {c for c, _ in groups}:
+                image = _images(batch.column(column))
+                for g, (c, prefix) in enumerate(groups):
+                    if c == column:
+                        own = image if top == 64 else image[image >> np.uint64(top) == np.uint64(prefix)]
+                        digit = (own >> np.uint64(low)) & np.uint64((1 << width) - 1)
+                        counts[g] += np.bincount(digit.astype(np.int64), minlength=1 << width)
+        g, digit = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(digit, pa.int32()),
+                                          pa.array(counts[g, digit], pa.int64())], ["g", "digit", "n"])
+
+    counted = df.mapInArrow(count, "g int, digit int, n long").groupBy("g", "digit").agg(F.sum("n").alias("n"))
+    ends = counted.withColumn("end", F.sum("n").over(Window.partitionBy("g").orderBy("digit")))
+    wanted = df.sparkSession.createDataFrame(places, "g int, place long")
+    hit = (F.col("place") < F.col("end")) & (F.col("place") >= F.col("end") - F.col("n"))
+    rows = ends.join(F.broadcast(wanted), "g").where(hit).select("g", "place", "digit", (F.col("end") - F.col("n")).alias("before"))
+    return {(r["g"], r["place"]): (r["digit"], r["before"]) for r in rows.collect()}
 
 
 def count_values(df: DataFrame, items: dict[str, Column]) -> dict[str, int]:
@@ -127,33 +74,35 @@ def count_values(df: DataFrame, items: dict[str, Column]) -> dict[str, int]:
 
 
 def order_statistics(df: DataFrame, items: dict[str, Column], ranks: Callable[[str, int], list[int]],
-                     counts: dict[str, int] | None = None, limit: int | None = None,
-                     accuracy: int = ACCURACY,
-                     guess: Callable[[int, int], tuple] | None = None) -> dict[str, dict[int, float | int]]:
+                     counts: dict[str, int] | None = None) -> dict[str, dict[int, float | int]]:
     """Exact values at 0-based ranks of each column expression, NULLs left out.
 
     ``ranks(name, n)`` names the ranks wanted of a column with ``n`` values. The input is
-    read several times, so it must give the same rows each time. ``limit`` is the number of
-    values of one interval that may be sorted. Where the distribution is known, ``guess(rank, n)``
-    gives the first two values to try and spares the first sketch.
+    read several times, so it must give the same rows each time.
     """
-    limit = LIMIT // max(1, len(items)) if limit is None else limit
+    names = list(items)
     counts = counts or count_values(df, items)
-    searches = [_Search(name, r, counts[name]) for name in items if counts[name]
-                for r in sorted(set(ranks(name, counts[name])))]
-    while True:
-        open_ = [s for s in searches if s.value is None and s.size > limit]
-        if not open_:
-            break
-        pairs = [guess(s.rank, s.size) for s in open_] if guess else _propose(df, items, open_, accuracy)
-        guess = None
-        _check(df, items, open_, pairs)
-    left = [s for s in searches if s.value is None]
-    if left:
-        _finish(df, items, left)
-    out: dict[str, dict[int, float | int]] = {name: {} for name in items}
-    for s in searches:
-        out[s.item][s.rank] = s.value
+    plain = df.select(*[items[n].alias(f"c{i}") for i, n in enumerate(names)])
+    whole = [f.dataType.typeName() in ("byte", "short", "integer", "long", "boolean") for f in plain.schema.fields]
+    frame = plain.select(*[F.col(f"c{i}").cast("bigint" if w else "double") for i, w in enumerate(whole)])
+    # Of each wanted value: its column, the bits found and its rank among the rows that share them.
+    found = {(i, r): (0, r) for i, n in enumerate(names) if counts[n] for r in sorted(set(ranks(n, counts[n])))}
+    top = 64
+    while top and found:
+        low = max(0, top - BITS)
+        groups = sorted({(i, prefix) for (i, _), (prefix, _) in found.items()})
+        number = {g: k for k, g in enumerate(groups)}
+        places = sorted({(number[i, prefix], place) for (i, _), (prefix, place) in found.items()})
+        digits = _next_digits(frame, groups, places, top, low)
+        for (i, r), (prefix, place) in found.items():
+            if (number[i, prefix], place) not in digits:
+                raise RuntimeError(f"no value of rank {r} in {names[i]}: is the input stable between passes?")
+            digit, before = digits[number[i, prefix], place]
+            found[i, r] = (prefix << (top - low) | digit, place - before)
+        top = low
+    out: dict[str, dict[int, float | int]] = {name: {} for name in names}
+    for (i, r), (image, _) in found.items():
+        out[names[i]][r] = _value(image, whole[i])
     return out
 
 
@@ -171,10 +120,10 @@ class Quantile:
 
 
 def exact_quantiles(df: DataFrame, items: dict[str, Column], probs: list[float],
-                    **options) -> dict[str, list[Quantile | None]]:
+                    counts: dict[str, int] | None = None) -> dict[str, list[Quantile | None]]:
     """Linearly interpolated quantiles (position q * (n - 1)) of each column, exact.
     A column without values gives None."""
-    counts = options.pop("counts", None) or count_values(df, items)
+    counts = counts or count_values(df, items)
 
     def position(q: float, n: int) -> tuple[int, float]:
         at = q * (n - 1)
@@ -184,7 +133,7 @@ def exact_quantiles(df: DataFrame, items: dict[str, Column], probs: list[float],
     def ranks(name: str, n: int) -> list[int]:
         return [r for q in probs for low in (position(q, n)[0],) for r in (low, min(low + 1, n - 1))]
 
-    found = order_statistics(df, items, ranks, counts, **options)
+    found = order_statistics(df, items, ranks, counts)
     out: dict[str, list[Quantile | None]] = {}
     for name in items:
         n = counts[name]
