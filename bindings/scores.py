@@ -75,7 +75,8 @@ def _auc_roc(spark, sf):
 
 
 @query("roc_curve", AUC_SQL + """
-SELECT s + 0.0 AS threshold, round(fp / nn, 9) AS fpr, round(tp / np, 9) AS tpr FROM r""")
+SELECT s + 0.0 AS threshold, round(fp / nn, 9) AS fpr, round(tp / np, 9) AS tpr FROM r
+UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE""")
 def _roc_curve(spark, sf):
     c = roc_curve(events(spark, sf), "Label", "value")
     return c.select((F.col("threshold") + F.lit(0.0)).alias("threshold"),
@@ -83,7 +84,8 @@ def _roc_curve(spark, sf):
 
 
 @query("pr_curve", AUC_SQL + """
-SELECT s + 0.0 AS threshold, round(tp / (tp + fp), 9) AS "precision", round(tp / np, 9) AS recall FROM r""")
+SELECT s + 0.0 AS threshold, round(tp / (tp + fp), 9) AS "precision", round(tp / np, 9) AS recall FROM r
+UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0::DOUBLE, 0.0::DOUBLE""")
 def _pr_curve(spark, sf):
     c = pr_curve(events(spark, sf), "Label", "value")
     return c.select((F.col("threshold") + F.lit(0.0)).alias("threshold"),
@@ -144,11 +146,12 @@ def _cascade_threshold(spark, sf):
 
 @query("score_histogram", E + """,
 ends AS (SELECT "Label", min(value) AS lo, max(value) AS hi, count(*) AS total FROM d GROUP BY 1),
-binned AS (SELECT d."Label", lo, total, (hi - lo) / 80 AS w,
-                  CAST(least(floor((value - lo) / ((hi - lo) / 80)), 79) AS INTEGER) AS bin
-           FROM d JOIN ends ON ends."Label" = d."Label")
-SELECT "Label", bin, round(min(lo + bin * w), 6) + 0.0 AS left_edge, count(*) AS n,
-       round(count(*) / (min(total) * min(w)), 9) AS density FROM binned GROUP BY 1, 2""")
+binned AS (SELECT d."Label", CAST(least(floor((value - lo) / ((hi - lo) / 80)), 79) AS INTEGER) AS bin, count(*) AS n
+           FROM d JOIN ends ON ends."Label" = d."Label" GROUP BY 1, 2),
+bins AS (SELECT "Label", lo, total, (hi - lo) / 80 AS w, CAST(i AS INTEGER) AS bin FROM ends, range(0, 80) t(i))
+SELECT bins."Label", bins.bin, round(lo + bins.bin * w, 6) + 0.0 AS left_edge, coalesce(n, 0) AS n,
+       round(coalesce(n, 0) / (total * w), 9) AS density
+FROM bins LEFT JOIN binned ON binned."Label" = bins."Label" AND binned.bin = bins.bin""")
 def _score_histogram(spark, sf):
     h = score_histogram(events(spark, sf), "value")
     return h.select("Label", "bin", rounded("left_edge").alias("left_edge"), "n", F.round("density", 9).alias("density"))

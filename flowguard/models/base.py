@@ -13,8 +13,6 @@ from pyspark.ml.util import (DefaultParamsReader, DefaultParamsWriter, MLReadabl
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FEW_PARTITIONS = 64
-
 
 class HasFeatures(Params):
     """The vector column a model reads."""
@@ -47,13 +45,9 @@ def feature_width(df: DataFrame, column: str) -> int:
     return len(row["v"])
 
 
-def sum_arrays(parts: DataFrame, column: str, partitions: int) -> np.ndarray:
-    """Sum of one array per partition. Few partitions send their arrays straight to the
-    driver; with many they are added up on the executors first."""
-    if partitions <= FEW_PARTITIONS:
-        return np.sum([r[0] for r in parts.select(column).collect()], axis=0)
-    total = parts.agg(Summarizer.sum(array_to_vector(F.col(column))).alias("t")).first()["t"]
-    return total.toArray()
+def sum_arrays(parts: DataFrame, column: str) -> np.ndarray:
+    """Sum of one array per partition, added up on the executors."""
+    return parts.agg(Summarizer.sum(array_to_vector(F.col(column))).alias("t")).first()["t"].toArray()
 
 
 class _ArrayWriter(MLWriter):

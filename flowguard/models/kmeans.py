@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,11 @@ from pyspark.sql import functions as F
 from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix, sum_arrays
 from flowguard.taxonomy import KMEANS_K, KMEANS_RESTARTS, SEED
 
-# Rows the starting centres are chosen from. Every row takes part in the passes after that.
-START_ROWS = 10_000
+log = logging.getLogger(__name__)
+
+# Rounds in which points far from the centres so far are drawn as candidates for a start.
+ROUNDS = 4
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _KMeansParams(HasFeatures, HasSeed):
@@ -25,12 +29,12 @@ class _KMeansParams(HasFeatures, HasSeed):
     restarts = Param(Params._dummy(), "restarts", "starts from different seeds; the best is kept",
                      TypeConverters.toInt)
     maxIter = Param(Params._dummy(), "maxIter", "passes over the data", TypeConverters.toInt)
-    tol = Param(Params._dummy(), "tol", "centre movement that counts as settled", TypeConverters.toFloat)
+    tol = Param(Params._dummy(), "tol", "squared movement of all centres that counts as settled, as a share of the mean variance", TypeConverters.toFloat)
     clusterCol = Param(Params._dummy(), "clusterCol", "cluster column", TypeConverters.toString)
     distanceCol = Param(Params._dummy(), "distanceCol", "distance column", TypeConverters.toString)
 
     def _defaults(self) -> None:
-        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=20, tol=1e-2,
+        self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=300, tol=1e-4,
                          seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance")
 
 
@@ -39,12 +43,14 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
 
     ``ml.clustering.KMeans`` would read the data restarts x iterations times. Here all
     starts move together: one pass gives every partition's sums for all of them, which are
-    added up to one vector. Starts are brought near their places on a sample of fixed size
-    first, which saves passes over all rows; a start that has settled leaves later passes.
+    added up to one vector. Starts come from all rows by distance-weighted oversampling in a
+    few passes that all starts share; draws depend on a row's values, not on its place, so
+    they are the same however the rows are partitioned. A start that has settled leaves later
+    passes; one that has not after ``maxIter`` passes is reported in the log.
     """
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=20, tol=1e-2,
+    def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=300, tol=1e-4,
                  seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance"):
         super().__init__()
         self._defaults()
@@ -57,17 +63,14 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
             n = rows.count()
             if n == 0:
                 raise ValueError("no rows to fit on")
-            share = min(1.0, START_ROWS / n)
-            sample = rows if share == 1.0 else rows.sample(share, seed)
-            points = np.array([r["x"] for r in sample.collect()])
-            starts = [_refined(points, _spread_centres(points, k, np.random.default_rng([seed, i])))
-                      for i in range(max(1, restarts))]
-            centres = self._settle(rows, starts)
+            starts = _starts(rows, k, max(1, restarts), seed)
+            spread = _mean_variance(rows, n)
+            centres = self._settle(rows, starts, self.getOrDefault("tol") * spread)
         finally:
             rows.unpersist()
         return self._copyValues(NearestCentreModel({"centres": centres}))
 
-    def _settle(self, rows: DataFrame, starts: list[np.ndarray]) -> np.ndarray:
+    def _settle(self, rows: DataFrame, starts: list[np.ndarray], tol: float) -> np.ndarray:
         """Move all starts until settled; the centres of the lowest cost (the first start on
         a tie)."""
         moving = dict(enumerate(starts))
@@ -77,7 +80,9 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
             results = _pass(rows, np.stack([moving[i] for i in names]))
             for i, (sums, counts, cost) in zip(names, results):
                 moved, shift = _moved(moving[i], sums, counts)
-                if last or shift <= self.getOrDefault("tol"):
+                if last or shift <= tol:
+                    if shift > tol:
+                        log.warning("start %d has not settled: its centres still move by %g", i, shift)
                     done[i] = (cost, moving.pop(i))
                 else:
                     moving[i] = moved
@@ -86,33 +91,107 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
         return min(done.items(), key=lambda item: (item[1][0], item[0]))[1][1]
 
 
-def _spread_centres(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ starting centres: each next one drawn by squared distance to those before."""
-    chosen = [points[rng.integers(len(points))]]
+def _draws(x: np.ndarray, seed: int, start: int, turn: int) -> np.ndarray:
+    """A number in [0, 1) per row that depends on its values alone."""
+    bits = np.ascontiguousarray(x + 0.0).view(np.uint64)
+    factors = np.multiply.accumulate(np.full(x.shape[1], ODD, np.uint64))
+    h = (bits * factors).sum(axis=1, dtype=np.uint64) + np.uint64(seed % (1 << 32)) * ODD
+    for salt in (start + 1, turn + 1):
+        h = (h ^ (h >> np.uint64(29))) * (ODD + np.uint64(2 * salt))
+        h ^= h >> np.uint64(32)
+    return h.astype(np.float64) / 2.0 ** 64
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((x ** 2).sum(axis=1)[:, None] - 2.0 * (x @ centres.T) + (centres ** 2).sum(axis=1), 0.0)
+
+
+def _starts(rows: DataFrame, k: int, starts: int, seed: int) -> list[np.ndarray]:
+    """Starting centres: for each start a first row, then rounds that take every row with a
+    chance in proportion to its squared distance from the candidates so far (about 2 k a
+    round), and at last k-means++ over the candidates, weighted by the rows nearest to each."""
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = feature_matrix(batch.column(0))
+                u = [_draws(x, seed, i, 0) for i in range(starts)]
+                yield _rows_out(range(starts), [x[d.argmin()] for d in u], [d.min() for d in u])
+
+    found = rows.mapInArrow(first, "s int, x array<double>, u double").groupBy("s").agg(F.min_by("x", "u").alias("x")).collect()
+    chosen = {r["s"]: np.array([r["x"]]) for r in found}
+    for turn in range(1, ROUNDS + 1):
+        cost = _nearest_sums(rows, chosen, weights=False)
+
+        def far(batches: Iterator[pa.RecordBatch], chosen=chosen, cost=cost, turn=turn) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = feature_matrix(batch.column(0)) if batch.num_rows else np.zeros((0, 1))
+                for i in range(starts):
+                    if len(x) and cost[i] > 0:
+                        away = _squares(x, chosen[i]).min(axis=1)
+                        picked = np.unique(x[_draws(x, seed, i, turn) * cost[i] < 2 * k * away], axis=0)
+                        yield _rows_out([i] * len(picked), picked, [0.0] * len(picked))
+
+        for r in rows.mapInArrow(far, "s int, x array<double>, u double").select("s", "x").distinct().collect():
+            chosen[r["s"]] = np.vstack([chosen[r["s"]], r["x"]])
+        chosen = {i: np.unique(c, axis=0) for i, c in chosen.items()}
+    sizes = np.split(_nearest_sums(rows, chosen, weights=True), np.cumsum([len(chosen[i]) for i in range(starts)])[:-1])
+    return [_spread_centres(chosen[i], sizes[i], k, np.random.default_rng([seed, i])) for i in range(starts)]
+
+
+def _rows_out(names, x, u) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(names), pa.int32()), pa.array([list(map(float, v)) for v in x], pa.list_(pa.float64())),
+                                       pa.array([float(v) for v in u], pa.float64())], ["s", "x", "u"])
+
+
+def _nearest_sums(rows: DataFrame, chosen: dict[int, np.ndarray], weights: bool) -> np.ndarray:
+    """Per start the summed squared distance to the nearest candidate, or per candidate of each
+    start the number of rows nearest to it."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = feature_matrix(batch.column(0))
+                parts = []
+                for i in range(len(chosen)):
+                    squares = _squares(x, chosen[i])
+                    parts.append(np.bincount(squares.argmin(axis=1), minlength=len(chosen[i])).astype(float) if weights
+                                 else [squares.min(axis=1).sum()])
+                part = np.concatenate(parts)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["part"])
+
+    return sum_arrays(rows.mapInArrow(partial, "part array<double>"), "part")
+
+
+def _mean_variance(rows: DataFrame, n: int) -> float:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = feature_matrix(batch.column(0))
+                sums = np.concatenate([x.sum(axis=0), (x ** 2).sum(axis=0)]).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64()))], ["part"])
+
+    mean, square = np.split(sum_arrays(rows.mapInArrow(partial, "part array<double>"), "part") / n, 2)
+    return float(np.maximum(square - mean ** 2, 0.0).mean())
+
+
+def _spread_centres(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ over weighted points: each next centre by weight times squared distance."""
+    chosen = [points[rng.choice(len(points), p=weight / weight.sum())]]
     nearest = ((points - chosen[0]) ** 2).sum(axis=1)
     for _ in range(k - 1):
-        total = nearest.sum()
-        pick = rng.choice(len(points), p=nearest / total) if total > 0 else rng.integers(len(points))
+        mass = nearest * weight
+        pick = rng.choice(len(points), p=mass / mass.sum()) if mass.sum() > 0 else rng.integers(len(points))
         chosen.append(points[pick])
         nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
     return np.array(chosen)
 
 
 def _moved(centres: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, float]:
-    """Means of the clusters (an empty one keeps its centre) and the largest movement."""
+    """Means of the clusters (an empty one keeps its centre) and the squared movement of all."""
     moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], centres)
-    return moved, float(np.sqrt(((moved - centres) ** 2).sum(axis=1)).max())
-
-
-def _refined(points: np.ndarray, centres: np.ndarray, steps: int = 20) -> np.ndarray:
-    """A few steps on the starting sample."""
-    width = points.shape[1]
-    for _ in range(steps):
-        sums = _partial_sums(centres[None], points)[0]
-        centres, shift = _moved(centres, sums[:, :width], sums[:, width])
-        if shift < 1e-3:
-            break
-    return centres
+    return moved, float(((moved - centres) ** 2).sum())
 
 
 def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
@@ -131,7 +210,7 @@ def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.nda
             yield pa.RecordBatch.from_arrays([flat], ["part"])
 
     parts = rows.mapInArrow(partial, "part array<double>")
-    total = sum_arrays(parts, "part", rows.rdd.getNumPartitions())
+    total = sum_arrays(parts, "part")
     shared.unpersist()
     table = total.reshape(starts, k, width + 2)
     return [(t[:, :width], t[:, width], float(t[:, width + 1].sum())) for t in table]

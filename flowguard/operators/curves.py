@@ -77,20 +77,28 @@ def auc_roc(df: DataFrame, label: str, score: str, **options) -> DataFrame:
 
 
 def roc_curve(df: DataFrame, label: str, score: str, **options) -> DataFrame:
-    """False and true positive rate when alerting at or above each distinct score."""
+    """False and true positive rate when alerting at or above each distinct score, and the
+    point (0, 0) at an infinite threshold."""
     digits = options.pop("digits", None)
     r = running_counts(score_counts(df, label, score, digits), **options)
-    return r.select(F.col("score").alias("threshold"), ratio(F.col("fp"), F.col("n_neg")).alias("fpr"),
-                    ratio(F.col("tp"), F.col("n_pos")).alias("tpr"))
+    points = r.select(F.col("score").alias("threshold"), ratio(F.col("fp"), F.col("n_neg")).alias("fpr"),
+                      ratio(F.col("tp"), F.col("n_pos")).alias("tpr"))
+    return points.unionByName(_point(df, threshold=float("inf"), fpr=0.0, tpr=0.0))
 
 
 def pr_curve(df: DataFrame, label: str, score: str, **options) -> DataFrame:
-    """Precision and recall when alerting at or above each distinct score."""
+    """Precision and recall when alerting at or above each distinct score, and the end point
+    (recall 0, precision 1), which has no threshold."""
     digits = options.pop("digits", None)
     r = running_counts(score_counts(df, label, score, digits), **options)
-    return r.select(F.col("score").alias("threshold"),
-                    ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-                    ratio(F.col("tp"), F.col("n_pos")).alias("recall"))
+    points = r.select(F.col("score").alias("threshold"),
+                      ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+                      ratio(F.col("tp"), F.col("n_pos")).alias("recall"))
+    return points.unionByName(_point(df, threshold=None, precision=1.0, recall=0.0))
+
+
+def _point(df: DataFrame, **values: float | None) -> DataFrame:
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(k) for k, v in values.items()])
 
 
 def pr_auc(df: DataFrame, label: str, score: str, **options) -> DataFrame:

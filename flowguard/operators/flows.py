@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,44 +28,77 @@ MEAN_WORDS = ("/s", "rate", "mean", "avg", "std", "ratio")
 SUM_WORDS = ("tot", "count", "cnt", "duration", "bytes", "packet", "pkts", "flag")
 SHORT_SUM_WORDS = ("tot", "count", "duration", "bytes", "packet", "pkts", "flag", "len")
 
-MAX_CLASSES = 64
+# Whole words of a name, singular, and what they say.
+MEAN_TOKENS = frozenset("rate mean average avg std deviation variance var ratio percent".split())
+SUM_TOKENS = frozenset("tot total count cnt duration byte packet pkt flag".split())
+END_TOKENS = {"max": "max", "maximum": "max", "maximal": "max", "min": "min", "minimum": "min", "minimal": "min"}
+
+
+def name_tokens(column: str) -> list[str]:
+    """Words of a column name, in lower case and without a plural s: ``FlowBytes/s`` is flow,
+    byte, /s."""
+    words = re.findall(r"/s\b|[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+", column)
+    return [w if w == "/s" or len(w) < 4 else w.removesuffix("s") for w in (w.lower() for w in words)]
 
 
 def infer_policy(column: str, rules: str = "named", legacy: bool = False) -> str:
-    """Aggregation of a column chosen from its name: sum, max, min or mean.
+    """Aggregation of a column chosen from the words of its name: sum, max, min or mean.
 
-    ``rules="named"`` wants max/min at either end of the name, ``"short"`` anywhere. The
-    word "duration" is set aside before the search for "ratio", and "average" counts as a
-    mean; ``legacy`` does neither, so durations are averaged and "Average Packet Size" is
-    summed.
+    Means go before extremes and those before sums. ``rules="named"`` wants max/min at either
+    end of the name, ``"short"`` anywhere, and sums lengths as well. ``legacy`` searches for
+    pieces of words, so that "duration" counts as a ratio and "Average Packet Size" as a sum.
     """
-    name = column.lower()
-    text = name if legacy else name.replace("duration", "").replace("average", "avg")
-    if any(w in text for w in MEAN_WORDS):
+    if legacy:
+        return _policy_of_pieces(column.lower(), rules)
+    tokens = name_tokens(column)
+    if "/s" in tokens or not MEAN_TOKENS.isdisjoint(tokens) or tokens[-2:] == ["per", "s"]:
         return "mean"
-    for kind in ("max", "min"):
-        if rules == "short":
-            if kind in name:
-                return kind
-        elif name.startswith(kind) or name.endswith(kind) or kind + "imum" in name:
-            return kind
-    sum_words = SHORT_SUM_WORDS if rules == "short" else SUM_WORDS
-    return "sum" if any(w in name for w in sum_words) else "mean"
+    ends = [END_TOKENS.get(t) for t in (tokens if rules == "short" else tokens[:1] + tokens[-1:])]
+    extreme = next((e for e in ends if e), None)
+    if extreme:
+        return extreme
+    sums = SUM_TOKENS | {"len", "length"} if rules == "short" else SUM_TOKENS
+    return "mean" if sums.isdisjoint(tokens) else "sum"
+
+
+def _policy_of_pieces(name: str, rules: str) -> str:
+    def holds(words) -> bool:
+        return any(w in name for w in words)
+
+    extremes = [k for k in ("max", "min") if (k in name if rules == "short" else
+                                              name.startswith(k) or name.endswith(k) or k + "imum" in name)]
+    kind = "sum" if holds(SHORT_SUM_WORDS if rules == "short" else SUM_WORDS) else "mean"
+    return "mean" if holds(MEAN_WORDS) else (extremes or [kind])[0]
 
 
 def first_value(c: Column, order: Column | None) -> Column:
-    """First non-null value in the given order (ties: the smallest value). Without an order
-    the smallest value, which needs no sort-based aggregation for numbers."""
-    if order is None:
-        return F.min(c)
-    return F.min(F.when(c.isNotNull(), F.struct(order.alias("o"), c.alias("v"))))["v"]
+    """First non-null value in the given order, the smallest value without one. On numbers both
+    stay a hash aggregation; equal places of a key may give any of their values."""
+    return F.min(c) if order is None else F.min_by(c, F.when(c.isNotNull(), order))
 
 
-def class_names(df: DataFrame, attack_type: str = "attack_type") -> list[str] | None:
-    """The distinct classes, or None when there are more than ``MAX_CLASSES``."""
-    rows = df.select(attack_type).where(F.col(attack_type).isNotNull()).distinct() \
-             .limit(MAX_CLASSES + 1).collect()
-    return sorted(r[0] for r in rows) if len(rows) <= MAX_CLASSES else None
+def first_texts(df: DataFrame, key: str, columns: list[str], order: Column | None) -> DataFrame:
+    """key and text columns of its first row that has them all, or of its first row.
+
+    An aggregate over text would sort the whole input. Here the texts are grouping keys of a
+    first hash aggregation, which leaves a row or two per flow, and only numbers are compared.
+    """
+    lacking = F.lit(False)
+    for c in columns:
+        lacking = lacking | F.col(c).isNull()
+    place = (F.lit(0) if order is None else order).cast("double")
+    seen = df.groupBy(key, *columns).agg(F.min(place).alias("_place")).withColumns({
+        "_place": F.coalesce("_place", F.lit(float("inf"))) + F.when(lacking, F.lit(float("inf"))).otherwise(0.0),
+        "_tie": F.xxhash64(*columns)})
+    least = seen.groupBy(key).agg(F.min("_place").alias("_place"))
+    tied = seen.join(least, [key, "_place"])
+    one = tied.groupBy(key).agg(F.min("_tie").alias("_tie"))
+    return tied.join(one, [key, "_tie"]).select(key, *columns)
+
+
+def class_names(df: DataFrame, attack_type: str = "attack_type") -> list[str]:
+    """The distinct classes."""
+    return sorted(r[0] for r in df.select(attack_type).where(F.col(attack_type).isNotNull()).distinct().collect())
 
 
 def _majority(names: list[str], counts: list[Column]) -> Column:
@@ -78,18 +113,14 @@ def _majority(names: list[str], counts: list[Column]) -> Column:
 
 def majority_class(df: DataFrame, key: str = "flow_id", attack_type: str = "attack_type",
                    classes: list[str] | None = None) -> DataFrame:
-    """Most frequent class per key, the lowest name on a tie.
-
-    With a known class list this is one hash aggregation of counters; otherwise classes are
-    counted per (key, class) first, so a huge key never meets in one task uncombined.
-    """
-    if classes:
-        counted = df.groupBy(key).agg(*_class_counters(attack_type, classes))
-        columns = [F.col(f"_c{i}") for i in range(len(classes))]
-        return counted.select(key, _checked_majority(classes, columns).alias(attack_type))
-    counted = df.where(F.col(attack_type).isNotNull()).groupBy(key, attack_type).count()
-    best = F.min(F.struct((-F.col("count")).alias("n"), F.col(attack_type).alias("c")))["c"]
-    return counted.groupBy(key).agg(best.alias(attack_type))
+    """Most frequent class per key, the lowest name on a tie: one hash aggregation of a counter
+    per class, so a huge key never meets in one task uncombined."""
+    classes = classes or class_names(df, attack_type)
+    if not classes:
+        return df.select(key, F.lit(None).cast("string").alias(attack_type)).distinct()
+    counted = df.groupBy(key).agg(*_class_counters(attack_type, classes))
+    columns = [F.col(f"_c{i}") for i in range(len(classes))]
+    return counted.select(key, _checked_majority(classes, columns).alias(attack_type))
 
 
 def _class_counters(attack_type: str, classes: list[str]) -> list[Column]:
@@ -117,10 +148,10 @@ def unify_flows(df: DataFrame, key: str = "flow_id", label: str = "Label",
     ``Label`` is 1 if any segment is an attack, ``attack_type`` is the majority class and
     ``label_conflict`` marks flows where the two disagree.
 
-    Everything is one ``groupBy`` with partial aggregation, so a flow with very many
-    segments is combined before the shuffle. Class counters keep it a hash aggregation:
-    ``mode`` would fall back to sorting on many keys. Pass ``classes`` to spare the pass
-    that lists them.
+    Everything is a ``groupBy`` with partial aggregation, so a flow with very many
+    segments is combined before the shuffle. Class counters and numbers keep it a hash
+    aggregation; text id columns are found on the side (``first_texts``). Pass ``classes`` to
+    spare the pass that lists them. Policy names match whatever their case.
     """
     require_columns(df, [key, label, attack_type])
     policy = SEGMENT_POLICY if policy is None else policy
@@ -128,24 +159,27 @@ def unify_flows(df: DataFrame, key: str = "flow_id", label: str = "Label",
     by = F.col(order) if order else None
     combine = {"sum": F.sum, "max": F.max, "min": F.min, "mean": F.avg,
                "first": lambda c: first_value(c, by)}
+    known = {name.lower(): how for name, how in policy.items()}
 
     aggs = []
     taken = {key, label, attack_type, *id_columns, *skip}
     for field in df.schema.fields:
         if field.name in taken or not isinstance(field.dataType, T.NumericType):
             continue
-        how = policy.get(field.name) or infer_policy(field.name, rules, legacy)
+        how = known.get(field.name.lower()) or infer_policy(field.name, rules, legacy)
         aggs.append(combine[how](F.col(f"`{field.name}`")).alias(field.name))
     aggs += [F.max(label).alias(label), F.count(F.lit(1)).alias("n_segments")]
-    aggs += [first_value(F.col(c), by).alias(c) for c in id_columns if c in df.columns]
-
-    if classes:
-        grouped = df.groupBy(key).agg(*aggs, *_class_counters(attack_type, classes))
-        columns = [F.col(f"_c{i}") for i in range(len(classes))]
-        out = grouped.withColumn(attack_type, _checked_majority(classes, columns))
-        out = out.drop("_other", *[f"_c{i}" for i in range(len(classes))])
-    else:
-        out = df.groupBy(key).agg(*aggs).join(majority_class(df, key, attack_type), key, "left")
+    ids = [c for c in id_columns if c in df.columns]
+    text_ids = [c for c in ids if isinstance(df.schema[c].dataType, T.StringType)]
+    aggs += [first_value(F.col(c), by).alias(c) for c in ids if c not in text_ids]
+
+    counters = _class_counters(attack_type, classes) if classes else []
+    out = df.groupBy(key).agg(*aggs, *counters)
+    columns = [F.col(f"_c{i}") for i in range(len(classes))]
+    name = _checked_majority(classes, columns) if classes else F.lit(None).cast("string")
+    out = out.withColumn(attack_type, name).drop("_other", *[f"_c{i}" for i in range(len(classes))])
+    if text_ids:
+        out = out.join(first_texts(df, key, text_ids, by), key, "left")
     conflict = (F.col(label) == 1) & (F.col(attack_type) == taxonomy.benign)
     return out.withColumn("label_conflict", F.coalesce(conflict.cast("int"), F.lit(0)))
 

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SUPPORT = 0.01
 SALTS = 64
 
 
-def frequent_keys(df: DataFrame, key: str, support: float = HOT_SUPPORT) -> list:
-    """Keys that may hold at least ``support`` of the rows: at most 1 / support of them.
+def frequent_keys(df: DataFrame, key: str, support: float | None = None) -> list:
+    """Keys that may hold at least ``support`` of the rows: at most 1 / support of them. By
+    default that is half of what a task of the join reads on average, so the limit falls as the
+    number of shuffle partitions grows with the data.
 
     One pass with a bounded counter map. The list may hold a few keys too many, which costs
     nothing but salt; it never misses a key over the limit.
     """
+    if support is None:
+        support = 0.5 / max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     row = df.select(key).where(F.col(key).isNotNull()).stat.freqItems([key], support).first()
     return list(row[0] or [])
 

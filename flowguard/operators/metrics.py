@@ -103,7 +103,8 @@ def cluster_tendency(df: DataFrame, cluster: str, recon: str, overall_median: fl
 
 def score_histogram(df: DataFrame, score: str, label: str = "Label", bins: int = 80) -> DataFrame:
     """Counts and densities of the scores of each truth class over equal bins between its own
-    minimum and maximum; the maximum belongs to the last bin. Empty bins are left out."""
+    minimum and maximum; the maximum belongs to the last bin. A class that occurs has all its
+    bins, empty ones with a zero."""
     y, s = F.col(label), F.col(score).cast("double")
     ends = df.agg(*[
         f(F.when(y == v, s)).alias(f"{n}{v}")
@@ -118,13 +119,14 @@ def score_histogram(df: DataFrame, score: str, label: str = "Label", bins: int =
     low = F.when(flat, of_class("lo") - 0.5).otherwise(of_class("lo"))
     width = F.when(flat, F.lit(1.0)).otherwise(of_class("hi") - of_class("lo")) / bins
     scored = df.where(s.isNotNull() & y.isin(0, 1)).select(
-        y.alias("Label"), low.alias("_low"), width.alias("_width"), of_class("n").alias("_n"),
-        F.least(F.floor((s - low) / width), F.lit(bins - 1)).cast("int").alias("bin"))
-    counted = scored.groupBy("Label", "bin").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_low").alias("_low"),
-        F.min("_width").alias("_width"), F.min("_n").alias("_n"))
-    return counted.select("Label", "bin", (F.col("_low") + F.col("bin") * F.col("_width")).alias("left_edge"),
-                          "n", (F.col("n") / (F.col("_n") * F.col("_width"))).alias("density"))
+        y.alias("Label"), F.least(F.floor((s - low) / width), F.lit(bins - 1)).cast("int").alias("bin"))
+    counted = scored.groupBy("Label", "bin").agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(2).select(F.col("id").cast(df.schema[label].dataType).alias(label)).select(
+        y.alias("Label"), low.alias("_low"), width.alias("_width"), of_class("n").alias("_n")) \
+        .where(F.col("_n") > 0).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    filled = every.join(counted, ["Label", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    return filled.select("Label", "bin", (F.col("_low") + F.col("bin") * F.col("_width")).alias("left_edge"),
+                         "n", (F.col("n") / (F.col("_n") * F.col("_width"))).alias("density"))
 
 
 def to_long(scope: str, stage: str, metrics: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Iterator
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.cleaning import clean_numeric
@@ -82,8 +82,16 @@ def header_columns(spark: SparkSession, header: str) -> list[str]:
     return out
 
 
-def _scan(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
-    """Files of one header as text columns. Short lines are padded with NULL, lines with too
+def _row_id(name: str) -> list[Column]:
+    """An id from the file, the split's start and the row's place among the rows its task reads.
+    A repeated task reads the same rows in the same order, so the ids come out again."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    parts = F.md5("_metadata.file_path"), F.col("_metadata.file_block_start"), place
+    return [F.concat_ws(":", *[p.cast("string") for p in parts]).alias(name)]
+
+
+def _scan(spark: SparkSession, files: list[str], columns: list[str], row_id: str | None = None) -> DataFrame:
+    """Files of one header as text columns, with an id per row if ``row_id`` names it. Short lines are padded with NULL, lines with too
     many fields are left out.
 
     Only malformed lines keep their raw text, so only those are counted. Column pruning is
@@ -99,7 +107,7 @@ def _scan(spark: SparkSession, files: list[str], columns: list[str]) -> DataFram
     unquoted = F.regexp_replace(line, r'"([^"]|"")*"', "")
     fields = F.size(F.split(unquoted, ","))
     kept = raw.where(F.col(BAD_LINE).isNull() | (fields <= len(columns)))
-    meta = [F.col("_metadata.file_path").alias("_file"),
+    meta = [*(_row_id(row_id) if row_id else []), F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block")]
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], *meta)
 
@@ -123,10 +131,10 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, path: str, max_rows: int | None = None,
-             keep_source: bool = False) -> DataFrame:
+             keep_source: bool = False, row_id: str | None = None) -> DataFrame:
     """One CSV file (or files sharing a header) as text columns with trimmed names."""
     header = read_headers(spark, [path])[0]
-    df = _scan(spark, [path], header_columns(spark, header))
+    df = _scan(spark, [path], header_columns(spark, header), row_id)
     return _finish(df, max_rows, keep_source)
 
 
@@ -149,11 +157,12 @@ def _groups(spark: SparkSession, files: list[tuple[str, str]]) -> Iterator[tuple
 
 def scan_labelled_dir(spark: SparkSession, path: str, taxonomy: Taxonomy = TRAFFIC,
                       rules=CLASS_RULES, max_rows: int | None = None, legacy: bool = False,
-                      with_key: bool = True, keep_source: bool = False) -> DataFrame:
+                      with_key: bool = True, keep_source: bool = False, row_id: str | None = None) -> DataFrame:
     """All CSV files under a folder, labelled by their path.
 
     A file whose path names no class is left out. Columns are text and matched by name;
-    ``attack_type`` and ``Label`` are added, and ``flow_id`` unless ``with_key`` is off.
+    ``attack_type`` and ``Label`` are added, ``flow_id`` unless ``with_key`` is off, and an id per
+    row if ``row_id`` names one.
     """
     files = list_csv(spark, path)
     if not files:
@@ -166,7 +175,7 @@ def scan_labelled_dir(spark: SparkSession, path: str, taxonomy: Taxonomy = TRAFF
         log.warning("%s: skipped %d file(s) of no known class", path, len(named) - len(known))
     frames = []
     for members, name, columns in _groups(spark, known):
-        df = _finish(_scan(spark, members, columns), max_rows, keep_source)
+        df = _finish(_scan(spark, members, columns, row_id), max_rows, keep_source)
         frames.append(df.withColumn("attack_type", F.lit(name))
                         .withColumn("Label", F.lit(int(name != taxonomy.benign))))
     out = union_by_name(frames)
@@ -177,7 +186,7 @@ def load_source(spark: SparkSession, csv: str | None, folder: str | None,
                 taxonomy: Taxonomy = TRAFFIC, **options) -> DataFrame | None:
     """A labelled table from a single CSV if there is one, else from a folder, else None."""
     if csv and path_exists(spark, csv):
-        df = scan_csv(spark, csv, options.get("max_rows"))
+        df = scan_csv(spark, csv, options.get("max_rows"), row_id=options.get("row_id"))
         return ensure_flow_id(normalize_labels(df, taxonomy, options.get("rules", CLASS_RULES)))
     if folder and list_csv(spark, folder):
         return scan_labelled_dir(spark, folder, taxonomy, **options)
@@ -186,9 +195,9 @@ def load_source(spark: SparkSession, csv: str | None, folder: str | None,
 
 def load_populations(spark: SparkSession, packet_csv: str | None, packet_dir: str | None,
                      flow_csv: str | None, flow_dir: str | None, taxonomy: Taxonomy = TRAFFIC,
-                     **options) -> tuple[DataFrame, DataFrame]:
-    """Packet and flow tables; both are needed."""
-    packets = load_source(spark, packet_csv, packet_dir, taxonomy, **options)
+                     row_id: str | None = "packet_id", **options) -> tuple[DataFrame, DataFrame]:
+    """Packet and flow tables; both are needed. Packets get an id of their own."""
+    packets = load_source(spark, packet_csv, packet_dir, taxonomy, row_id=row_id, **options)
     flows = load_source(spark, flow_csv, flow_dir, taxonomy, **options)
     if packets is None or flows is None:
         missing = [n for n, d in (("packet", packets), ("flow", flows)) if d is None]

@@ -77,6 +77,8 @@ def test_source_errors_and_precedence(spark, folder, tmp_path):
     assert [(r["flow_id"], r["Label"]) for r in df.collect()] == [("f1", 1), ("f2", 0)]
     packets, flows = load_populations(spark, None, folder, single, None)
     assert packets.count() == 4 and flows.count() == 2
+    ids = [r[0] for r in packets.select("packet_id").collect()]
+    assert len(set(ids)) == 4 and ids == [r[0] for r in packets.select("packet_id", "attack_type").collect()]
     with pytest.raises(SourceError):
         load_populations(spark, None, folder, None, str(tmp_path / "none"))
 

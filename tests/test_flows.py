@@ -51,7 +51,7 @@ def test_majority_tie_goes_to_lowest_name(spark):
     assert {tuple(r) for r in majority_class(df, classes=["b", "a", "z"]).collect()} == want
 
 
-def test_many_classes_use_the_counting_path(spark):
+def test_many_classes(spark):
     df = spark.range(0, 400).select(
         (F.col("id") % 3).alias("flow_id"), F.concat(F.lit("c"), F.col("id") % 100).alias("attack_type"),
         F.lit(1).alias("Label"), F.col("id").alias("total_packets"))
@@ -64,7 +64,8 @@ def test_many_classes_use_the_counting_path(spark):
     ("Flow Duration", "sum", "mean"), ("Average Packet Size", "mean", "sum"), ("Flow Bytes/s", "mean", "mean"),
     ("Fwd Packet Length Max", "max", "max"), ("Min_len", "min", "min"), ("Tot Fwd Pkts", "sum", "sum"),
     ("Down/Up Ratio", "mean", "mean"), ("Idle Std", "mean", "mean"), ("FIN Flag Cnt", "sum", "sum"),
-    ("Init Win", "mean", "mean")])
+    ("Init Win", "mean", "mean"), ("Packet Length Variance", "mean", "sum"), ("iteration_count", "sum", "mean"),
+    ("separate_bytes", "sum", "mean"), ("FlowBytes/s", "mean", "mean"), ("totalPackets", "sum", "sum")])
 def test_inferred_policy(column, now, legacy):
     assert (infer_policy(column), infer_policy(column, legacy=True)) == (now, legacy)
 
@@ -75,6 +76,17 @@ def test_short_policy_rules():
     assert infer_policy("header_len") == "mean"
 
 
+def test_wide_schema_stays_a_hash_aggregation(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    plan = unify_flows(df, order="segment_index", classes=["Benign", "XSS"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_policy_names_in_any_case(spark):
+    df = spark.createDataFrame([("f", 6, 0, "Benign"), ("f", 17, 0, "Benign")], "flow_id string, Protocol int, Label int, attack_type string")
+    assert unify_flows(df).first()["Protocol"] == 6
+
+
 def test_segment_stats(spark):
     row = segment_stats(unify_flows(spark.createDataFrame(ROWS, SCHEMA))).first()
     assert tuple(row) == (2, 1)

@@ -93,7 +93,10 @@ def test_auc_and_curves(scored, buckets):
     y, s, df = scored
     assert auc_roc(df, "Label", "score", buckets=buckets).first()[0] == pytest.approx(pairwise_auc(y, s), abs=1e-12)
     roc = sorted(tuple(r) for r in roc_curve(df, "Label", "score", buckets=buckets).collect())
-    pr = sorted(tuple(r) for r in pr_curve(df, "Label", "score", buckets=buckets).collect())
+    assert roc.pop() == (np.inf, 0.0, 0.0)
+    pr = [tuple(r) for r in pr_curve(df, "Label", "score", buckets=buckets).collect()]
+    assert [p for p in pr if p[0] is None] == [(None, 1.0, 0.0)]
+    pr = sorted(p for p in pr if p[0] is not None)
     levels = np.unique(s)
     assert [r[0] for r in roc] == levels.tolist() == [r[0] for r in pr]
     for (t, fpr, tpr), (_, precision, recall) in zip(roc, pr):
@@ -160,11 +163,11 @@ def test_histogram(spark, scored):
         want, edges = np.histogram(s[y == label], bins=80)
         density, _ = np.histogram(s[y == label], bins=80, density=True)
         mine = {r["bin"]: r for r in rows if r["Label"] == label}
-        assert sum(r["n"] for r in mine.values()) == want.sum()
+        assert len(mine) == 80 and sum(r["n"] for r in mine.values()) == want.sum()
         assert mine[79]["n"] >= 1 and max(mine) == 79
         assert sum(r["density"] for r in mine.values()) == pytest.approx(density.sum())
     flat = score_histogram(df.withColumn("score", F.lit(2.0)), "score", bins=4).collect()
-    assert {(r["bin"], r["left_edge"]) for r in flat} == {(2, 2.0)}
+    assert {(r["bin"], r["left_edge"]) for r in flat if r["n"]} == {(2, 2.0)} and len(flat) == 8
 
 
 def test_cluster_composition(spark):

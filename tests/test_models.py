@@ -157,6 +157,12 @@ def test_nearest_centre(planted):
     assert (distance ** 2).sum() <= 1.02 * spark_cost
 
 
+def test_centres_do_not_depend_on_partitions(planted):
+    _, df = planted
+    a, b = (NearestCentre(k=3, restarts=2).fit(df.repartition(n)).state["centres"] for n in (2, 5))
+    assert a == pytest.approx(b, abs=1e-9)
+
+
 def test_combined_score(planted):
     _, df = planted
     t = df.select("id", F.col("id").cast("double").alias("p"), F.sin("id").alias("q"))
