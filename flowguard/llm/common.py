@@ -129,7 +129,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if n <= 2 * BLOCK:
+        if n <= BLOCK // 2:
             _POWERS[base] = have
     return have[:n]
 

@@ -48,6 +48,8 @@ LEAF = 64
 FAN = 32
 #: Group contents that one bucket is meant to hold, and that a task packs at once.
 BUCKET = 1 << 19
+#: Characters of text hashed at once.
+BLOCK = 1 << 19
 
 POINT = "cluster long, doc_id long, n long, raw binary, counts binary"
 U = np.uint64
@@ -247,17 +249,26 @@ def numbers(blob: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(blob, dtype)
 
 
+def opened(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch with their decompressed texts, about BLOCK characters at a time."""
+    import zstandard
+    open_, begin, held, size = zstandard.ZstdDecompressor(), 0, [], 0
+    for i in range(batch.num_rows):
+        held.append(open_.decompress(batch.column(column)[i].as_py()).decode())
+        size += len(held[-1])
+        if size > BLOCK or i == batch.num_rows - 1:
+            yield batch.slice(begin, len(held)), held
+            begin, held, size = i + 1, [], 0
+
+
 def points(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The texts (compressed, smaller than their sets) and vectors of the representatives of the
     classes in clusters."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 128):
-                some = batch.slice(begin, 128)
+            for some, values in opened(batch, "raw"):
                 rows = some.to_pylist()
-                found, counts = shingle_sets([open_.decompress(r["raw"]).decode() for r in rows])
+                found, counts = shingle_sets(values)
                 first, second = fingerprints(found, counts)
                 ends = np.cumsum(counts)
                 out = [(r["cluster"], r["doc_id"], n, r["raw"], counts_of(found[e - n:e]).astype("<i4").tobytes())
@@ -277,19 +288,24 @@ def verified(pairs: DataFrame) -> DataFrame:
         import zstandard
         open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            links = []
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
-                a, b, na, nb, ca, cb = (some.column(c).to_pylist() for c in ("a", "b", "na", "nb", "ca", "cb"))
-                near = [i for i in range(len(a)) if (need := needed(na[i], nb[i], nb[i])) is not None
-                        and summed_minima(numbers(ca[i], "<i4"), numbers(cb[i], "<i4")) >= need]
-                raw = {a[i]: some.column("ra")[i] for i in near} | {b[i]: some.column("rb")[i] for i in near}
-                names = {k: i for i, k in enumerate(raw)}
-                found, counts = shingle_sets([open_.decompress(v.as_py()).decode() for v in raw.values()])
-                ends = np.cumsum(counts)
-                sets = [found[e - n:e] for n, e in zip(counts.tolist(), ends.tolist())]
-                links += [(a[i], b[i]) for i in near
-                          if linked(len(np.intersect1d(sets[names[a[i]]], sets[names[b[i]]], assume_unique=True)), na[i], nb[i])]
+            a, b, na, nb, ca, cb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "ca", "cb"))
+            near = [i for i in range(len(a)) if (need := needed(na[i], nb[i], nb[i])) is not None
+                    and summed_minima(numbers(ca[i], "<i4"), numbers(cb[i], "<i4")) >= need]
+            links, held, texts_held, size = [], [], {}, 0
+            for k, i in enumerate(near):
+                for name, column in ((a[i], "ra"), (b[i], "rb")):
+                    if name not in texts_held:
+                        texts_held[name] = open_.decompress(batch.column(column)[i].as_py()).decode()
+                        size += len(texts_held[name])
+                held.append(i)
+                if size > BLOCK or k == len(near) - 1:
+                    place = {name: j for j, name in enumerate(texts_held)}
+                    found, counts = shingle_sets(list(texts_held.values()))
+                    ends = np.cumsum(counts)
+                    sets = [found[e - n:e] for n, e in zip(counts.tolist(), ends.tolist())]
+                    links += [(a[i], b[i]) for i in held if linked(
+                        len(np.intersect1d(sets[place[a[i]]], sets[place[b[i]]], assume_unique=True)), na[i], nb[i])]
+                    held, texts_held, size = [], {}, 0
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return pairs.mapInArrow(check, "a long, b long")
