@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from bindings.base import (LINE_CLASSES, ORDER_CLASSES, PACKETS_SQL, SEGMENTS_SQL, UNIFY_OPTIONS, packets, query,
@@ -18,7 +18,7 @@ from flowguard.models.kmeans import NearestCentre
 from flowguard.models.preprocess import Preprocessor
 from flowguard.models.recon import Reconstruction
 from flowguard.operators.joins import lookup_flows
-from flowguard.operators.metrics import cascade_summary, mcnemar
+from flowguard.operators.metrics import cascade_summary, confusion_counts, mcnemar
 from flowguard.plans.cascade import cascade_decision, supervised_only
 from flowguard.plans.jobs import (JobConfig, ablation, cascade_from_saved, flow_length_analysis, flow_sample,
                                   run_detection, split_flows, train_stage1, train_stage2, unified_flows)
@@ -91,6 +91,39 @@ def _cluster_assignment(spark, sf):
     return NearestCentre(restarts=2).fit(v).transform(v).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("kmeans_checks", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_far FROM embeddings")
+def _kmeans_checks(spark, sf):
+    """Rows whose cluster is not the nearest centre, or whose distance is not the one to it."""
+    v = vectors(spark, sf)
+    model = NearestCentre().fit(v)
+    centres = F.lit(model.state["centres"].tolist())
+    x = vector_to_array("features")
+    gaps = F.transform(centres, lambda c: F.sqrt(F.aggregate(F.zip_with(c, x, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)))
+    t = model.transform(v).withColumn("gaps", gaps)
+    own = F.get("gaps", F.col("cluster"))
+    return t.agg(F.count(F.lit(1)).alias("n"), F.count_if(own > F.array_min("gaps") + 1e-9).alias("n_not_nearest"),
+                 F.count_if(F.abs(own - F.col("kmeans_distance")) > 1e-6).alias("n_far"))
+
+
+@query("isolation_checks", """SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_null, CAST(0 AS BIGINT) AS n_outside FROM embeddings""")
+def _isolation_checks(spark, sf):
+    """Scores of the isolation forest lie strictly between 0 and 1."""
+    s = _isolation_score(spark, sf)
+    c = F.col("isolation_score")
+    return s.agg(F.count(F.lit(1)).alias("n"), F.count_if(c.isNull()).alias("n_null"),
+                 F.count_if((c <= 0) | (c >= 1)).alias("n_outside"))
+
+
+@query("recon_checks", """SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_negative, true AS below_mean FROM embeddings""")
+def _recon_checks(spark, sf):
+    """Reconstruction errors are not negative and on average below those of predicting the mean."""
+    v = vectors(spark, sf)
+    errors = Reconstruction().fit(v).transform(v)
+    mean = v.select(F.posexplode(vector_to_array("features"))).groupBy("pos").agg(F.var_pop("col").alias("v")).agg(F.avg("v")).first()[0]
+    return errors.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("recon_error") < 0).alias("n_negative"),
+                      (F.avg("recon_error") < 1.0001 * mean).alias("below_mean"))
+
+
 def _detected(spark, sf, **options):
     v = flow_vectors(spark, sf)
     model = AnomalyDetector(idCol="flow_id", **{"trees": 100, "restarts": 2, **options}).fit(v)
@@ -118,7 +151,7 @@ def _cluster_anomaly(spark, sf):
     return _detected(spark, sf, trees=20, restarts=1)[0].tendency(spark)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "WITH " + SEGMENTS_SQL + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM uni")
 def _model_roundtrip(spark, sf):
     """Scores of a saved and loaded model against those of the fitted one."""
     t = unified(spark, sf).select("flow_id", *FLOW_FEATURES).persist()
@@ -154,6 +187,24 @@ def _feature_importance(spark, sf):
     return feature_importance(spark, model, FLOW_FEATURES)
 
 
+@query("importance_checks", "SELECT CAST(5 AS BIGINT) AS n, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS n_negative")
+def _importance_checks(spark, sf):
+    """Importances of all features, which add up to 1."""
+    i = _feature_importance(spark, sf)
+    return i.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("importance"), 6).alias("total"),
+                 F.count_if(F.col("importance") < 0).alias("n_negative"))
+
+
+@query("classifier_checks", "WITH " + SEGMENTS_SQL + """
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_outside, sum("Label") AS n_attack FROM uni""")
+def _classifier_checks(spark, sf):
+    """Probabilities lie in [0, 1], and the confusion cells add up to the rows and attacks."""
+    t = _supervised_flow(spark, sf)
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    cells = t.agg(*confusion_counts(F.col("Label"), F.col("decision")), F.count_if(~F.col("proba").between(0, 1)).alias("n_outside"))
+    return cells.select((tp + fp + tn + fn).alias("n"), "n_outside", (tp + fn).alias("n_attack"))
+
+
 @query("top_features")
 def _top_features(spark, sf):
     model = fit_classifier(flow_vectors(spark, sf), boosted_trees(trees=5))

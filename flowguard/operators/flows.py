@@ -71,10 +71,18 @@ def _policy_of_pieces(name: str, rules: str) -> str:
     return "mean" if holds(MEAN_WORDS) else (extremes or [kind])[0]
 
 
-def first_value(c: Column, order: Column | None) -> Column:
-    """First non-null value in the given order, the smallest value without one. On numbers both
-    stay a hash aggregation; equal places of a key may give any of their values."""
-    return F.min(c) if order is None else F.min_by(c, F.when(c.isNotNull(), order))
+def first_value(c: Column, order: Column | None, whole: bool = False) -> Column:
+    """First non-null value in the given order, the smallest value without one.
+
+    Numbers keep this a hash aggregation. Where the order and the values are ``whole`` numbers,
+    equal places of a key give the smallest value: both stand in one decimal, the place first.
+    Otherwise equal places may give any of their values.
+    """
+    if order is None:
+        return F.min(c)
+    if whole:
+        order = order.cast("decimal(18,0)") * F.lit(str(1 << 64)).cast("decimal(20,0)") + c.cast("decimal(19,0)")
+    return F.min_by(c, F.when(c.isNotNull(), order))
 
 
 def first_texts(df: DataFrame, key: str, columns: list[str], order: Column | None) -> DataFrame:
@@ -157,21 +165,24 @@ def unify_flows(df: DataFrame, key: str = "flow_id", label: str = "Label",
     policy = SEGMENT_POLICY if policy is None else policy
     classes = classes or class_names(df, attack_type)
     by = F.col(order) if order else None
-    combine = {"sum": F.sum, "max": F.max, "min": F.min, "mean": F.avg,
-               "first": lambda c: first_value(c, by)}
+    combine = {"sum": F.sum, "max": F.max, "min": F.min, "mean": F.avg}
     known = {name.lower(): how for name, how in policy.items()}
 
+    def first(c: Column, name: str) -> Column:
+        return first_value(c, by, order is not None and all(isinstance(df.schema[n].dataType, T.IntegralType) for n in (order, name)))
+
     aggs = []
     taken = {key, label, attack_type, *id_columns, *skip}
     for field in df.schema.fields:
         if field.name in taken or not isinstance(field.dataType, T.NumericType):
             continue
         how = known.get(field.name.lower()) or infer_policy(field.name, rules, legacy)
-        aggs.append(combine[how](F.col(f"`{field.name}`")).alias(field.name))
+        c = F.col(f"`{field.name}`")
+        aggs.append((first(c, field.name) if how == "first" else combine[how](c)).alias(field.name))
     aggs += [F.max(label).alias(label), F.count(F.lit(1)).alias("n_segments")]
     ids = [c for c in id_columns if c in df.columns]
     text_ids = [c for c in ids if isinstance(df.schema[c].dataType, T.StringType)]
-    aggs += [first_value(F.col(c), by).alias(c) for c in ids if c not in text_ids]
+    aggs += [first(F.col(c), c).alias(c) for c in ids if c not in text_ids]
 
     counters = _class_counters(attack_type, classes) if classes else []
     out = df.groupBy(key).agg(*aggs, *counters)
