@@ -46,7 +46,7 @@ class JobConfig:
     drop_ports: bool = False
     split_by_flow: bool = False
     algorithm: str = "boosted"
-    classifier_trees: int = 50
+    classifier_trees: int = 400
     forest_trees: int = 200
     restarts: int = 10
     recon_method: str = "pca"
@@ -233,11 +233,13 @@ def cascade_metrics(decided: DataFrame, cfg: JobConfig) -> DataFrame:
 
 
 def cascade_from_saved(packets: DataFrame, segments: DataFrame, stage1_path: str, stage2_path: str,
-                       cfg: JobConfig) -> DataFrame:
-    """Load both stages, transform only, decide on the packet test rows."""
+                       cfg: JobConfig, test_only: bool = False) -> DataFrame:
+    """Load both stages, transform only, decide on all packets, or on the test rows of the
+    configured sample."""
     stage1, stage2 = PipelineModel.load(stage1_path), PipelineModel.load(stage2_path)
-    test = part(split_packets(packet_sample(packets, cfg), cfg), "test")
-    return score_cascade(test, unified_flows(segments, cfg), stage1, stage2)
+    if test_only:
+        packets = part(split_packets(packet_sample(packets, cfg), cfg), "test")
+    return score_cascade(packets, unified_flows(segments, cfg), stage1, stage2)
 
 
 # -- the whole run -------------------------------------------------------------------------

@@ -79,7 +79,8 @@ def test_saved_stages_and_stream(spark, tables, cfg, tmp_path):
     first, second = str(tmp_path / "s1"), str(tmp_path / "s2")
     one, two = train_stage1(packets, cfg, first), train_stage2(segments, cfg, second)
     assert value(one.metrics, "stage1", "auc_roc") > 0.8 and value(two.metrics, "stage2", "f1") > 0.8
-    decided = cascade_from_saved(packets, segments, first, second, cfg).persist()
+    decided = cascade_from_saved(packets, segments, first, second, cfg, test_only=True).persist()
+    assert cascade_from_saved(packets, segments, first, second, cfg).count() == packets.count()
     test = part(split_packets(packet_sample(packets, cfg), cfg), "test")
     assert decided.count() == test.count()
 
