@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ BUCKET = 1 << 19
 #: Characters of text hashed at once.
 BLOCK = 1 << 19
 
-POINT = "cluster long, doc_id long, n long, raw binary, counts binary"
+POINT = "cluster long, doc_id long, n long, raw binary, counts binary, c0 int, c1 int"
 U = np.uint64
 
 
@@ -221,7 +222,8 @@ def candidate_edges(docs: DataFrame, total: int, drop: int) -> DataFrame:
 # -- points and trees ------------------------------------------------------------------------
 
 def groups_for(n: int) -> int:
-    return 64 if n < 512 else 256 if n < 4096 else 1024
+    """Hash groups of a set: so many that chance meetings hardly loosen the bound."""
+    return max(64, 1 << max(0, 2 * n - 1).bit_length())
 
 
 def counts_of(shingles: np.ndarray) -> np.ndarray:
@@ -245,8 +247,14 @@ def needed(n: int, low: int, high: int) -> int | None:
     return None if low > high else -(-4 * (n + low) // 9)
 
 
-def numbers(blob: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(blob, dtype)
+def vector_blob(counts: np.ndarray) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i4").tobytes())
+
+
+def vector(blob: bytes) -> np.ndarray:
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i4")
 
 
 def opened(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -271,12 +279,15 @@ def points(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 found, counts = shingle_sets(values)
                 first, second = fingerprints(found, counts)
                 ends = np.cumsum(counts)
-                out = [(r["cluster"], r["doc_id"], n, r["raw"], counts_of(found[e - n:e]).astype("<i4").tobytes())
-                       for r, n, e, f, s in zip(rows, counts.tolist(), ends.tolist(), first.view(np.int64).tolist(),
-                                                second.view(np.int64).tolist())
+                vectors = [counts_of(found[e - n:e]) for n, e in zip(counts.tolist(), ends.tolist())]
+                coarse = [folded(v, 64) for v in vectors]
+                out = [(r["cluster"], r["doc_id"], n, r["raw"], vector_blob(v), int(c[0]), int(c[1]))
+                       for v, c, r, n, _, f, s in zip(vectors, coarse, rows, counts.tolist(), ends.tolist(),
+                                                      first.view(np.int64).tolist(), second.view(np.int64).tolist())
                        if f == r["fa"] and s == r["fb"]]  # another text of the same id is another class
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(
-                    (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["cluster", "doc_id", "n", "raw", "counts"])
+                    (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()))],
+                    ["cluster", "doc_id", "n", "raw", "counts", "c0", "c1"])
 
     rows = squeezed(docs).join(nodes.select("cluster", "doc_id", "fa", "fb"), "doc_id")
     return rows.select("cluster", "doc_id", "fa", "fb", "raw").mapInArrow(build, POINT)
@@ -290,7 +301,7 @@ def verified(pairs: DataFrame) -> DataFrame:
         for batch in batches:
             a, b, na, nb, ca, cb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "ca", "cb"))
             near = [i for i in range(len(a)) if (need := needed(na[i], nb[i], nb[i])) is not None
-                    and summed_minima(numbers(ca[i], "<i4"), numbers(cb[i], "<i4")) >= need]
+                    and summed_minima(vector(ca[i]), vector(cb[i])) >= need]
             links, held, texts_held, size = [], [], {}, 0
             for k, i in enumerate(near):
                 for name, column in ((a[i], "ra"), (b[i], "rb")):
@@ -335,8 +346,9 @@ BOX = "cluster long, box string, parent string, low long, high long, top binary"
 def packed_leaves(p: DataFrame) -> DataFrame:
     """The points with a leaf each: runs of at most LEAF of a cluster, in order of size and first
     coordinates, and each run of FAN leaves under one node."""
+    kept = ["cluster", "doc_id", "n", "counts", "query", "size"]
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
         part, leaf, node, inside, leaves, last = TaskContext.get().partitionId(), -1, -1, 0, 0, object()
         for batch in batches:
             names, above = [], []
@@ -349,27 +361,25 @@ def packed_leaves(p: DataFrame) -> DataFrame:
                 inside += 1
                 names.append(f"{part}-{leaf}")
                 above.append(f"{part}-{node}")
-            columns = [batch.column(c) for c in ("cluster", "doc_id", "n", "counts", "query")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names), pa.array(above)],
-                                             ["cluster", "doc_id", "n", "counts", "query", "leaf", "node"])
+            columns = [batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(names), pa.array(above)], [*kept, "leaf", "node"])
 
-    first = [F.substring("counts", 1 + 4 * i, 4) for i in range(2)]
-    ordered = p.repartitionByRange(parts(p.sparkSession), "cluster", "n", *first, "doc_id") \
-               .sortWithinPartitions("cluster", "n", *first, "doc_id")
-    return ordered.mapInArrow(assign, "cluster long, doc_id long, n long, counts binary, query boolean, leaf string, node string")
+    order = ("cluster", "n", "c0", "c1", "doc_id")
+    ordered = p.repartitionByRange(parts(p.sparkSession), *order).sortWithinPartitions(*order)
+    return ordered.mapInArrow(assign, "cluster long, doc_id long, n long, counts binary, query boolean, size long, leaf string, node string")
 
 
 def boxes(rows: DataFrame, box: str, parent: str) -> DataFrame:
     """Boxes over rows (cluster, low, high, top, and the names of box and parent)."""
     def enclose(table: pa.Table) -> pa.Table:
-        tops = [numbers(b, "<i4") for b in table.column("top").to_pylist()]
+        tops = [vector(b) for b in table.column("top").to_pylist()]
         g = min(map(len, tops))
-        top = np.max([folded(t, g) for t in tops], axis=0).astype("<i4")
+        top = np.max([folded(t, g) for t in tops], axis=0)
         first = table.slice(0, 1).to_pylist()[0]
         return pa.table({"cluster": pa.array([first["cluster"]], pa.int64()), "box": [first[box]], "parent": [first[parent]],
                          "low": pa.array([min(table.column("low").to_pylist())], pa.int64()),
                          "high": pa.array([max(table.column("high").to_pylist())], pa.int64()),
-                         "top": pa.array([top.tobytes()], pa.binary())})
+                         "top": pa.array([vector_blob(top)], pa.binary())})
 
     return rows.groupBy(box).applyInArrow(enclose, BOX)
 
@@ -379,30 +389,60 @@ def pruned(pairs: DataFrame, key: str) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for i, (n, low, high, counts, top) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n", "low", "high", "counts", "top")))):
+            for i, (n, low, high, counts, top) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("n", "low", "high", "counts", "top")))):
                 need = needed(n, low, high)
-                if need is not None and summed_minima(numbers(counts, "<i4"), numbers(top, "<i4")) >= need:
+                if need is not None and summed_minima(vector(counts), vector(top)) >= need:
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "n", "counts", key)],
-                                             ["a", "n", "counts", key])
-
-    return pairs.select("a", "n", "counts", "low", "high", "top", key) \
-                .mapInArrow(check, f"a long, n long, counts binary, {key} {'long' if key == 'b' else 'string'}")
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "n", "counts", "size", key)],
+                                             ["a", "n", "counts", "size", key])
+
+    return pairs.select("a", "n", "counts", "size", "low", "high", "top", key) \
+                .mapInArrow(check, f"a long, n long, counts binary, size long, {key} string")
+
+
+#: Queries of one leaf that a task compares at once, at least on average.
+ASKED = 4096
+
+
+def met(asks: pa.Table, entries: pa.Table) -> pa.Table:
+    """Pairs of queries and points of one leaf whose counts allow a link, with the bound."""
+    mine, theirs = ([vector(v) for v in t.column("counts").to_pylist()] for t in (asks, entries))
+    out: list[list[np.ndarray]] = [[], [], [], []]
+    if mine and theirs:
+        g = min(map(len, mine + theirs))
+        q, e = (np.stack([folded(v, g) for v in vectors]) for vectors in (mine, theirs))
+        a, na = (np.asarray(asks.column(c).to_pylist(), np.int64) for c in ("a", "n"))
+        b, nb = (np.asarray(entries.column(c).to_pylist(), np.int64) for c in ("doc_id", "n"))
+        asking = np.asarray(entries.column("query").to_pylist(), bool)
+        step = max(1, (1 << 21) // e.size)
+        for begin in range(0, len(q), step):
+            x, own, n = q[begin:begin + step], a[begin:begin + step, None], na[begin:begin + step, None]
+            bound = np.minimum(x[:, None, :], e[None]).sum(axis=2)
+            ok = (bound >= -(-4 * (n + nb) // 9)) & (5 * nb >= 4 * n) & (5 * n >= 4 * nb) & (own != b) & (~asking | (own < b))
+            i, j = np.nonzero(ok)
+            for column, values in zip(out, (own[i, 0], b[j], bound[i, j], asking[j])):
+                column.append(values)
+    made = [np.concatenate(v) if v else np.zeros(0) for v in out]
+    return pa.table({k: pa.array(v.astype(kind)) for k, v, kind in zip(("a", "b", "bound", "open"), made, (np.int64,) * 3 + (bool,))})
 
 
 def tree_pairs(p: DataFrame) -> DataFrame:
-    """Pairs (a, b) of points that survive the descent; ``query`` marks the points that ask."""
+    """Pairs (a, b) of points that survive the descent, with their bound and whether b asks as
+    well; ``query`` marks the points that ask."""
     leaves = stage(packed_leaves(p), "leaves")
     entries = leaves.select("cluster", "leaf", "node", F.col("n").alias("low"), F.col("n").alias("high"), F.col("counts").alias("top"))
     level1 = stage(boxes(entries, "leaf", "node"), "boxes")
     level2 = boxes(level1.select("cluster", F.col("parent").alias("node"), F.lit("").alias("root"), "low", "high", "top"),
                    "node", "root")
-    asks = leaves.filter("query").select("cluster", F.col("doc_id").alias("a"), "n", "counts")
+    asks = leaves.filter("query").select("cluster", F.col("doc_id").alias("a"), "n", "counts", "size")
     top = pruned(asks.join(level2.withColumnRenamed("box", "node"), "cluster"), "node")
     low = pruned(top.join(level1.select(F.col("parent").alias("node"), F.col("box").alias("leaf"), "low", "high", "top"), "node"), "leaf")
-    last = low.join(leaves.select("leaf", F.col("doc_id").alias("b"), F.col("query").alias("asks"), F.col("n").alias("low"),
-                                  F.col("n").alias("high"), F.col("counts").alias("top")), "leaf")
-    return pruned(last.filter("a <> b AND (NOT asks OR a < b)"), "b").select("a", "b")
+    # Many queries of one leaf are dealt over salts, the leaf is repeated for each.
+    salts = F.ceil(F.col("size") / ASKED).cast("int")
+    asked = low.withColumn("salt", F.pmod(F.xxhash64("a"), salts).cast("int"))
+    points_of = leaves.select("leaf", "doc_id", "n", "counts", "query", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    return asked.groupBy("leaf", "salt").cogroup(points_of.groupBy("leaf", "salt")).applyInArrow(met, "a long, b long, bound long, open boolean")
 
 
 # -- the join --------------------------------------------------------------------------------
@@ -442,11 +482,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     open_ = p.join(pivots.filter("size > 2"), "cluster").filter("doc_id <> pivot") \
              .join(near.select(F.col("b").alias("doc_id")), "doc_id", "left_anti").select("cluster", "doc_id")
     open_ = stage(open_, "open")
-    asking = p.join(open_.select("cluster").distinct(), "cluster", "left_semi") \
+    asking = p.join(pivots.join(open_.select("cluster").distinct(), "cluster").select("cluster", "size"), "cluster") \
               .join(open_.select("doc_id", F.lit(True).alias("q")), "doc_id", "left") \
-              .select("cluster", "doc_id", "n", "counts", F.coalesce("q", F.lit(False)).alias("query"))
+              .select("cluster", "doc_id", "n", "counts", F.coalesce("q", F.lit(False)).alias("query"), "size", "c0", "c1")
     pairs = stage(tree_pairs(asking), "pairs")
-    links = near.unionByName(verified(pairs.join(beside(p, "a"), "a").join(beside(p, "b"), "b")))
+    sides = lambda rows: verified(rows.join(beside(p, "a"), "a").join(beside(p, "b"), "b"))
+    # First each open point against the settled point of its greatest bound: those linked are settled
+    # too, and pairs of settled points, all linked to one pivot, need no look. The rest is verified.
+    best = pairs.filter("NOT open").groupBy("a").agg(F.max_by("b", F.struct("bound", -F.col("b"))).alias("b"))
+    late = stage(sides(best), "best-links")
+    settled = late.select(F.col("a").alias("s")).distinct()
+    left = pairs.join(settled.withColumnRenamed("s", "a").withColumn("sa", F.lit(True)), "a", "left") \
+                .join(settled.withColumnRenamed("s", "b").withColumn("sb", F.lit(True)), "b", "left") \
+                .filter("NOT (sa IS NOT NULL AND (sb IS NOT NULL OR NOT open))").select("a", "b")
+    links = stage(near.unionByName(late).unionByName(sides(stage(left, "left"))), "links")
     joint = components(links)
     named = classes.join(joint.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
                    .filter("copies > 1 OR component IS NOT NULL") \
