@@ -407,17 +407,18 @@ ASKED = 4096
 
 def met(asks: pa.Table, entries: pa.Table) -> pa.Table:
     """Pairs of queries and points of one leaf whose counts allow a link, with the bound."""
-    mine, theirs = ([vector(v) for v in t.column("counts").to_pylist()] for t in (asks, entries))
+    mine, theirs = (t.column("counts") for t in (asks, entries))
     out: list[list[np.ndarray]] = [[], [], [], []]
-    if mine and theirs:
-        g = min(map(len, mine + theirs))
-        q, e = (np.stack([folded(v, g) for v in vectors]) for vectors in (mine, theirs))
+    if len(mine) and len(theirs):
         a, na = (np.asarray(asks.column(c).to_pylist(), np.int64) for c in ("a", "n"))
         b, nb = (np.asarray(entries.column(c).to_pylist(), np.int64) for c in ("doc_id", "n"))
         asking = np.asarray(entries.column("query").to_pylist(), bool)
+        g = groups_for(int(min(na.min(), nb.min())))
+        e = np.stack([folded(vector(v.as_py()), g) for v in theirs])
         step = max(1, (1 << 21) // e.size)
-        for begin in range(0, len(q), step):
-            x, own, n = q[begin:begin + step], a[begin:begin + step, None], na[begin:begin + step, None]
+        for begin in range(0, len(a), step):
+            x = np.stack([folded(vector(v.as_py()), g) for v in mine[begin:begin + step]])
+            own, n = a[begin:begin + step, None], na[begin:begin + step, None]
             bound = np.minimum(x[:, None, :], e[None]).sum(axis=2)
             ok = (bound >= -(-4 * (n + nb) // 9)) & (5 * nb >= 4 * n) & (5 * n >= 4 * nb) & (own != b) & (~asking | (own < b))
             i, j = np.nonzero(ok)
