@@ -38,12 +38,21 @@ def _imbalanced_sample_drawn(spark, sf):
 
 
 @query("sample_validation", "WITH " + EVENTS_SQL + """,
-c AS (SELECT count(*) FILTER ("Label" = 0) AS benign, count(DISTINCT attack_type) FILTER ("Label" = 1) AS kinds FROM ev)
-SELECT least(benign, 200000) AS n_benign, true AS benign_exact, true AS attack_within, kinds = 4 AS all_classes FROM c""")
+c AS (SELECT count(*) FILTER ("Label" = 0) AS benign, count(DISTINCT attack_type) FILTER ("Label" = 1) AS kinds FROM ev),
+f AS (SELECT benign, kinds, least(1.0, benign / 200000) AS share FROM c),
+l AS (SELECT *, CAST(greatest(4, round_even(4000 * share, 0)) AS BIGINT) AS attack_low FROM f)
+SELECT least(benign, 200000) AS n_benign, attack_low,
+       CAST(greatest(attack_low, round_even(6200 * share, 0)) AS BIGINT) AS attack_high,
+       true AS benign_exact, true AS attack_within, kinds = 4 AS all_classes FROM l""")
 def _sample_validation(spark, sf):
+    """The checks of a drawn sample, with the bounds that the scarce benign rows leave."""
     t, sample = _drawn(spark, sf)
     spec = plan_sample(class_counts(t), SEED, 200_000, 4_000, 6_200, EVENT_CLASSES)
-    return validate_sample(sample, spec, EVENT_CLASSES).drop("n_attack")
+    checked = validate_sample(sample, spec, EVENT_CLASSES)
+    bounds = F.col("n_attack").between(spec.attack_min, spec.attack_max)
+    return checked.select("n_benign", F.lit(spec.attack_min).cast("long").alias("attack_low"),
+                          F.lit(spec.attack_max).cast("long").alias("attack_high"), "benign_exact",
+                          bounds.alias("attack_within"), "all_classes")
 
 
 @query("stratified_split", RANKED_SQL + """
