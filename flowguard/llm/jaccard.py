@@ -8,8 +8,9 @@ form a class, found by a fingerprint; from then on a class is one point.
 (a + b) / 9 shingles. Hashing the shingles into more groups than that leaves a group without a
 difference, so linked sets share the content of a group. Each set deals the hashes of its group
 contents (per class of sizes, packed and sorted, a few bytes each) to buckets; sets that meet
-there form clusters by connected components. A set with too few filled groups for the guarantee
-also deals its single shingles. Every link lies inside a cluster.
+there form clusters by connected components. Shingles common in a sample are left out of the groups, which
+keeps the guarantee; a set with too few filled groups for it deals all its shingles' groups, and
+if need be its single shingles, as well. Every link lies inside a cluster.
 
 *The tree.* A point is the vector of shingle counts by hash group (64 groups, more for larger
 sets; vectors of different lengths are folded). The points of a cluster, ordered by size and
@@ -118,12 +119,36 @@ def size_classes(top: int) -> np.ndarray:
     return np.asarray([*ends, max(ends[-1] + 2, ends[-1] * 3 // 2)])
 
 
-def contents(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the group contents of each set and the place of the set they belong to."""
+def dealt_groups(h: np.ndarray, n: np.ndarray, kind: np.ndarray, groups: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the filled groups of sets (``n`` shingles each, one set after another), the place
+    of their set, and the number of filled groups of each set."""
+    spread = mixed(h ^ mixed(U(977 + salt) + kind.astype(U)).repeat(n))
+    base = np.cumsum(groups) - groups
+    cell = np.repeat(base, n) + ((spread >> U(20)) % np.repeat(groups, n).astype(U)).astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    new = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(new, len(cell)))
+    filled = cell[new]
+    place = np.searchsorted(np.cumsum(groups), filled, "right")
+    inner = (filled - base[place]).astype(U)
+    keys = mixed(sums(spread[order], sizes) + mixed(inner + (kind[place].astype(U) << U(40)) + (sizes.astype(U) << U(50)) + U(salt)))
+    return keys, place, np.bincount(place, minlength=len(n))
+
+
+def contents(found: np.ndarray, counts: np.ndarray, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the group contents of each set and the place of the set they belong to.
+
+    Groups are made of the shingles that are not in ``common``: two sets differ there in no more
+    shingles than in all, and texts that share a well-known passage do not meet for it. A set
+    with too few filled groups deals the groups of all its shingles as well, and if those are
+    still too few, its single shingles; two such sets meet there.
+    """
     ends = size_classes(int(counts.max(initial=0)))
     own = np.searchsorted(ends, counts)
     able = counts > 3  # smaller sets link with equal sets alone
     upper = able & (counts * 5 // 4 > ends[own])  # a partner may lie in the next class
+    rare = np.ones(len(found), bool) if common is None or not len(common) else ~np.isin(found, common)
     keys, sets = [], []
     first = np.cumsum(counts) - counts
     for chosen, kind in ((np.flatnonzero(able), own), (np.flatnonzero(upper), own + 1)):
@@ -132,35 +157,54 @@ def contents(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
         n, k = counts[chosen], kind[chosen]
         differ = ends[k] * 2 // 9
         groups = differ + differ // 24 + 3
+        most = (n + np.minimum(n * 5 // 4, ends[k])) // 9  # shingles in which a linked set may differ
         at = np.repeat(first[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        h = found[at]
-        spread = mixed(h ^ mixed(U(977) + k.astype(U)).repeat(n))
-        cell = np.repeat(np.cumsum(groups) - groups, n) + ((spread >> U(20)) % np.repeat(groups, n).astype(U)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        cell = cell[order]
-        new = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        sizes = np.diff(np.append(new, len(cell)))
-        filled = cell[new]
-        place = np.searchsorted(np.cumsum(groups), filled, "right")
-        inner = (filled - (np.cumsum(groups) - groups)[place]).astype(U)
-        keys.append(mixed(sums(spread[order], sizes) + mixed(inner + (k[place].astype(U) << U(40)) + (sizes.astype(U) << U(50)))))
+        inside = rare[at]
+        holder = np.repeat(np.arange(len(chosen)), n)
+        made, place, filled = dealt_groups(found[at][inside], np.bincount(holder[inside], minlength=len(chosen)), k, groups, 0)
+        keys.append(made)
         sets.append(chosen[place])
-        # Where the filled groups may all hold a difference, single shingles go as well.
-        most = (n + np.minimum(n * 5 // 4, ends[k])) // 9
-        poor = np.bincount(place, minlength=len(chosen)) <= most
-        if poor.any():
-            take = np.repeat(poor, n)
-            keys.append(mixed(spread[take] + U(1)))
-            sets.append(np.repeat(chosen, n)[take])
+        poor = np.flatnonzero(filled <= most)
+        if len(poor):
+            h = found[at][np.isin(holder, poor)]
+            made, place, filled = dealt_groups(h, n[poor], k[poor], groups[poor], 1)
+            keys.append(made)
+            sets.append(chosen[poor][place])
+            bare = np.flatnonzero(filled <= most[poor])
+            take = np.isin(np.repeat(np.arange(len(poor)), n[poor]), bare)
+            keys.append(mixed(h[take] ^ mixed(np.repeat(k[poor], n[poor])[take].astype(U) + U(2))))
+            sets.append(np.repeat(chosen[poor], n[poor])[take])
     return (np.concatenate(keys), np.concatenate(sets)) if keys else (np.zeros(0, U), np.zeros(0, np.int64))
 
 
-def candidate_edges(docs: DataFrame, total: int, drop: int) -> DataFrame:
+#: Rows of the sample that tells common shingles, sets of it that make one common, and most of them.
+#: Any choice gives the same links; a good one keeps unlike texts apart.
+COMMON_ROWS = 4_000
+COMMON_SETS = 4
+COMMON = 200_000
+
+
+def common_shingles(docs: DataFrame, rows: int) -> np.ndarray:
+    """Sorted hashes of shingles in several different sets of a sample drawn by hash of the id."""
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, values in texts(batches, BLOCK):
+            found, counts = shingle_sets(values)
+            mark = np.repeat(fingerprints(found, counts)[0], counts)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(mark.view(np.int64))], ["h", "mark"])
+
+    place = F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1 << 30)) / (1 << 30)
+    met_in = docs.filter(place < COMMON_ROWS / max(1, rows)).mapInArrow(shingles, "h long, mark long").distinct()
+    top = met_in.groupBy("h").count().filter(F.col("count") >= COMMON_SETS).orderBy(F.desc("count"), "h").limit(COMMON)
+    return np.sort(np.asarray([r["h"] for r in top.collect()], np.int64).view(U))
+
+
+def candidate_edges(docs: DataFrame, total: int, drop: int, common: np.ndarray) -> DataFrame:
     """Edges (a, b) between set marks that share a group content, with weight 0, and rows (a, a)
     whose weight counts the sharings of a. A mark is a fingerprint without its low ``drop`` bits;
     of the content hashes, too, only as many bits are sent as keep chance meetings rare. Sets
     that meet by chance cost a comparison, no more."""
     bits = max(4, int(total // 2 // BUCKET).bit_length())
+    shared = docs.sparkSession.sparkContext.broadcast(common)
     spare = max(0, 64 - int(max(total, 2)).bit_length() - 20)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +225,7 @@ def candidate_edges(docs: DataFrame, total: int, drop: int) -> DataFrame:
         for _, values in texts(batches, 1 << 20):
             found, counts = shingle_sets(values)
             mark = fingerprints(found, counts)[0] >> U(drop)
-            key, place = contents(found, counts)
+            key, place = contents(found, counts, shared.value)
             # Copies met again in this task deal nothing new: what a hot group sends is one set per task.
             fresh = np.zeros(len(mark), bool)
             fresh[np.unique(mark, return_index=True)[1]] = True
@@ -468,7 +512,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     usable = marks.filter("n > 0 AND doc_id IS NOT NULL")
     total, rows = usable.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     drop = max(0, 64 - int(max(rows, 2)).bit_length() - 24)
-    found = stage(candidate_edges(docs.filter("doc_id IS NOT NULL"), total, drop).groupBy("a", "b").agg(F.sum("w").alias("w")), "meetings")
+    named = docs.filter("doc_id IS NOT NULL")
+    found = stage(candidate_edges(named, total, drop, common_shingles(named, rows)).groupBy("a", "b").agg(F.sum("w").alias("w")), "meetings")
     clusters = components(found.filter("a <> b"))
     support = found.filter("a = b").select(F.col("a").alias("mark"), "w")
     classes = usable.groupBy("fa", "fb", "n").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")) \

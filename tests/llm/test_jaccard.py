@@ -57,9 +57,10 @@ def test_every_link_shares_a_group_content():
             drop = rng.integers(0, n // 9 + 1)
             b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 62, rng.integers(0, n // 9 + 1)).astype(np.uint64)]))
             shared = len(np.intersect1d(a, b))
-            keys, place = jaccard.contents(np.concatenate([a, b]), np.asarray([len(a), len(b)]))
-            if jaccard.linked(shared, len(a), len(b)) and not np.array_equal(a, b):
-                assert len(np.intersect1d(keys[place == 0], keys[place == 1]))
+            for common in (None, rng.permutation(a)[:rng.integers(0, n)]):
+                keys, place = jaccard.contents(np.concatenate([a, b]), np.asarray([len(a), len(b)]), common)
+                if jaccard.linked(shared, len(a), len(b)) and not np.array_equal(a, b):
+                    assert len(np.intersect1d(keys[place == 0], keys[place == 1]))
 
 
 def test_bounds_hold():
