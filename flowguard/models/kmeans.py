@@ -44,8 +44,9 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
     ``ml.clustering.KMeans`` would read the data restarts x iterations times. Here all
     starts move together: one pass gives every partition's sums for all of them, which are
     added up to one vector. Starts come from all rows by distance-weighted oversampling in a
-    few passes that all starts share; draws depend on a row's values, not on its place, so
-    they are the same however the rows are partitioned. A start that has settled leaves later
+    few passes that all starts share. Equal rows are first brought together to one vector and
+    its count, which weighs in every draw and sum; draws depend on a row's values, not on its
+    place, so they are the same however the rows are partitioned. A start that has settled leaves later
     passes; one that has not after ``maxIter`` passes is reported in the log.
     """
 
@@ -58,10 +59,10 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
 
     def _fit(self, df: DataFrame) -> NearestCentreModel:
         k, restarts, seed = (self.getOrDefault(p) for p in ("k", "restarts", "seed"))
-        rows = df.select(as_array(self.getFeaturesCol()).alias("x")).persist()
+        rows = df.groupBy(as_array(self.getFeaturesCol()).alias("x")).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
         try:
-            n = rows.count()
-            if n == 0:
+            n = rows.agg(F.sum("n")).first()[0]
+            if not n:
                 raise ValueError("no rows to fit on")
             starts = _starts(rows, k, max(1, restarts), seed)
             spread = _mean_variance(rows, n)
@@ -91,6 +92,11 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
         return min(done.items(), key=lambda item: (item[1][0], item[0]))[1][1]
 
 
+def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of a batch and the number of rows that are equal to each."""
+    return feature_matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
+
+
 def _draws(x: np.ndarray, seed: int, start: int, turn: int) -> np.ndarray:
     """A number in [0, 1) per row that depends on its values alone."""
     bits = np.ascontiguousarray(x + 0.0).view(np.uint64)
@@ -107,14 +113,15 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def _starts(rows: DataFrame, k: int, starts: int, seed: int) -> list[np.ndarray]:
-    """Starting centres: for each start a first row, then rounds that take every row with a
-    chance in proportion to its squared distance from the candidates so far (about 2 k a
-    round), and at last k-means++ over the candidates, weighted by the rows nearest to each."""
+    """Starting centres: for each start a first row, then rounds that take every vector with a
+    chance in proportion to its count and its squared distance from the candidates so far (about
+    2 k a round), and at last k-means++ over the candidates, weighted by the rows nearest to each."""
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = feature_matrix(batch.column(0))
-                u = [_draws(x, seed, i, 0) for i in range(starts)]
+                x, n = _counted(batch)
+                # The least of n draws, so every row has the same chance to be the first.
+                u = [-np.expm1(np.log1p(-_draws(x, seed, i, 0)) / n) for i in range(starts)]
                 yield _rows_out(range(starts), [x[d.argmin()] for d in u], [d.min() for d in u])
 
     found = rows.mapInArrow(first, "s int, x array<double>, u double").groupBy("s").agg(F.min_by("x", "u").alias("x")).collect()
@@ -124,10 +131,10 @@ def _starts(rows: DataFrame, k: int, starts: int, seed: int) -> list[np.ndarray]
 
         def far(batches: Iterator[pa.RecordBatch], chosen=chosen, cost=cost, turn=turn) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = feature_matrix(batch.column(0)) if batch.num_rows else np.zeros((0, 1))
+                x, n = _counted(batch) if batch.num_rows else (np.zeros((0, 1)), np.zeros(0))
                 for i in range(starts):
                     if len(x) and cost[i] > 0:
-                        away = _squares(x, chosen[i]).min(axis=1)
+                        away = n * _squares(x, chosen[i]).min(axis=1)
                         picked = np.unique(x[_draws(x, seed, i, turn) * cost[i] < 2 * k * away], axis=0)
                         yield _rows_out([i] * len(picked), picked, [0.0] * len(picked))
 
@@ -150,12 +157,12 @@ def _nearest_sums(rows: DataFrame, chosen: dict[int, np.ndarray], weights: bool)
         total = None
         for batch in batches:
             if batch.num_rows:
-                x = feature_matrix(batch.column(0))
+                x, n = _counted(batch)
                 parts = []
                 for i in range(len(chosen)):
                     squares = _squares(x, chosen[i])
-                    parts.append(np.bincount(squares.argmin(axis=1), minlength=len(chosen[i])).astype(float) if weights
-                                 else [squares.min(axis=1).sum()])
+                    parts.append(np.bincount(squares.argmin(axis=1), weights=n, minlength=len(chosen[i])) if weights
+                                 else [n @ squares.min(axis=1)])
                 part = np.concatenate(parts)
                 total = part if total is None else total + part
         if total is not None:
@@ -164,12 +171,12 @@ def _nearest_sums(rows: DataFrame, chosen: dict[int, np.ndarray], weights: bool)
     return sum_arrays(rows.mapInArrow(partial, "part array<double>"), "part")
 
 
-def _mean_variance(rows: DataFrame, n: int) -> float:
+def _mean_variance(rows: DataFrame, n: float) -> float:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = feature_matrix(batch.column(0))
-                sums = np.concatenate([x.sum(axis=0), (x ** 2).sum(axis=0)]).tolist()
+                x, counts = _counted(batch)
+                sums = np.concatenate([counts @ x, counts @ x ** 2]).tolist()
                 yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64()))], ["part"])
 
     mean, square = np.split(sum_arrays(rows.mapInArrow(partial, "part array<double>"), "part") / n, 2)
@@ -203,7 +210,7 @@ def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.nda
         common, total = shared.value, None
         for batch in batches:
             if batch.num_rows:
-                part = _partial_sums(common, feature_matrix(batch.column(0)))
+                part = _partial_sums(common, *_counted(batch))
                 total = part if total is None else total + part
         if total is not None:
             flat = pa.array([total.ravel().tolist()], pa.list_(pa.float64()))
@@ -216,7 +223,7 @@ def _pass(rows: DataFrame, centres: np.ndarray) -> list[tuple[np.ndarray, np.nda
     return [(t[:, :width], t[:, width], float(t[:, width + 1].sum())) for t in table]
 
 
-def _partial_sums(centres: np.ndarray, x: np.ndarray) -> np.ndarray:
+def _partial_sums(centres: np.ndarray, x: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Per start and cluster: sum of its rows, their number, their summed squared distance."""
     starts, k, width = centres.shape
     out = np.zeros((starts, k, width + 2))
@@ -225,7 +232,7 @@ def _partial_sums(centres: np.ndarray, x: np.ndarray) -> np.ndarray:
         squares = np.maximum(square[:, None] - 2.0 * (x @ c.T) + (c ** 2).sum(axis=1), 0.0)
         cluster = squares.argmin(axis=1)
         member = np.zeros((len(x), k))
-        member[np.arange(len(x)), cluster] = 1.0
+        member[np.arange(len(x)), cluster] = n
         out[i, :, :width] = member.T @ x
         out[i, :, width] = member.sum(axis=0)
         out[i, :, width + 1] = member.T @ squares[np.arange(len(x)), cluster]

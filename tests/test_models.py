@@ -163,6 +163,19 @@ def test_centres_do_not_depend_on_partitions(planted):
     assert a == pytest.approx(b, abs=1e-9)
 
 
+def test_starts_weigh_equal_rows(spark):
+    """A vector that a third of all rows share is a candidate of every start, and a table of few
+    distinct vectors gets as many different centres as asked for."""
+    x = np.random.default_rng(2).normal(size=(2_000, 3))
+    rows = [(v.tolist(),) for v in x] + [([9.0, 9.0, 9.0],)] * 1_000
+    flood = spark.createDataFrame(rows, "x array<double>").select(array_to_vector("x").alias("features"))
+    centres = NearestCentre(k=2, restarts=1).fit(flood).state["centres"]
+    assert np.abs(centres - 9.0).max(axis=1).min() < 1e-9
+    few = spark.range(20_000).select(array_to_vector(F.array(*[(F.col("id") % 20 * p % 17).cast("double") for p in (1, 3, 5)])).alias("features"))
+    centres = NearestCentre(k=8, restarts=1, maxIter=1).fit(few).state["centres"]
+    assert len(np.unique(centres, axis=0)) == 8
+
+
 def test_combined_score(planted):
     _, df = planted
     t = df.select("id", F.col("id").cast("double").alias("p"), F.sin("id").alias("q"))
