@@ -32,10 +32,10 @@ PACKET_FEATURES = ["packet_length", "priority", "o_custkey"]
 
 
 def job_config(**changes) -> JobConfig:
-    """Jobs on orders (packets) and lineitem (segments). Trees and restarts are below their
-    defaults; sample sizes are the defaults and shrink with the benign rows there are."""
+    """Jobs on orders (packets) and lineitem (segments), at the default settings; sample sizes
+    shrink with the benign rows there are."""
     base = dict(taxonomy=ORDER_CLASSES, packet_features=PACKET_FEATURES, flow_features=FLOW_FEATURES,
-                classifier_trees=10, forest_trees=100, restarts=2, unify_options=UNIFY_OPTIONS)
+                unify_options=UNIFY_OPTIONS)
     return JobConfig(**{**base, **changes})
 
 
@@ -70,7 +70,7 @@ def _recon_error(spark, sf):
 @query("recon_error_mlp")
 def _recon_error_mlp(spark, sf):
     v = vectors(spark, sf)
-    return Reconstruction(method="mlp", epochs=10).fit(v).transform(v).select("vec_id", "recon_error")
+    return Reconstruction(method="mlp").fit(v).transform(v).select("vec_id", "recon_error")
 
 
 @query("isolation_score")
@@ -88,7 +88,7 @@ def _kmeans_distance(spark, sf):
 @query("cluster_assignment")
 def _cluster_assignment(spark, sf):
     v = vectors(spark, sf)
-    return NearestCentre(restarts=2).fit(v).transform(v).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    return NearestCentre().fit(v).transform(v).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("kmeans_checks", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_far FROM embeddings")
@@ -126,7 +126,7 @@ def _recon_checks(spark, sf):
 
 def _detected(spark, sf, **options):
     v = flow_vectors(spark, sf)
-    model = AnomalyDetector(idCol="flow_id", **{"trees": 100, "restarts": 2, **options}).fit(v)
+    model = AnomalyDetector(idCol="flow_id", **options).fit(v)
     return model, model.transform(v)
 
 
@@ -137,7 +137,7 @@ def _anomaly_detector(spark, sf):
 
 @query("component_scores")
 def _component_scores(spark, sf):
-    return _detected(spark, sf, trees=50, restarts=1)[1].select(
+    return _detected(spark, sf)[1].select(
         "flow_id", "recon_error", "isolation_score", "kmeans_distance", "cluster", "anomaly_score")
 
 
@@ -148,7 +148,7 @@ def _forest_detector(spark, sf):
 
 @query("cluster_anomaly")
 def _cluster_anomaly(spark, sf):
-    return _detected(spark, sf, trees=20, restarts=1)[0].tendency(spark)
+    return _detected(spark, sf)[0].tendency(spark)
 
 
 @query("model_roundtrip", "WITH " + SEGMENTS_SQL + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM uni")
@@ -156,7 +156,7 @@ def _model_roundtrip(spark, sf):
     """Scores of a saved and loaded model against those of the fitted one."""
     t = unified(spark, sf).select("flow_id", *FLOW_FEATURES).persist()
     prep = Preprocessor(inputCols=FLOW_FEATURES).fit(t)
-    detector = AnomalyDetector(idCol="flow_id", trees=20, restarts=1).fit(prep.transform(t))
+    detector = AnomalyDetector(idCol="flow_id").fit(prep.transform(t))
     fitted, path = PipelineModel([prep, detector]), shared_dir(spark, "model")
     fitted.write().save(path)
     a = fitted.transform(t).select("flow_id", "anomaly_score", "alert")
@@ -171,19 +171,19 @@ def _model_roundtrip(spark, sf):
 @query("supervised_flow")
 def _supervised_flow(spark, sf):
     v = flow_vectors(spark, sf)
-    return fit_classifier(v, boosted_trees(trees=20)).transform(v).select("flow_id", "Label", "proba", "decision")
+    return fit_classifier(v, boosted_trees()).transform(v).select("flow_id", "Label", "proba", "decision")
 
 
 @query("forest_classifier")
 def _forest_classifier(spark, sf):
     v = flow_vectors(spark, sf)
-    model = fit_classifier(v, random_forest(trees=50, depth=8), balanced=True)
+    model = fit_classifier(v, random_forest(), balanced=True)
     return model.transform(v).select("flow_id", "Label", "proba", "decision")
 
 
 @query("feature_importance")
 def _feature_importance(spark, sf):
-    model = fit_classifier(flow_vectors(spark, sf), boosted_trees(trees=10))
+    model = fit_classifier(flow_vectors(spark, sf), boosted_trees())
     return feature_importance(spark, model, FLOW_FEATURES)
 
 
@@ -207,13 +207,13 @@ def _classifier_checks(spark, sf):
 
 @query("top_features")
 def _top_features(spark, sf):
-    model = fit_classifier(flow_vectors(spark, sf), boosted_trees(trees=5))
+    model = fit_classifier(flow_vectors(spark, sf), boosted_trees())
     return top_features(feature_importance(spark, model, FLOW_FEATURES))
 
 
 @query("ablation")
 def _ablation(spark, sf):
-    cfg = job_config(classifier_trees=5, forest_trees=50, restarts=1, taxonomy=LINE_CLASSES)
+    cfg = job_config(taxonomy=LINE_CLASSES)
     split = split_flows(flow_sample(unified(spark, sf), cfg), cfg).persist()
     return ablation(split, cfg)[1]
 
@@ -281,8 +281,11 @@ def _detection_report(spark, sf):
 
 @query("flow_length_analysis")
 def _flow_length_analysis(spark, sf):
-    cfg = job_config(unify_options=JOB_UNIFY, forest_trees=50, restarts=1)
-    return flow_length_analysis(job_segments(spark, sf), cfg).by_quartile
+    cfg = job_config(unify_options=JOB_UNIFY)
+    found = flow_length_analysis(job_segments(spark, sf), cfg)
+    tables = (("correlation", found.correlations), ("within_class", found.within_class), ("quartile", found.by_quartile))
+    a, b, c = (t.select(F.lit(name).alias("part"), "*") for name, t in tables)
+    return a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
 
 
 @query("train_stage1")
@@ -305,7 +308,7 @@ def _saved_stages(spark, sf, cfg):
 
 @query("cascade_from_saved")
 def _cascade_from_saved(spark, sf):
-    cfg = job_config(unify_options=JOB_UNIFY, classifier_trees=5, forest_trees=50, restarts=1)
+    cfg = job_config(unify_options=JOB_UNIFY)
     first, second = _saved_stages(spark, sf, cfg)
     decided = cascade_from_saved(packets(spark, sf), job_segments(spark, sf), first, second, cfg)
     return decided.select("flow_id", "alert", "have_flow", "proba", "combined")
@@ -315,7 +318,7 @@ def _cascade_from_saved(spark, sf):
 
 def _stream_decided(spark, sf):
     """Orders arriving as packets, scored by saved stages fitted on the same tables."""
-    cfg = job_config(unify_options=JOB_UNIFY, classifier_trees=5, forest_trees=50, restarts=1)
+    cfg = job_config(unify_options=JOB_UNIFY)
     first, second = _saved_stages(spark, sf, cfg)
     stage1, stage2 = PipelineModel.load(first), PipelineModel.load(second)
     # Written once: a micro-batch then joins a table and does not score the flows again.

@@ -74,6 +74,21 @@ def test_flow_length(tables, cfg):
     assert out.correlations.count() == 2 and out.by_quartile.agg(F.sum("n")).first()[0] > 10
 
 
+def test_queries_run_at_full_settings(spark):
+    import inspect
+
+    import __spark_entry__ as entry_points
+    from bindings.models import job_config
+    from flowguard.models.classifier import boosted_trees, random_forest
+    cfg, full = job_config(), JobConfig()
+    assert [getattr(cfg, c) == getattr(full, c) for c in ("classifier_trees", "forest_trees", "restarts")] == [True] * 3
+    defaults = [{n: p.default for n, p in inspect.signature(f).parameters.items()} for f in (boosted_trees, random_forest)]
+    assert defaults[0]["trees"] == full.classifier_trees == 400 and (defaults[1]["trees"], defaults[1]["depth"]) == (300, 30)
+    found = entry_points.queries()["flow_length_analysis"](spark, "/root/testdata/sf0.01")
+    assert {r.part: r.n_ for r in found.groupBy("part").agg(F.count("n").alias("n_")).collect()}.keys() == {
+        "correlation", "within_class", "quartile"}
+
+
 def test_saved_stages_and_stream(spark, tables, cfg, tmp_path):
     packets, segments = tables
     first, second = str(tmp_path / "s1"), str(tmp_path / "s2")
