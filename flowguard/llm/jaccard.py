@@ -24,6 +24,12 @@ is compared with all others first, one pair each, under the same bound; what it
 and only the remaining points query the tree. Work on a group of copies is linear in it, no
 pairs of a group are enumerated, and nothing is capped.
 
+*Links.* The number of links of a component counts every linked pair of documents, equal sets
+included. The points of a cluster, ordered by size, are cut into blocks; every two blocks whose sizes
+allow a link meet in a task that counts the shingles their sets share. No pair is emitted, only a
+sum for each point, weighted by the copies on both sides; pairs of copies are counted by formula.
+The comparisons of a cluster grow with the square of its different sets, the rows with that over BESIDE.
+
 Defined results: a null or empty text or one without words has no shingles and links with
 nothing; fewer words than five are one shingle; ties do not arise, as components are named by
 their least id; repeated rows belong to one class; a null id is linked with nothing and has a
@@ -36,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +60,11 @@ BUCKET = 1 << 19
 #: Characters of text hashed at once.
 BLOCK = 1 << 19
 
-POINT = "cluster long, doc_id long, n long, raw binary, counts binary, c0 int, c1 int"
+#: Points and shingles of a block whose links are counted at once.
+BESIDE = 1024
+BESIDE_SHINGLES = 1 << 19
+
+POINT = "cluster long, doc_id long, n long, raw binary, counts binary, c0 int, c1 int, fa long, fb long, copies long"
 U = np.uint64
 
 
@@ -325,16 +336,16 @@ def points(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 ends = np.cumsum(counts)
                 vectors = [counts_of(found[e - n:e]) for n, e in zip(counts.tolist(), ends.tolist())]
                 coarse = [folded(v, 64) for v in vectors]
-                out = [(r["cluster"], r["doc_id"], n, r["raw"], vector_blob(v), int(c[0]), int(c[1]))
+                out = [(r["cluster"], r["doc_id"], n, r["raw"], vector_blob(v), int(c[0]), int(c[1]), f, s, r["copies"])
                        for v, c, r, n, _, f, s in zip(vectors, coarse, rows, counts.tolist(), ends.tolist(),
                                                       first.view(np.int64).tolist(), second.view(np.int64).tolist())
                        if f == r["fa"] and s == r["fb"]]  # another text of the same id is another class
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(
-                    (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()))],
-                    ["cluster", "doc_id", "n", "raw", "counts", "c0", "c1"])
+                    (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), *[pa.int64()] * 3))],
+                    ["cluster", "doc_id", "n", "raw", "counts", "c0", "c1", "fa", "fb", "copies"])
 
-    rows = squeezed(docs).join(nodes.select("cluster", "doc_id", "fa", "fb"), "doc_id")
-    return rows.select("cluster", "doc_id", "fa", "fb", "raw").mapInArrow(build, POINT)
+    rows = squeezed(docs).join(nodes.select("cluster", "doc_id", "fa", "fb", "copies"), "doc_id")
+    return rows.select("cluster", "doc_id", "fa", "fb", "copies", "raw").mapInArrow(build, POINT)
 
 
 def verified(pairs: DataFrame) -> DataFrame:
@@ -490,6 +501,99 @@ def tree_pairs(p: DataFrame) -> DataFrame:
     return asked.groupBy("leaf", "salt").cogroup(points_of.groupBy("leaf", "salt")).applyInArrow(met, "a long, b long, bound long, open boolean")
 
 
+# -- number of links ---------------------------------------------------------------------------
+
+def overlaps(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Shared shingles of every set of one list with every set of another (hashes, one set after
+    another, and their numbers)."""
+    rows, columns = len(na), len(nb)
+    out = np.zeros(rows * columns, np.int64)
+    common = np.intersect1d(a, b)
+    if not len(common):
+        return out.reshape(rows, columns)
+    sides = []
+    for h, n in ((a, na), (b, nb)):
+        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+        hit = common[at] == h
+        name, owner = at[hit], np.repeat(np.arange(len(n)), n)[hit]
+        order = np.argsort(name, kind="stable")
+        run = np.bincount(name, minlength=len(common))
+        sides.append((owner[order], np.cumsum(run) - run, run))
+    (own, start, run), (other, begin, size) = sides
+    pairs = run * size
+    # Shingles that many sets hold: as columns of two matrices. The others: pair by pair.
+    dense = pairs > max(1, rows * columns // 400)
+    names = np.flatnonzero(dense)
+    for k in range(0, len(names), 4096):
+        some = names[k:k + 4096]
+        x, y = np.zeros((rows, len(some)), np.float32), np.zeros((columns, len(some)), np.float32)
+        for m, o, s, r in ((x, own, start, run), (y, other, begin, size)):
+            n = r[some]
+            m[o[np.repeat(s[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())], np.repeat(np.arange(len(some)), n)] = 1
+        out += np.rint(x @ y.T).astype(np.int64).ravel()
+    names = np.flatnonzero(~dense)
+    step = np.cumsum(pairs[names]) >> 22
+    for some in np.split(names, np.flatnonzero(step[1:] != step[:-1]) + 1) if len(names) else []:
+        n = pairs[some]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        width = np.repeat(size[some], n)
+        i = own[np.repeat(start[some], n) + inner // width]
+        out += np.bincount(i * columns + other[np.repeat(begin[some], n) + inner % width], minlength=len(out))
+    return out.reshape(rows, columns)
+
+
+def link_sums(table: pa.Table) -> pa.Table:
+    """Per point of the first of two blocks the linked pairs of its copies and those of points in
+    the second; in one block with itself each pair counts once."""
+    same = table.column("a")[0].as_py() == table.column("b")[0].as_py()
+    sides = []
+    for side in (0,) if same else (0, 1):
+        rows = table.filter(pa.compute.equal(table.column("side"), side)).drop_columns(["a", "b", "side"])
+        keys = np.stack([np.asarray(rows.column(c).to_pylist(), np.int64) for c in ("fa", "fb")], 1).reshape(-1, 2)
+        rows = rows.take(pa.array(np.unique(keys, axis=0, return_index=True)[1]))  # equal rows of one id
+        found = [shingle_sets(values) for batch in rows.to_batches() for _, values in opened(batch, "raw")]
+        h, n = (np.concatenate(x) for x in zip(*found))
+        sides.append((h, n, *(np.asarray(rows.column(c).to_pylist(), np.int64) for c in ("doc_id", "copies"))))
+    (ha, na, doc, mine), (hb, nb, _, theirs) = sides[0], sides[-1]
+    shared = overlaps(ha, na, hb, nb)
+    near = 100 * shared >= 80 * (na[:, None] + nb[None] - shared)
+    if same:
+        near = np.triu(near, 1)
+    links = mine * (near @ theirs)
+    some = np.flatnonzero(links)
+    return pa.table({"doc_id": pa.array(doc[some], pa.int64()), "links": pa.array(links[some], pa.int64())})
+
+
+def counted_links(p: DataFrame) -> DataFrame:
+    """(doc_id, links): linked pairs of documents with different sets, each at one of its two
+    representatives; several rows per document."""
+    kept = ["cluster", "doc_id", "fa", "fb", "n", "copies"]
+    order = ("cluster", "n", "fa", "fb", "doc_id")
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, points_in, size, last = (TaskContext.get().partitionId() << 40) - 1, 0, 0, None
+        for batch in batches:
+            names = []
+            for cluster, n in zip(batch.column("cluster").to_pylist(), batch.column("n").to_pylist()):
+                if cluster != last or points_in == BESIDE or size + n > BESIDE_SHINGLES:
+                    block, points_in, size, last = block + 1, 0, 0, cluster
+                points_in, size = points_in + 1, size + n
+                names.append(block)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(names, pa.int64())], [*kept, "block"])
+
+    ordered = p.select(*kept).distinct().repartitionByRange(parts(p.sparkSession), *order).sortWithinPartitions(*order)
+    marked = stage(ordered.mapInArrow(assign, ", ".join(f"{c} long" for c in [*kept, "block"])), "blocks")
+    spans = marked.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("m"))
+    a, b = (spans.select("cluster", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "low", "high", "m"))) for s in "ab")
+    pairs = a.join(b, "cluster").filter("block_a < block_b AND 5 * high_a >= 4 * low_b AND 5 * high_b >= 4 * low_a OR block_a = block_b AND m_a > 1") \
+             .select(F.col("block_a").alias("a"), F.col("block_b").alias("b"))
+    goes = pairs.select(F.col("a").alias("block"), "a", "b", F.lit(0).alias("side")) \
+                .unionByName(pairs.filter("a <> b").select(F.col("b").alias("block"), "a", "b", F.lit(1).alias("side")))
+    sent = marked.select("doc_id", "fa", "fb", "block").join(goes, "block").drop("block")
+    rows = p.select("doc_id", "fa", "fb", "copies", "raw").join(sent, ["doc_id", "fa", "fb"])
+    return rows.groupBy("a", "b").applyInArrow(link_sums, "doc_id long, links long")
+
+
 # -- the join --------------------------------------------------------------------------------
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -505,8 +609,9 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(mark, "doc_id long, n long, fa long, fb long")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, and n_links, the number of linked pairs of
+    documents in the component, for those who need it."""
     docs = id_and_text(docs, id_col, text_col)
     marks = stage(sets_of(docs), "sets")
     usable = marks.filter("n > 0 AND doc_id IS NOT NULL")
@@ -543,9 +648,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 .filter("NOT (sa IS NOT NULL AND (sb IS NOT NULL OR NOT open))").select("a", "b")
     links = stage(near.unionByName(late).unionByName(sides(stage(left, "left"))), "links")
     joint = components(links)
-    named = classes.join(joint.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-                   .filter("copies > 1 OR component IS NOT NULL") \
-                   .select("fa", "fb", "n", F.coalesce("component", "doc_id").alias("component"))
+    joint = joint.withColumnRenamed("node", "doc_id")
+    named = classes.join(joint, "doc_id", "left").select(
+        "fa", "fb", "n", "copies", F.col("component").isNotNull().alias("linked"), F.coalesce("component", "doc_id").alias("component"))
+    extra = []
+    if count_links:
+        own = named.filter("copies > 1").select("component", F.expr("copies * (copies - 1) DIV 2").alias("links"))
+        between = stage(counted_links(p), "link-sums").groupBy("doc_id").agg(F.sum("links").alias("links")) \
+            .join(joint, "doc_id", "left").select(F.coalesce("component", "doc_id").alias("component"), "links")
+        total = own.unionByName(between).groupBy("component").agg(F.sum("links").alias("links"))
+        named = named.join(total, "component", "left")
+        extra = [F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).alias("n_links")]
+    named = named.filter("copies > 1 OR linked" + (" OR links > 0" if count_links else "")).drop("copies", "linked")
     joined_ = marks.join(stage(named, "classes"), ["fa", "fb", "n"], "left")
     return joined_.select("doc_id", F.col("n").alias("n_shingles"),
-                          F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+                          F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), *extra)

@@ -41,6 +41,24 @@ def test_equals_brute_force(spark, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows) and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_links_equal_brute_force(spark, monkeypatch, block):
+    """Every linked pair of documents counts, copies and settled points included."""
+    monkeypatch.setattr(jaccard, "BESIDE", block)
+    rows = prose(1) + [(1, None), (2, ""), (4, "One two"), (6, "one TWO"), (8, "one two")]
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    want, component = collections.Counter(), {i: c for i, (_, c) in brute(rows).items()}
+    for i, s in sets.items():
+        for j, t in sets.items():
+            if j < i and s and 100 * len(s & t) >= 80 * len(s | t):
+                want[component[i]] += 1
+    got = jaccard.similar_documents(frame(spark, rows).repartition(3)).collect()
+    assert {r.doc_id: r.n_links for r in got} == {i: want[component[i]] for i in sets} and max(want.values()) > 50
+
+
 def test_edge_rows(spark):
     got = jaccard.similar_documents(frame(spark)).collect()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in got}
