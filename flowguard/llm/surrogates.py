@@ -51,8 +51,8 @@ PATTERNS = [
     r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    r"(?<=(?:password|passwd|pwd|secret|token|api_key|apikey|api-key)[=:]\s?[\"']?)[^\s\"'=]{6,}",
-    r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
+    r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"'=:][^\s\"'=]{5,}",
+    r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])",
     r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     r"\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
     r"(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
@@ -62,6 +62,7 @@ PATTERNS = [
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS)
 #: What every entity has: a digit, an at sign, a title or the mark before a secret. Tested first, as most texts have none.
 HINT = rf"[0-9@=:]|{TITLE} \p{{Lu}}"
+NUMBER = r"^[+(]?\d[\d ().-]{9,}$"
 LONGER = 8
 ATTEMPTS = 40
 
@@ -102,6 +103,16 @@ def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def renumbered(text: Column, digest: Column) -> Column:
+    """Digits to digits from 1 to 9 by their place in the number, so that all spellings of a number
+    get the same digits; what stands between them stays."""
+    def char(c: Column, i: Column) -> Column:
+        place = F.length(digits_of(F.substr(text, F.lit(1), i + 1))) - 1
+        return F.when(c.between("0", "9"), (F.pmod(byte(digest, place), F.lit(9)) + 1).cast("string")).otherwise(c)
+
+    return F.array_join(F.transform(F.split(text, ""), char), "")
+
+
 def check_digit(body: Column) -> Column:
     """The Luhn digit that completes ``body``."""
     places = F.transform(F.split(F.reverse(body), ""), lambda c, i: let(c.cast("int") * F.when(i % 2 == 0, 2).otherwise(1),
@@ -140,7 +151,8 @@ def email(entity: Column, digest: Column) -> Column:
 
 def phone(entity: Column, digest: Column) -> Column:
     country = F.regexp_extract(entity, r"^\+\d{1,3}(?=[ .(-])", 0)
-    return F.concat(country, scrambled(F.substr(entity, F.length(country) + 1, F.length(entity)), digest))
+    made = renumbered(entity, digest)
+    return F.concat(country, F.substr(made, F.length(country) + 1, F.length(entity)))
 
 
 def pick(values: list[str], b: Column) -> Column:
@@ -179,9 +191,10 @@ def surrogate(entity: Column, key: str, attempt: Column) -> Column:
                 .when(is_like(rf"^{TITLE} \p{{Lu}}"), person(entity, key, attempt)) \
                 .when(is_like(r"^(\d{1,3}\.){3}\d{1,3}$"), address(entity, d)) \
                 .when(is_like(r"^AKIA[0-9A-Z]{16}$"), F.concat(F.lit("AKIA"), scrambled(F.substr(entity, F.lit(5), F.lit(16)), d))) \
-                .when(is_like(r"^[0-9a-f]{16,64}$") & ~is_like(r"^\d{13,19}$"), scrambled(entity, d, hexadecimal=True)) \
+                .when(is_like(r"^([0-9a-f]{16,64}|[0-9A-F]{16,64})$") & ~is_like(r"^\d{13,19}$"), scrambled(entity, d, hexadecimal=True)) \
                 .when(is_like(r"^\d([ -]?\d){12,18}$"), card(entity, d)) \
                 .when(is_like(r"^[+(]"), phone(entity, d)) \
+                .when(is_like(NUMBER), renumbered(entity, d)) \
                 .otherwise(scrambled(entity, d))
         tail = F.when(attempt < LONGER, "").otherwise(F.substr(d, F.lit(1), 2 * (attempt - LONGER + 1)))
         return F.concat(made, tail)
@@ -191,7 +204,7 @@ def surrogate(entity: Column, key: str, attempt: Column) -> Column:
 
 def canonical(entity: Column) -> Column:
     """What two spellings of one entity share: digits of a number, small letters of an address."""
-    return F.when(F.regexp_like(entity, F.lit(r"^[+(]?\d[\d ().-]{9,}$")), digits_of(entity)) \
+    return F.when(F.regexp_like(entity, F.lit(NUMBER)), digits_of(entity)) \
             .when(F.contains(entity, F.lit("@")), F.lower(entity)).otherwise(entity)
 
 

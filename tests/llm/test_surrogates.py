@@ -39,6 +39,17 @@ def test_types_formats_and_coreference(spark):
     assert texts_of(surrogates.replace_entities(frame(spark, rows), "other key")) != got
 
 
+def test_spellings_of_a_number_and_written_secrets(spark):
+    rows = [(1, "555-123-4567 or (555) 123-4567 or (555)123-4567; +1 988 555 2485 or +1 (988) 555-2485"),
+            (2, "token = \"qwErty12x\" PASSWORD : hunter2x API_KEY='zzz999yy' " + "0641917EA4E9FEB9CDA8" * 2)]
+    got = texts_of(surrogates.replace_entities(frame(spark, rows), "k"))
+    digits = [re.sub(r"\D", "", x) for x in re.split(" or |; ", got[1])]
+    assert digits[0] == digits[1] == digits[2] != "5551234567" and digits[3] == digits[4] != "19885552485"
+    assert re.match(r"\d{3}-\d{3}-\d{4} or \(\d{3}\) \d{3}-\d{4} or ", got[1])
+    assert not [x for x in ("qwErty12x", "hunter2x", "zzz999yy", "0641917EA4E9FEB9CDA8") if x in got[2]]
+    assert re.match(r"token = \"\w{9}\" PASSWORD : \w{8} API_KEY='\w{8}' [0-9A-F]{40}$", got[2])
+
+
 def test_distinct_entities_stay_distinct(spark, monkeypatch):
     # Few surrogates are possible, so first attempts collide.
     monkeypatch.setattr(surrogates, "address", lambda e, d: F.concat(F.lit("10.0.0."), F.pmod(surrogates.byte(d, F.lit(0)), F.lit(16)).cast("string")))
