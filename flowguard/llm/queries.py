@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import decontaminate, jaccard, langid, pieces, preferences, quality, suffixes, surrogates, tokenfile, toxicity
+from flowguard.llm import (decontaminate, jaccard, langid, pieces, preferences, quality, runs, suffixes, surrogates,
+                           tokenfile, toxicity)
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from flowguard.session import shared_dir
@@ -185,3 +186,8 @@ def op9(spark, sf):
     return made.select("pair_id", "n_common", "differs", F.sha2("prompt", 256).alias("prompt_sha256"),
                        F.sha2("chosen", 256).alias("chosen_sha256"), F.sha2("rejected", 256).alias("rejected_sha256"),
                        mask("chosen_mask").alias("chosen_mask"), mask("rejected_mask").alias("rejected_mask"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf):
+    return runs.digests(runs.periodic_runs(table(spark, sf, "documents"), prepare=runs.planted))
