@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import (decontaminate, jaccard, langid, pieces, preferences, quality, runs, suffixes, surrogates,
+from flowguard.llm import (bytebpe, decontaminate, jaccard, langid, pieces, preferences, quality, runs, suffixes, surrogates,
                            tokenfile, toxicity)
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -191,3 +191,11 @@ def op9(spark, sf):
 @query("op13_periodic_runs")
 def op13(spark, sf):
     return runs.digests(runs.periodic_runs(table(spark, sf, "documents"), prepare=runs.planted))
+
+
+@query("op12_byte_bpe")
+def op12(spark, sf):
+    import public_tokenizers
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    encoded = bytebpe.encode_bytes(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+    return bytebpe.digests(bytebpe.decode_bytes(encoded, path))
