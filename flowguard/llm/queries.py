@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.llm import (bytebpe, decontaminate, jaccard, langid, pieces, preferences, quality, runs, suffixes, surrogates,
+from flowguard.llm import (bytebpe, decontaminate, jaccard, langid, pieces, preferences, quality, repair, runs, suffixes, surrogates,
                            tokenfile, toxicity)
 from flowguard.llm.common import delete_at_exit
 from flowguard.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -199,3 +199,8 @@ def op12(spark, sf):
     path = vocabulary("byte_bpe_50k.tiktoken")
     encoded = bytebpe.encode_bytes(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
     return bytebpe.digests(bytebpe.decode_bytes(encoded, path))
+
+
+@query("op11_repair")
+def op11(spark, sf):
+    return repair.summaries(repair.repair_conversations(repair.damaged(table(spark, sf, "conversations"))))
