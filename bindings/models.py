@@ -24,8 +24,8 @@ from flowguard.plans.jobs import (JobConfig, ablation, cascade_from_saved, flow_
                                   run_detection, split_flows, train_stage1, train_stage2, unified_flows)
 from flowguard.session import shared_dir
 from flowguard.sources.tables import read_table
-from flowguard.streaming.operators import alert_share, stream_cascade
-from flowguard.streaming.runner import run_append, stream_table
+from flowguard.streaming.operators import alert_share, run_cascade, stream_scores
+from flowguard.streaming.runner import stream_table
 
 FLOW_FEATURES = ["total_packets", "flow_duration", "pkt_len_mean", "flow_packets_per_s", "n_segments"]
 PACKET_FEATURES = ["packet_length", "priority", "o_custkey"]
@@ -330,8 +330,8 @@ def _stream_decided(spark, sf):
         F.col("o_orderkey").alias("flow_id"), F.col("o_orderkey").alias("packet_id"), "o_custkey",
         F.col("o_totalprice").alias("packet_length"), F.col("o_orderdate").cast("timestamp").alias("timestamp"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"))
-    stream = stream_cascade(arriving, flow_proba, stage1, get_threshold(stage2), ["packet_id", "timestamp"])
-    return run_append(stream, "cascade")
+    scores = stream_scores(arriving, stage1, ["packet_id", "timestamp"])
+    return run_cascade(scores, flow_proba, get_threshold(stage2), spread_by="packet_id")
 
 
 @query("stream_cascade")

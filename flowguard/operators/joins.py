@@ -5,51 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+from flowguard.operators.heavy import key_salts, salt_count
 
 
-def frequent_keys(df: DataFrame, key: str, support: float | None = None) -> list:
-    """Keys that may hold at least ``support`` of the rows: at most 1 / support of them. By
-    default that is half of what a task of the join reads on average, so the limit falls as the
-    number of shuffle partitions grows with the data.
-
-    One pass with a bounded counter map. The list may hold a few keys too many, which costs
-    nothing but salt; it never misses a key over the limit.
-    """
-    if support is None:
-        support = 0.5 / max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    row = df.select(key).where(F.col(key).isNotNull()).stat.freqItems([key], support).first()
-    return list(row[0] or [])
-
-
-def lookup_flows(packets: DataFrame, flows: DataFrame, key: str = "flow_id",
-                 prefix: str = "flow_", hot: list | None = None, salts: int = SALTS,
-                 spread_by: str | None = None) -> DataFrame:
+def lookup_flows(packets: DataFrame, flows: DataFrame, key: str = "flow_id", prefix: str = "flow_",
+                 salts: dict | None = None, spread_by: str | None = None) -> DataFrame:
     """Left join of every packet to its flow, with ``have_flow``.
 
     ``flows`` has one row per key. Its columns that also occur in ``packets`` get the prefix
-    ``flow_``. Packets of hot keys are spread over ``salts`` buckets and only the flow rows
-    of those keys (at most 1 / support) are repeated, so a key with a third of all packets
-    does not end in one task. The bucket comes from the packet's partition and, if named,
-    the ``spread_by`` column: never from its position, which may change when a lost task is
-    run again. Whether to broadcast is left to the optimizer's size check.
+    ``flow_``. ``salts`` names the heavy keys and into how many parts the packets of each go, in
+    proportion to their number (``heavy.key_salts``, which is the default and costs a pass); only
+    the flow rows of those keys are repeated, as often as their key has parts, so a key with a third
+    of all packets does not end in one task. The part comes from the packet's
+    partition and, if named, the ``spread_by`` column: never from its position, which may change when
+    a lost task is run again. Whether to broadcast is left to the optimizer's size check.
     """
-    if hot is None:
-        hot = frequent_keys(packets, key)
+    if salts is None:
+        salts = key_salts(packets, key)
     clash = [c for c in flows.columns if c in packets.columns and c != key]
     right = flows.withColumnsRenamed({c: prefix + c for c in clash})
     right = right.withColumn("have_flow", F.lit(True))
-    if not hot:
+    if not salts:
         joined = packets.join(right, key, "left")
     else:
-        zero = F.lit(0).cast("bigint")
-        is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-        place = F.spark_partition_id().cast("bigint")
-        if spread_by:
-            place = F.shiftright(F.xxhash64(spread_by), 1) + place
-        left = packets.withColumn("_salt", F.when(is_hot, F.pmod(place, F.lit(salts))).otherwise(zero))
-        spread = F.when(is_hot, F.sequence(zero, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(zero))
-        right = right.withColumn("_salt", F.explode(spread))
+        n = salt_count(F.col(key), salts, packets.schema[key].dataType)
+        place = F.spark_partition_id().cast("bigint") + (F.shiftright(F.xxhash64(spread_by), 1) if spread_by else F.lit(0))
+        left = packets.withColumn("_salt", F.pmod(place, n).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
         joined = left.join(right, [key, "_salt"], "left").drop("_salt")
     return joined.withColumn("have_flow", F.coalesce("have_flow", F.lit(False)))
 

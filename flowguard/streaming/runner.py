@@ -22,6 +22,29 @@ def stream_table(spark: SparkSession, folder: str, name: str, schema: StructType
     return reader.parquet(folder)
 
 
+def replay(df: DataFrame, ts: str, batches: int, purpose: str, close_after: str | None = None, files: int = 1) -> str:
+    """A table written as a folder of files in the order of time, ``files`` for each of ``batches``
+    equal spans of time, to be read as a stream of as many micro-batches. With ``close_after`` a last
+    file has one row, null but for a time that much after the end, which closes what is still open.
+    Rows without a time come first.
+    """
+    folder = shared_dir(df.sparkSession, purpose)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    low, high, end = df.agg(F.min(at), F.max(at), F.max(ts)).first()
+    if low is not None:
+        step = (high - low) // batches + 1
+        for k in range(batches):
+            inside = (at >= low + k * step) & (at < low + (k + 1) * step)
+            df.where(inside if k else inside | F.col(ts).isNull()).repartition(files).write.mode("append").parquet(folder)
+        if close_after:
+            last = F.lit(end).cast(df.schema[ts].dataType) + F.expr(f"INTERVAL {close_after}")
+            row = df.sparkSession.range(1).select(*[(last if c == ts else F.lit(None)).cast(df.schema[c].dataType).alias(c) for c in df.columns])
+            row.coalesce(1).write.mode("append").parquet(folder)
+    else:
+        df.coalesce(1).write.parquet(folder)
+    return folder
+
+
 def start(stream: DataFrame, write: Callable[[DataFrame, int], None], mode: str, work: str,
           available_now: bool = True, **trigger) -> StreamingQuery:
     writer = (stream.writeStream.outputMode(mode).foreachBatch(write)

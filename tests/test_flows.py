@@ -3,7 +3,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from flowguard.operators.flows import infer_policy, majority_class, segment_stats, unify_flows
-from flowguard.operators.joins import flagged_lookup, frequent_keys, lookup_flows, unmatched, without_test_flows
+from flowguard.operators.heavy import key_salts, key_sketch, merged_sketch, salts_from
+from flowguard.operators.joins import flagged_lookup, lookup_flows, unmatched, without_test_flows
 
 SCHEMA = ("flow_id string, src_ip string, src_port long, segment_index int, flow_duration double, pkt_len_max double, "
           "pkt_len_min double, iat_mean double, protocol int, note string, Label int, attack_type string")
@@ -96,19 +97,48 @@ def test_lookup_keeps_every_packet_of_a_hot_flow(spark):
     packets = spark.range(0, 3_000).select(
         F.col("id").alias("packet_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("flow_id"))
     flows = spark.range(0, 400).select(F.col("id").alias("flow_id"), (F.col("id") * 10).alias("n_segments"))
-    assert 7 in frequent_keys(packets, "flow_id")
+    assert key_salts(packets, "flow_id", 8).keys() == {7}
     plain = packets.join(flows, "flow_id", "left").select("packet_id", "n_segments").collect()
-    for hot, spread_by in (([], None), (None, None), ([7, 450], "packet_id")):
-        got = lookup_flows(packets, flows, hot=hot, spread_by=spread_by)
+    for salts, spread_by in (({}, None), (None, None), ({7: 5, 450: 2}, "packet_id")):
+        got = lookup_flows(packets, flows, salts=salts, spread_by=spread_by)
         assert sorted(got.select("packet_id", "n_segments").collect()) == sorted(plain)
         assert got.where("have_flow <> (n_segments is not null)").count() == 0
     assert tuple(unmatched(lookup_flows(packets, flows)).first()) == (3_000, sum(r[1] is None for r in plain))
 
 
+def test_heavy_keys_are_spread_in_proportion(spark):
+    """A key with a third of all rows and one with a tenth: no task reads twice the median."""
+    n, parts = 60_000, 16
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, 8).otherwise(F.col("id") + 1_000)
+    packets = spark.range(0, n, 1, 4).select(F.col("id").alias("packet_id"), key.alias("flow_id"))
+    flows = spark.range(0, 2_000).select(F.col("id").alias("flow_id"))
+    salts = key_salts(packets, "flow_id", parts)
+    assert salts.keys() == {7, 8} and salts[7] == pytest.approx(2 * parts / 3, abs=1) and salts[7] > 3 * salts[8]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, (str(parts), "false", "-1")):
+            spark.conf.set(k, v)
+        sizes = lookup_flows(packets, flows, salts=salts, spread_by="packet_id").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = sorted(r["count"] for r in sizes)
+    assert sum(sizes) == n and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_sketches_merge(spark):
+    def table(low, high):
+        return spark.range(low, high).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+
+    both = merged_sketch(key_sketch(table(0, 500), "k", 8).unionByName(key_sketch(table(500, 4_000), "k", 8)), 8)
+    assert both.first()["rows"] == 4_000 and salts_from(both, 8) == {"hot": 8}
+    assert salts_from(key_sketch(table(0, 0), "k", 8), 8) == {}
+
+
 def test_lookup_renames_clashing_columns(spark):
     packets = spark.createDataFrame([("f", 1), (None, 0)], "flow_id string, Label int")
     flows = spark.createDataFrame([("f", 0)], "flow_id string, Label int")
-    rows = {r["flow_id"]: r for r in lookup_flows(packets, flows, hot=[]).collect()}
+    rows = {r["flow_id"]: r for r in lookup_flows(packets, flows, salts={}).collect()}
     assert (rows["f"]["Label"], rows["f"]["flow_Label"], rows["f"]["have_flow"]) == (1, 0, True)
     assert rows[None]["have_flow"] is False
 
