@@ -82,20 +82,20 @@ def _isolation_score(spark, sf):
 @query("kmeans_distance")
 def _kmeans_distance(spark, sf):
     v = vectors(spark, sf)
-    return NearestCentre().fit(v).transform(v).select("vec_id", "kmeans_distance")
+    return NearestCentre(idCol="vec_id").fit(v).transform(v).select("vec_id", "kmeans_distance")
 
 
 @query("cluster_assignment")
 def _cluster_assignment(spark, sf):
     v = vectors(spark, sf)
-    return NearestCentre().fit(v).transform(v).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    return NearestCentre(idCol="vec_id").fit(v).transform(v).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("kmeans_checks", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_far FROM embeddings")
 def _kmeans_checks(spark, sf):
     """Rows whose cluster is not the nearest centre, or whose distance is not the one to it."""
     v = vectors(spark, sf)
-    model = NearestCentre().fit(v)
+    model = NearestCentre(idCol="vec_id").fit(v)
     centres = F.lit(model.state["centres"].tolist())
     x = vector_to_array("features")
     gaps = F.transform(centres, lambda c: F.sqrt(F.aggregate(F.zip_with(c, x, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)))

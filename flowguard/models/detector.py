@@ -106,7 +106,7 @@ class AnomalyDetector(Estimator, _DetectorParams, DefaultParamsReadable, Default
             if "reconstruction" in use:
                 recon = Reconstruction(featuresCol=features, method=get("reconMethod"), layers=get("layers"),
                                        components=get("layers")[len(get("layers")) // 2],
-                                       epochs=get("epochs"), seed=seed).fit(data)
+                                       epochs=get("epochs"), seed=seed, idCol=get("idCol")).fit(data)
                 state.update({f"recon.{n}": a for n, a in recon.state.items()})
             if "isolation" in use:
                 forest = IsolationForest(featuresCol=features, trees=get("trees"), idCol=get("idCol"),
@@ -123,7 +123,7 @@ class AnomalyDetector(Estimator, _DetectorParams, DefaultParamsReadable, Default
     def _fit_centres(self, data: DataFrame, recon) -> np.ndarray:
         get = self.getOrDefault
         column = get("featuresCol")
-        kmeans = NearestCentre(featuresCol=column, k=get("k"), restarts=get("restarts"), seed=get("seed"))
+        kmeans = NearestCentre(featuresCol=column, k=get("k"), restarts=get("restarts"), seed=get("seed"), idCol=get("idCol"))
         if recon is None:
             return kmeans.fit(data).state["centres"]
         assembler = VectorAssembler(inputCols=[column, "recon_error"], outputCol="_augmented")

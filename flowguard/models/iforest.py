@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,14 +12,13 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix
 from flowguard.taxonomy import FOREST_TREES, SEED
 
 SAMPLE_ROWS = 256
-SLACK = 1.5
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -43,11 +43,15 @@ class _ForestParams(HasFeatures, HasSeed):
 
 
 class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Every tree is grown from its own sample of at most ``sampleRows`` rows.
-
-    Rows are drawn by hash: on a large table a row goes to one tree or, mostly, none, so
-    about trees x sampleRows x 1.5 rows are shuffled whatever the table's size; on a small
-    one a row goes to several trees. Trees are built in parallel, one group per tree.
+    """Every tree is grown from its own sample of ``sampleRows`` rows (all rows of a smaller table).
+
+    A row has a hash for every tree, and a tree takes the rows of the least hashes: exactly
+    ``sampleRows``, none twice, and the same ones however the rows are partitioned. Only rows below a
+    cut that leaves a few more are shuffled, trees x sampleRows x 1.5 or so whatever the table's size;
+    should a tree get too few, which is next to impossible, the cut is doubled. Trees are built in
+    parallel, one group per tree. Without ``idCol`` a row is known by its values, its partition and
+    its number among equal rows of a batch; the forest then depends on the partitions, but not on a
+    task that is run again.
     """
 
     @keyword_only
@@ -67,40 +71,64 @@ class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPa
         # A fixed number of partitions: the sample is small but building is not, and adaptive
         # execution would merge it into one task.
         slots = min(trees, df.sparkSession.sparkContext.defaultParallelism)
-        drawn = self._draw(df, n, trees, rows, seed).repartition(slots, "tree")
-        built = drawn.groupBy("tree").applyInPandas(
-            _tree_builder(rows, depth, seed), "tree int, feature array<int>, cut array<double>, path array<double>")
-        found = sorted(built.collect(), key=lambda r: r["tree"])
+        cut = (rows + 8 * math.sqrt(rows) + 16) / n
+        while True:
+            drawn = self._draw(df, cut, trees, seed).repartition(slots, "tree")
+            built = drawn.groupBy("tree").applyInPandas(
+                _tree_builder(rows, depth, seed), "tree int, n int, feature array<int>, cut array<double>, path array<double>")
+            found = sorted(built.collect(), key=lambda r: r["tree"])
+            if cut >= 1 or len(found) == trees and all(r["n"] == rows for r in found):
+                break
+            cut *= 2
         state = {"feature": np.array([r["feature"] for r in found], dtype="int32"),
                  "cut": np.array([r["cut"] for r in found]),
                  "path": np.array([r["path"] for r in found]),
                  "rows": np.array([rows])}
         return self._copyValues(IsolationForestModel(state))
 
-    def _draw(self, df: DataFrame, n: int, trees: int, rows: int, seed: int) -> DataFrame:
-        """Rows (tree, x, place) with at least ``rows`` of them per tree, nearly always.
-
-        Trees are cut into as many blocks as a row has copies. In each block a row picks one
-        tree by hash, so no tree sees a row twice.
-        """
-        want = trees * rows * SLACK + 20 * trees
-        copies = max(1, min(trees, math.ceil(want / n)))
+    def _draw(self, df: DataFrame, cut: float, trees: int, seed: int) -> DataFrame:
+        """Rows (tree, x, place): for each tree those whose hash is among the lowest ``cut`` of all
+        hashes; ``place`` has the order of the hashes."""
         id_col = self.getOrDefault("idCol")
-        identity: Column = F.col(id_col) if id_col else F.monotonically_increasing_id()
-        base = df.select(as_array(self.getFeaturesCol()).alias("x"), identity.alias("_id"))
-        share = min(1.0, want / (n * copies))
-        if rows >= n:
-            per_tree = base.select("x", "_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-            return per_tree.select(F.col("tree").cast("int").alias("tree"), "x", "_id")
-        ends = [round(i * trees / copies) for i in range(copies + 1)]
-        blocks = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b - a).alias("w"))
-                           for a, b in zip(ends[:-1], ends[1:]) if b > a])
-        pairs = base.select("x", "_id", F.explode(blocks).alias("b"))
-        draw = F.xxhash64(F.col("_id"), F.col("b.a"), F.lit(seed))
-        tree = F.col("b.a") + F.pmod(draw, F.col("b.w"))
-        place = F.xxhash64(F.col("_id"), F.col("b.a"), F.lit(seed + 1))
-        unit = F.pmod(place, F.lit(1 << 30)) / float(1 << 30)
-        return pairs.where(unit < share).select(tree.cast("int").alias("tree"), "x", place.alias("_id"))
+        x = as_array(self.getFeaturesCol())
+        identity = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(x, F.spark_partition_id())
+        limit = np.uint64(min(int(cut * 2.0 ** 64), (1 << 64) - 1))
+        salts = _mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(int(ODD) * (2 * seed + 1) % (1 << 64)))
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+                if not id_col:
+                    ids = ids + _copy_number(ids) * ODD
+                ids = _mixed(ids)
+                for start in range(0, len(ids), 4096):
+                    place = _mixed(ids[start:start + 4096, None] ^ salts)
+                    row, tree = np.nonzero(place <= limit)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tree.astype(np.int32)), batch.column(0).take(pa.array(row + start)),
+                         pa.array((place[row, tree] >> np.uint64(1)).astype(np.int64))], ["tree", "x", "_id"])
+
+        return df.select(x.alias("x"), identity.alias("id")).mapInArrow(pick, "tree int, x array<double>, _id long")
+
+
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads their bits."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def _copy_number(ids: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... for the copies of a number."""
+    order = np.argsort(ids, kind="stable")
+    fresh = np.append(True, ids[order][1:] != ids[order][:-1])[:len(ids)]
+    place = np.arange(len(ids)) - np.maximum.accumulate(np.where(fresh, np.arange(len(ids)), 0))
+    out = np.empty(len(ids), np.uint64)
+    out[order] = place.astype(np.uint64)
+    return out
 
 
 class IsolationForestModel(ArrayModel, _ForestParams):
@@ -170,6 +198,6 @@ def _tree_builder(rows: int, depth: int, seed: int):
             goes_right = part[:, f] >= at
             waiting.append((2 * node + 1, level + 1, members[~goes_right]))
             waiting.append((2 * node + 2, level + 1, members[goes_right]))
-        return pd.DataFrame({"tree": [tree], "feature": [feature], "cut": [cut], "path": [path]})
+        return pd.DataFrame({"tree": [tree], "n": [len(x)], "feature": [feature], "cut": [cut], "path": [path]})
 
     return build

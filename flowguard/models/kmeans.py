@@ -30,12 +30,13 @@ class _KMeansParams(HasFeatures, HasSeed):
                      TypeConverters.toInt)
     maxIter = Param(Params._dummy(), "maxIter", "passes over the data", TypeConverters.toInt)
     tol = Param(Params._dummy(), "tol", "squared movement of all centres that counts as settled, as a share of the mean variance", TypeConverters.toFloat)
+    idCol = Param(Params._dummy(), "idCol", "unique column that rows draw by", TypeConverters.toString)
     clusterCol = Param(Params._dummy(), "clusterCol", "cluster column", TypeConverters.toString)
     distanceCol = Param(Params._dummy(), "distanceCol", "distance column", TypeConverters.toString)
 
     def _defaults(self) -> None:
         self._setDefault(featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=300, tol=1e-4,
-                         seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance")
+                         seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance", idCol="")
 
 
 class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -52,14 +53,19 @@ class NearestCentre(Estimator, _KMeansParams, DefaultParamsReadable, DefaultPara
 
     @keyword_only
     def __init__(self, *, featuresCol="features", k=KMEANS_K, restarts=KMEANS_RESTARTS, maxIter=300, tol=1e-4,
-                 seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance"):
+                 seed=SEED, clusterCol="cluster", distanceCol="kmeans_distance", idCol=""):
         super().__init__()
         self._defaults()
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> NearestCentreModel:
         k, restarts, seed = (self.getOrDefault(p) for p in ("k", "restarts", "seed"))
-        rows = df.groupBy(as_array(self.getFeaturesCol()).alias("x")).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
+        x, id_col = as_array(self.getFeaturesCol()).alias("x"), self.getOrDefault("idCol")
+        if id_col:
+            rows = df.select(x, F.lit(1.0).alias("n"), F.xxhash64(id_col).alias("id"))
+        else:
+            rows = df.groupBy(x).agg(F.count(F.lit(1)).cast("double").alias("n")).withColumn("id", F.xxhash64("x"))
+        rows = rows.persist()
         try:
             n = rows.agg(F.sum("n")).first()[0]
             if not n:
@@ -97,13 +103,11 @@ def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return feature_matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
 
 
-def _draws(x: np.ndarray, seed: int, start: int, turn: int) -> np.ndarray:
-    """A number in [0, 1) per row that depends on its values alone."""
-    bits = np.ascontiguousarray(x + 0.0).view(np.uint64)
-    factors = np.multiply.accumulate(np.full(x.shape[1], ODD, np.uint64))
-    h = (bits * factors).sum(axis=1, dtype=np.uint64) + np.uint64(seed % (1 << 32)) * ODD
+def _draws(batch: pa.RecordBatch, seed: int, start: int, turn: int) -> np.ndarray:
+    """A number in [0, 1) per row that depends on its id alone."""
+    h = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64) + np.uint64(seed * int(ODD) % (1 << 64))
     for salt in (start + 1, turn + 1):
-        h = (h ^ (h >> np.uint64(29))) * (ODD + np.uint64(2 * salt))
+        h = (h ^ (h >> np.uint64(29))) * np.uint64((int(ODD) + 2 * salt) % (1 << 64))
         h ^= h >> np.uint64(32)
     return h.astype(np.float64) / 2.0 ** 64
 
@@ -113,7 +117,7 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def _starts(rows: DataFrame, k: int, starts: int, seed: int) -> list[np.ndarray]:
-    """Starting centres: for each start a first row, then rounds that take every vector with a
+    """Starting centres: for each start a first row, then rounds that take every row with a
     chance in proportion to its count and its squared distance from the candidates so far (about
     2 k a round), and at last k-means++ over the candidates, weighted by the rows nearest to each."""
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +125,7 @@ def _starts(rows: DataFrame, k: int, starts: int, seed: int) -> list[np.ndarray]
             if batch.num_rows:
                 x, n = _counted(batch)
                 # The least of n draws, so every row has the same chance to be the first.
-                u = [-np.expm1(np.log1p(-_draws(x, seed, i, 0)) / n) for i in range(starts)]
+                u = [-np.expm1(np.log1p(-_draws(batch, seed, i, 0)) / n) for i in range(starts)]
                 yield _rows_out(range(starts), [x[d.argmin()] for d in u], [d.min() for d in u])
 
     found = rows.mapInArrow(first, "s int, x array<double>, u double").groupBy("s").agg(F.min_by("x", "u").alias("x")).collect()
@@ -135,7 +139,7 @@ def _starts(rows: DataFrame, k: int, starts: int, seed: int) -> list[np.ndarray]
                 for i in range(starts):
                     if len(x) and cost[i] > 0:
                         away = n * _squares(x, chosen[i]).min(axis=1)
-                        picked = np.unique(x[_draws(x, seed, i, turn) * cost[i] < 2 * k * away], axis=0)
+                        picked = np.unique(x[_draws(batch, seed, i, turn) * cost[i] < 2 * k * away], axis=0)
                         yield _rows_out([i] * len(picked), picked, [0.0] * len(picked))
 
         for r in rows.mapInArrow(far, "s int, x array<double>, u double").select("s", "x").distinct().collect():

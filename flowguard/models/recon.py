@@ -5,51 +5,55 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix, feature_width
+from flowguard.models.base import ArrayModel, HasFeatures, HasSeed, as_array, feature_matrix, feature_width, sum_arrays
 from flowguard.taxonomy import AUTOENCODER_EPOCHS, AUTOENCODER_LAYERS, SEED
 
+#: Steps of an epoch at most: every step is a job.
+MAX_STEPS = 50
+
 
 class _ReconParams(HasFeatures, HasSeed):
     method = Param(Params._dummy(), "method", "pca or mlp", TypeConverters.toString)
     components = Param(Params._dummy(), "components", "PCA components, below the width", TypeConverters.toInt)
     layers = Param(Params._dummy(), "layers", "hidden layer sizes", TypeConverters.toListInt)
     epochs = Param(Params._dummy(), "epochs", "passes over the data", TypeConverters.toInt)
-    batchSize = Param(Params._dummy(), "batchSize", "rows per step inside a partition", TypeConverters.toInt)
+    batchSize = Param(Params._dummy(), "batchSize", "rows per step", TypeConverters.toInt)
     stepSize = Param(Params._dummy(), "stepSize", "step size", TypeConverters.toFloat)
+    idCol = Param(Params._dummy(), "idCol", "unique column that deals rows to batches", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "score column", TypeConverters.toString)
 
     def _defaults(self) -> None:
         self._setDefault(featuresCol="features", method="pca", components=AUTOENCODER_LAYERS[1],
                          layers=list(AUTOENCODER_LAYERS), epochs=AUTOENCODER_EPOCHS, batchSize=256,
-                         stepSize=1e-3, seed=SEED, outputCol="recon_error")
+                         stepSize=1e-3, seed=SEED, outputCol="recon_error", idCol="")
 
 
 class Reconstruction(Estimator, _ReconParams, DefaultParamsReadable, DefaultParamsWritable):
     """Fits a reconstruction of the feature vector through a bottleneck.
 
     ``pca`` keeps the leading components: one distributed pass, no randomness. ``mlp`` trains
-    the dense network by model averaging: in every epoch each partition takes Adam steps on
-    its own rows from common weights, and the weights and moments are averaged over the
-    partitions by row count. An epoch is one job whose result is one vector; no rows leave
-    their partition. Steps therefore differ from those of a single process.
+    the dense network by Adam steps on common batches, as a single process would. A hash of
+    ``idCol`` (of the values without one) deals the rows to batches, whose order changes with every
+    epoch. A step is one job: every task sends the sum of its gradients, the driver adds them up and
+    takes the step. The weights are the same however the table is partitioned. An epoch has
+    ``MAX_STEPS`` steps at most, so on a large table batches are larger than ``batchSize``; the cached
+    rows are sorted by batch, so a step skips the others unread.
     """
 
     @keyword_only
     def __init__(self, *, featuresCol="features", method="pca", components=AUTOENCODER_LAYERS[1],
                  layers=None, epochs=AUTOENCODER_EPOCHS, batchSize=256, stepSize=1e-3, seed=SEED,
-                 outputCol="recon_error"):
+                 outputCol="recon_error", idCol=""):
         super().__init__()
         self._defaults()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
@@ -72,20 +76,29 @@ class Reconstruction(Estimator, _ReconParams, DefaultParamsReadable, DefaultPara
         width = feature_width(df, self.getFeaturesCol())
         shapes = _layer_shapes(width, self.getOrDefault("layers"))
         weights = _initial_weights(shapes, self.getOrDefault("seed"))
-        size, moments, steps = len(weights), np.zeros(2 * len(weights)), 0.0
-        rows = df.select(as_array(self.getFeaturesCol()).alias("x"))
-        batch, rate, seed = (self.getOrDefault(p) for p in ("batchSize", "stepSize", "seed"))
-        for epoch in range(self.getOrDefault("epochs")):
-            common = df.sparkSession.sparkContext.broadcast((weights, moments, steps))
-            worker = _epoch_worker(common, shapes, batch, rate, seed + epoch)
-            results = rows.mapInPandas(worker, "state array<double>, n double")
-            mean = Summarizer.mean(array_to_vector(F.col("state")), F.col("n"))
-            merged = results.agg(mean.alias("m")).first()["m"]
-            if merged is None:
-                raise ValueError("no rows to fit on")
-            merged = merged.toArray()
-            weights, moments, steps = merged[:size], merged[size:3 * size], merged[3 * size]
-            common.unpersist()
+        first, second, taken = np.zeros_like(weights), np.zeros_like(weights), 0.0
+        batch, rate, seed, id_col = (self.getOrDefault(p) for p in ("batchSize", "stepSize", "seed", "idCol"))
+        x = as_array(self.getFeaturesCol()).alias("x")
+        identity = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(as_array(self.getFeaturesCol()))
+        keyed = df.select(x, identity.alias("id"))
+        steps = min(MAX_STEPS, -(-df.count() // batch))
+        dealt = keyed.withColumn("step", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(steps)).cast("int"))
+        # By the hash, so that the same rows meet in a task whatever the partitions before.
+        rows = dealt.repartition(df.sparkSession.sparkContext.defaultParallelism, "id").sortWithinPartitions("step", "id").persist()
+        try:
+            for epoch in range(self.getOrDefault("epochs")):
+                for s in np.random.default_rng([seed, epoch]).permutation(steps).tolist():
+                    total = _summed_gradient(rows.where(F.col("step") == s), weights, shapes)
+                    if total is None:
+                        continue
+                    grad = total[:-1] / total[-1]
+                    taken += 1.0
+                    first = 0.9 * first + 0.1 * grad
+                    second = 0.999 * second + 0.001 * grad * grad
+                    scale = np.sqrt(1.0 - 0.999 ** taken) / (1.0 - 0.9 ** taken)
+                    weights = weights - rate * scale * first / (np.sqrt(second) + 1e-8)
+        finally:
+            rows.unpersist()
         flat = {}
         for i, (w, b) in enumerate(_unflatten(weights, shapes)):
             flat[f"w{i}"], flat[f"b{i}"] = w, b
@@ -167,26 +180,19 @@ def _gradient(x: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]) -> np.
     return np.concatenate(parts[::-1])
 
 
-def _epoch_worker(common, shapes, batch: int, rate: float, seed: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, moments, steps = common.value
-        weights = weights.copy()
-        first, second = np.split(moments.copy(), 2)
-        rng, rows = np.random.default_rng(seed), 0
-        for frame in frames:
-            if not len(frame):
-                continue
-            x = np.stack(frame["x"].to_numpy())
-            x = x[rng.permutation(len(x))]
-            for start in range(0, len(x), batch):
-                grad = _gradient(x[start:start + batch], _unflatten(weights, shapes))
-                steps += 1.0
-                first = 0.9 * first + 0.1 * grad
-                second = 0.999 * second + 0.001 * grad * grad
-                step = np.sqrt(1.0 - 0.999 ** steps) / (1.0 - 0.9 ** steps)
-                weights = weights - rate * step * first / (np.sqrt(second) + 1e-8)
-            rows += len(x)
-        if rows:
-            state = np.concatenate([weights, first, second, [steps]])
-            yield pd.DataFrame({"state": [state], "n": [float(rows)]})
-    return run
+def _summed_gradient(rows: DataFrame, weights: np.ndarray, shapes: list[tuple[int, int]]) -> np.ndarray | None:
+    """Sum of the gradients of all rows and their number of values; None without rows."""
+    common = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layers, total = _unflatten(common.value, shapes), np.zeros(len(common.value) + 1)
+        for batch in batches:
+            if batch.num_rows:
+                x = feature_matrix(batch.column(0))
+                total[:-1] += _gradient(x, layers) * x.size
+                total[-1] += x.size
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["part"])
+
+    total = sum_arrays(rows.select("x").mapInArrow(partial, "part array<double>"), "part")
+    common.unpersist()
+    return total if total[-1] else None

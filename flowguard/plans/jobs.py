@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,11 +176,29 @@ def train_stage1(packets: DataFrame, cfg: JobConfig, path: str | None = None) ->
 
 def fit_stage2(train: DataFrame, val: DataFrame, cfg: JobConfig) -> PipelineModel:
     """Preprocessing and classifier with the F1 cut-off of the validation rows."""
+    return fit_and_tune(train, val, cfg)[0]
+
+
+def fit_and_tune(train: DataFrame, val: DataFrame, cfg: JobConfig) -> tuple[PipelineModel, float]:
+    """The second stage and its validation F1; validation rows are scored once."""
     prep = cfg.preprocessor(cfg.flow_features, "flow_id").fit(train)
     estimator, balanced = cfg.classifier()
     model = fit_classifier(prep.transform(train), estimator, balanced=balanced)
     whole = PipelineModel([prep, *model.stages])
-    return set_threshold(whole, tune_threshold(whole.transform(val), "proba"))
+    scored = whole.transform(val).select("Label", "proba").persist()
+    try:
+        cut = tune_threshold(scored, "proba")
+        f1 = binary_metrics(alerts(scored, "proba", cut, "decision"), "Label", "decision").first()["f1"]
+    finally:
+        scored.unpersist()
+    return set_threshold(whole, cut), f1
+
+
+def side_by_side(*work):
+    """Results of several functions that start Spark jobs, run at the same time from threads: the
+    many small jobs of a tree fit leave most of a cluster idle."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(w)) for w in work]]
 
 
 def train_stage2(segments: DataFrame, cfg: JobConfig, path: str | None = None) -> Trained:
@@ -265,26 +285,27 @@ def ablation(split: DataFrame, cfg: JobConfig) -> tuple[dict, DataFrame, Pipelin
     flow detector.
     """
     train, val, test = part(split, "train"), part(split, "val"), part(split, "test")
-    share = contamination(train)
-    detector = fit_stage1(train, cfg, share, "flow_id", cfg.flow_features)
-    base = fit_stage2(train, val, cfg)
-    rows = [evaluation("flow_unsupervised", detector.transform(test), "alert", "anomaly_score")]
+    detector = fit_stage1(train, cfg, contamination(train), "flow_id", cfg.flow_features)
     with_score = detector_feature(detector)
     augmented_cfg = cfg
     if cfg.flow_features:
-        augmented_cfg = JobConfig(**{**cfg.__dict__, "flow_features": [*cfg.flow_features, "anomaly_score"]})
-    variants = {"without_flow_anomaly": base,
-                "with_flow_anomaly": fit_stage2(with_score.transform(train).persist(),
-                                                with_score.transform(val).persist(), augmented_cfg)}
-    out = {}
-    for name, model in variants.items():
-        given = with_score if name == "with_flow_anomaly" else None
-        val_scored = model.transform(given.transform(val) if given else val)
-        f1 = binary_metrics(val_scored, "Label", "decision").first()["f1"]
-        scored = model.transform(given.transform(test) if given else test)
+        augmented_cfg = replace(cfg, flow_features=[*cfg.flow_features, "anomaly_score"])
+    scored_train, scored_val = with_score.transform(train).persist(), with_score.transform(val).persist()
+    try:
+        base, augmented = side_by_side(lambda: fit_and_tune(train, val, cfg),
+                                       lambda: fit_and_tune(scored_train, scored_val, augmented_cfg))
+    finally:
+        scored_train.unpersist()
+        scored_val.unpersist()
+    out = {"without_flow_anomaly": base, "with_flow_anomaly": augmented}
+    # Every curve and count reads the scores of the test rows, not 400 trees.
+    tested = detector.transform(test).select("Label", "anomaly_score", "alert").persist()
+    rows = [evaluation("flow_unsupervised", tested, "alert", "anomaly_score")]
+    for name, (model, f1) in out.items():
+        given = with_score.transform(test) if name == "with_flow_anomaly" else test
+        scored = model.transform(given).select("Label", "decision", "proba").persist()
         rows.append(evaluation(name, scored, "decision", "proba"))
         rows.append(constant(split, name, "validation", f1=f1, threshold=get_threshold(model)))
-        out[name] = (model, f1)
     return out, union_all(rows), with_score
 
 
@@ -352,7 +373,7 @@ def run_detection(packets: DataFrame, segments: DataFrame, cfg: JobConfig) -> Re
     decided = score_cascade(test, unified, stage1, stage2, confirm, anomaly=anomaly, keep=(cfg.packet_id,),
                             spread_by=cfg.packet_id).persist()
 
-    flow_scored = stage2.transform(anomaly.transform(flow_test) if anomaly else flow_test)
+    flow_scored = stage2.transform(anomaly.transform(flow_test) if anomaly else flow_test).drop("features").persist()
     fpr_cut = fpr_threshold(decided, "anomaly_score", target=cfg.target_fpr)
     at_fpr = alerts(decided, "anomaly_score", fpr_cut, "fpr_alert")
     names = next(s for s in stage2.stages if isinstance(s, PreprocessorModel)).feature_names

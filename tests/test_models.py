@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from flowguard.models.classifier import (boosted_trees, feature_importance, fit_classifier, get_threshold,
@@ -137,6 +137,68 @@ def test_forest_scores_match_a_plain_walk(planted):
     assert column(again.transform(df), "isolation_score") == pytest.approx(got)
 
 
+def test_every_tree_has_its_own_exact_sample(spark):
+    """The rows of the least hashes, whatever the partitions and the order inside them."""
+    n, trees, rows = 5_000, 12, 64
+    base = spark.range(n).select("id", array_to_vector(F.array(F.sin("id"), F.cos(F.col("id") * 3))).alias("features"))
+    forests = [IsolationForest(trees=trees, sampleRows=rows, idCol="id").fit(base.repartition(p)).state for p in (1, 7)]
+    for name in forests[0]:
+        assert np.array_equal(forests[0][name], forests[1][name])
+    est = IsolationForest(trees=trees, sampleRows=rows, idCol="id")
+    drawn = est._draw(base, 1.0, trees, 42).groupBy("tree").agg(F.count("*").alias("n"), F.countDistinct("_id").alias("d")).collect()
+    assert {(r["n"], r["d"]) for r in drawn} == {(n, n)} and len(drawn) == trees
+    # Copies of one vector count as rows of their own, with and without an id.
+    copies = spark.range(n).select("id", array_to_vector(F.array(F.lit(1.0), (F.col("id") % 3 == 0).cast("double"))).alias("features"))
+    for id_col in ("", "id"):
+        state = IsolationForest(trees=trees, sampleRows=rows, idCol=id_col).fit(copies).state
+        assert state["rows"][0] == rows and (state["path"] > 0).any()
+
+
+def test_centres_without_an_exchange_of_rows(spark, monkeypatch):
+    """With an id no plan of the fit shuffles feature rows."""
+    from flowguard.models import kmeans
+    df = spark.range(0, 600, 1, 2).select("id", array_to_vector(F.array(F.sin("id"), F.cos("id"))).alias("features"))
+    seen = []
+    monkeypatch.setattr(kmeans, "_mean_variance", lambda rows, n, f=kmeans._mean_variance: seen.append(
+        rows._jdf.queryExecution().executedPlan().toString()) or f(rows, n))
+    NearestCentre(k=3, restarts=1, idCol="id").fit(df)
+    NearestCentre(k=3, restarts=1).fit(df)
+    assert "Exchange" not in seen[0] and "Exchange" in seen[1]
+
+
+def test_network_does_not_depend_on_partitions(planted):
+    _, df = planted
+    for id_col in ("id", ""):
+        est = Reconstruction(method="mlp", layers=[8, 3, 8], epochs=2, batchSize=300, stepSize=5e-3, idCol=id_col)
+        a, b = (est.fit(df.repartition(p)).state for p in (2, 5))
+        assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], rtol=1e-9, atol=1e-12) for k in a)
+
+
+def test_network_equals_a_single_process(spark, planted):
+    """The same batches and steps in one loop give the same weights."""
+    from flowguard.models import recon
+    _, df = planted
+    est = Reconstruction(method="mlp", layers=[6, 2, 6], epochs=2, batchSize=200, stepSize=1e-2, idCol="id")
+    state = est.fit(df).state
+    rows = df.select(vector_to_array("features").alias("x"), F.xxhash64("id").alias("h")).collect()
+    x, width = np.array([r["x"] for r in rows]), len(rows[0]["x"])
+    shapes = recon._layer_shapes(width, [6, 2, 6])
+    w, t = recon._initial_weights(shapes, 42), 0
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    steps = min(recon.MAX_STEPS, -(-len(rows) // 200))
+    ids = spark.createDataFrame([(r["h"],) for r in rows], "h long")
+    at = np.array([r[0] for r in ids.select(F.pmod(F.xxhash64("h", F.lit(42)), F.lit(steps))).collect()])
+    for epoch in range(2):
+        for s in np.random.default_rng([42, epoch]).permutation(steps):
+            if (at == s).any():
+                g = recon._gradient(x[at == s], recon._unflatten(w, shapes))
+                t += 1
+                m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+                w = w - 1e-2 * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t) * m / (np.sqrt(v) + 1e-8)
+    got = np.concatenate([np.concatenate([state[f"w{i}"].ravel(), state[f"b{i}"].ravel()]) for i in range(len(shapes))])
+    assert np.allclose(got, w, rtol=1e-6, atol=1e-9)
+
+
 def test_forest_on_tiny_and_constant_tables(spark, planted):
     _, df = planted
     tiny = IsolationForest(trees=5).fit(df.limit(3))
@@ -159,8 +221,9 @@ def test_nearest_centre(planted):
 
 def test_centres_do_not_depend_on_partitions(planted):
     _, df = planted
-    a, b = (NearestCentre(k=3, restarts=2).fit(df.repartition(n)).state["centres"] for n in (2, 5))
-    assert a == pytest.approx(b, abs=1e-9)
+    for id_col in ("", "id"):
+        a, b = (NearestCentre(k=3, restarts=2, idCol=id_col).fit(df.repartition(n)).state["centres"] for n in (2, 5))
+        assert a == pytest.approx(b, abs=1e-9)
 
 
 def test_starts_weigh_equal_rows(spark):
@@ -171,6 +234,8 @@ def test_starts_weigh_equal_rows(spark):
     flood = spark.createDataFrame(rows, "x array<double>").select(array_to_vector("x").alias("features"))
     centres = NearestCentre(k=2, restarts=1).fit(flood).state["centres"]
     assert np.abs(centres - 9.0).max(axis=1).min() < 1e-9
+    numbered = flood.withColumn("id", F.monotonically_increasing_id()).persist()
+    assert np.abs(NearestCentre(k=2, restarts=1, idCol="id").fit(numbered).state["centres"] - 9.0).max(axis=1).min() < 1e-9
     few = spark.range(20_000).select(array_to_vector(F.array(*[(F.col("id") % 20 * p % 17).cast("double") for p in (1, 3, 5)])).alias("features"))
     centres = NearestCentre(k=8, restarts=1, maxIter=1).fit(few).state["centres"]
     assert len(np.unique(centres, axis=0)) == 8
