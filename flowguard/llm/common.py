@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from flowguard.session import shared_dir
 
 #: Bytes of UTF-8 text that a numpy pass takes at once; a longer text is a pass of its own.
 BLOCK = 4 << 20
+#: Bytes of an Arrow batch whose rows hold whole texts.
+BATCH_BYTES = 8 << 20
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -35,6 +38,18 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Arrow batches of at most ``size`` bytes for the jobs inside; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator works on, so other columns never clash with its own."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import (LOWER, RollingHash, id_and_text, joined, mixed, packed, parts, squeezed, stage, texts,
+from flowguard.llm.common import (LOWER, RollingHash, bounded_batches, id_and_text, joined, mixed, packed, parts, squeezed, stage, texts,
                                   unpacked)
 from flowguard.llm.graph import components
 
@@ -612,7 +612,11 @@ def sets_of(docs: DataFrame) -> DataFrame:
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
     """doc_id, n_shingles and component_id of every row, and n_links, the number of linked pairs of
     documents in the component, for those who need it."""
-    docs = id_and_text(docs, id_col, text_col)
+    with bounded_batches(docs.sparkSession):
+        return linked_documents(id_and_text(docs, id_col, text_col), count_links)
+
+
+def linked_documents(docs: DataFrame, count_links: bool) -> DataFrame:
     marks = stage(sets_of(docs), "sets")
     usable = marks.filter("n > 0 AND doc_id IS NOT NULL")
     total, rows = usable.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
