@@ -23,11 +23,6 @@ SEGMENT_POLICY = {
     "protocol": "first",
 }
 
-# Words that decide the aggregation of other columns.
-MEAN_WORDS = ("/s", "rate", "mean", "avg", "std", "ratio")
-SUM_WORDS = ("tot", "count", "cnt", "duration", "bytes", "packet", "pkts", "flag")
-SHORT_SUM_WORDS = ("tot", "count", "duration", "bytes", "packet", "pkts", "flag", "len")
-
 # Whole words of a name, singular, and what they say.
 MEAN_TOKENS = frozenset("rate mean average avg std deviation variance var ratio percent".split())
 SUM_TOKENS = frozenset("tot total count cnt duration byte packet pkt flag".split())
@@ -41,15 +36,12 @@ def name_tokens(column: str) -> list[str]:
     return [w if w == "/s" or len(w) < 4 else w.removesuffix("s") for w in (w.lower() for w in words)]
 
 
-def infer_policy(column: str, rules: str = "named", legacy: bool = False) -> str:
+def infer_policy(column: str, rules: str = "named") -> str:
     """Aggregation of a column chosen from the words of its name: sum, max, min or mean.
 
     Means go before extremes and those before sums. ``rules="named"`` wants max/min at either
-    end of the name, ``"short"`` anywhere, and sums lengths as well. ``legacy`` searches for
-    pieces of words, so that "duration" counts as a ratio and "Average Packet Size" as a sum.
+    end of the name, ``"short"`` anywhere, and sums lengths as well.
     """
-    if legacy:
-        return _policy_of_pieces(column.lower(), rules)
     tokens = name_tokens(column)
     if "/s" in tokens or not MEAN_TOKENS.isdisjoint(tokens) or tokens[-2:] == ["per", "s"]:
         return "mean"
@@ -61,16 +53,6 @@ def infer_policy(column: str, rules: str = "named", legacy: bool = False) -> str
     return "mean" if sums.isdisjoint(tokens) else "sum"
 
 
-def _policy_of_pieces(name: str, rules: str) -> str:
-    def holds(words) -> bool:
-        return any(w in name for w in words)
-
-    extremes = [k for k in ("max", "min") if (k in name if rules == "short" else
-                                              name.startswith(k) or name.endswith(k) or k + "imum" in name)]
-    kind = "sum" if holds(SHORT_SUM_WORDS if rules == "short" else SUM_WORDS) else "mean"
-    return "mean" if holds(MEAN_WORDS) else (extremes or [kind])[0]
-
-
 def first_value(c: Column, order: Column | None, whole: bool = False) -> Column:
     """First non-null value in the given order, the smallest value without one.
 
@@ -144,7 +126,7 @@ def _checked_majority(classes: list[str], columns: list[Column]) -> Column:
 
 def unify_flows(df: DataFrame, key: str = "flow_id", label: str = "Label",
                 attack_type: str = "attack_type", policy: dict[str, str] | None = None,
-                rules: str = "named", legacy: bool = False, order: str | None = None,
+                rules: str = "named", order: str | None = None,
                 id_columns: tuple[str, ...] = ENDPOINT_COLUMNS,
                 skip: tuple[str, ...] = ("segment_index",),
                 classes: list[str] | None = None,
@@ -176,7 +158,7 @@ def unify_flows(df: DataFrame, key: str = "flow_id", label: str = "Label",
     for field in df.schema.fields:
         if field.name in taken or not isinstance(field.dataType, T.NumericType):
             continue
-        how = known.get(field.name.lower()) or infer_policy(field.name, rules, legacy)
+        how = known.get(field.name.lower()) or infer_policy(field.name, rules)
         c = F.col(f"`{field.name}`")
         aggs.append((first(c, field.name) if how == "first" else combine[how](c)).alias(field.name))
     aggs += [F.max(label).alias(label), F.count(F.lit(1)).alias("n_segments")]

@@ -61,14 +61,13 @@ def test_many_classes(spark):
     assert all(r["attack_type"] for r in rows)
 
 
-@pytest.mark.parametrize("column,now,legacy", [
-    ("Flow Duration", "sum", "mean"), ("Average Packet Size", "mean", "sum"), ("Flow Bytes/s", "mean", "mean"),
-    ("Fwd Packet Length Max", "max", "max"), ("Min_len", "min", "min"), ("Tot Fwd Pkts", "sum", "sum"),
-    ("Down/Up Ratio", "mean", "mean"), ("Idle Std", "mean", "mean"), ("FIN Flag Cnt", "sum", "sum"),
-    ("Init Win", "mean", "mean"), ("Packet Length Variance", "mean", "sum"), ("iteration_count", "sum", "mean"),
-    ("separate_bytes", "sum", "mean"), ("FlowBytes/s", "mean", "mean"), ("totalPackets", "sum", "sum")])
-def test_inferred_policy(column, now, legacy):
-    assert (infer_policy(column), infer_policy(column, legacy=True)) == (now, legacy)
+@pytest.mark.parametrize("column,policy", [
+    ("Flow Duration", "sum"), ("Average Packet Size", "mean"), ("Flow Bytes/s", "mean"),
+    ("Fwd Packet Length Max", "max"), ("Min_len", "min"), ("Tot Fwd Pkts", "sum"), ("Down/Up Ratio", "mean"),
+    ("Idle Std", "mean"), ("FIN Flag Cnt", "sum"), ("Init Win", "mean"), ("Packet Length Variance", "mean"),
+    ("iteration_count", "sum"), ("separate_bytes", "sum"), ("FlowBytes/s", "mean"), ("totalPackets", "sum")])
+def test_inferred_policy(column, policy):
+    assert infer_policy(column) == policy
 
 
 def test_short_policy_rules():
