@@ -46,7 +46,9 @@ COUNTS = "lang string, kind int, term string, n long"
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    found = LETTERS.findall(text.lower()) if text else []
+    # The pattern also takes numbers such as the half or the squared two.
+    return [part for w in found for part in ((w,) if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def grams(word: str, n: int) -> list[str]:

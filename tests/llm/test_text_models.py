@@ -9,6 +9,11 @@ from tests.llm.helpers import frame
 SMALL = SF.replace("sf0.001", "sf0.01")
 
 
+def test_words_hold_letters_only():
+    assert langid.words_of("½ ② ² Ⅷ 12 _ a2b x² Ωμ 東京") == ["a", "b", "x", "ωμ", "東京"]
+    assert all(bool(langid.words_of(c)) == any(x.isalpha() for x in c.lower()) for c in map(chr, [*range(0x3000), *range(0x1F000, 0x1F300)]))
+
+
 def test_language_of_held_out_rows(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
     got = queries.QUERIES["op7_language"](spark, SMALL).join(docs, "doc_id")
