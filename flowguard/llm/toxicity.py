@@ -3,8 +3,8 @@
 The lexicon is learned from labelled rows: words, and stems that many inflected words share,
 which occur in far more different contexts (the words before and after) of toxic rows than of
 clean ones; contexts, not rows, are counted so that copies of one text teach nothing. Its terms
-stand in a trie. For each distinct word a Levenshtein automaton of distance 1 walks the trie and
-finds exact and misspelled terms. A hit's window of words tells quotation from abuse: quotation
+stand in a trie; Levenshtein automata of distance 1 for all of them are run over each distinct word
+at once, their states found as words need them, and give exact and misspelled terms. A hit's window of words tells quotation from abuse: quotation
 marks around it count against, a second-person word near it for. A logistic model over the sums
 of these scores gives the result.
 
@@ -13,7 +13,8 @@ lexicon and model sizes are bounded by parameters, so both can go to every execu
 
 Defined results: a null or empty text has no hits and takes the model's lowest ordinary score;
 with no labelled rows, or one class only, the score is the share of toxic rows (0 without rows);
-repeated label rows count once, rows with a null label or id teach nothing; an empty table gives
+repeated label rows count once and equal texts once, as toxic if one of them is; rows with a null
+label or id teach nothing; texts may be of any length; an empty table gives
 an empty table. Scoring reads the id and text columns only.
 """
 
@@ -21,8 +22,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ STEMS = range(4, 8)
 FUZZY = 5
 WINDOW = 5
 REMEMBERED = 200_000
+#: States of the automata a task keeps.
+STATES = 100_000
 
 WORD = re.compile(r"[^\W_](?:[\w*@$!]*[^\W_])?|[\"«»“”„‟]")
 MARKS = frozenset("\"«»“”„‟")
@@ -55,88 +58,118 @@ def tokens(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-class Levenshtein:
-    """Automaton of the strings within ``edits`` of a word. A state is the set of (place in the
-    word, edits left over), kept as a tuple of the least edits for each place."""
+class State:
+    """Places in the trie with the least edits that lead there, where to go on from them by
+    character, and the closest term that ends in one of them."""
+    __slots__ = ("places", "term", "steps")
 
-    def __init__(self, word: str, edits: int = 1):
-        self.word, self.edits = word, edits
-
-    def start(self) -> tuple:
-        return tuple((i, i) for i in range(min(self.edits, len(self.word)) + 1))
-
-    def step(self, state: tuple, char: str) -> tuple:
-        found: dict[int, int] = {}
-        word, edits = self.word, self.edits
-        for i, e in state:
-            same = i < len(word) and word[i] == char
-            for j, cost in ((i + 1, e + (not same)), (i, e + 1)):
-                if cost <= edits and j <= len(word) and cost < found.get(j, edits + 1):
-                    found[j] = cost
-        for j in sorted(found):  # characters of the word that the string leaves out
-            for k in range(1, edits - found[j] + 1):
-                if j + k <= len(word) and found[j] + k < found.get(j + k, edits + 1):
-                    found[j + k] = found[j] + k
-        return tuple(sorted(found.items()))
-
-    def distance(self, state: tuple) -> int | None:
-        return next((e + len(self.word) - i for i, e in reversed(state) if e + len(self.word) - i <= self.edits), None)
+    def __init__(self, places: dict[int, int], ends: list[str | None]):
+        self.places, self.steps = places, {}
+        self.term = min(((e, ends[n]) for n, e in places.items() if ends[n] is not None), default=(0, None))[1]
 
 
 class Trie:
-    """Terms by character; ``None`` in a node holds the term that ends there."""
-
-    def __init__(self, terms):
-        self.root: dict = {}
-        #: Halves of the terms: one edit leaves the first or the second half of a term as it is.
-        self.heads: set[str] = set()
-        self.tails: set[str] = set()
-        for t in terms:
-            node = self.root
-            for c in t:
-                node = node.setdefault(c, {})
-            node[None] = t
-            self.heads.add(t[:len(t) // 2])
-            self.tails.add(t[len(t) // 2:])
-        self.head_sizes, self.tail_sizes = ({len(h) for h in x} for x in (self.heads, self.tails))
+    """Terms by character, read by the Levenshtein automata of all terms at once.
+
+    A word is read once: a state holds every (node, edits) that the characters read so far can
+    stand for. States and their steps are kept when first met, so a word costs one look-up a
+    character however many terms there are; characters of no term share one step.
+    """
+
+    def __init__(self, terms: Iterable[str], edits: int = 1):
+        self.terms, self.edits = list(terms), edits
+        self.below: list[dict[str, int]] = [{}]
+        self.ends: list[str | None] = [None]
+        for term in self.terms:
+            node = 0
+            for c in term:
+                if c not in self.below[node]:
+                    self.below[node][c] = len(self.below)
+                    self.below.append({})
+                    self.ends.append(None)
+                node = self.below[node][c]
+            self.ends[node] = term
+        self.alphabet = {c for below in self.below for c in below}
+        self.forget()
+
+    def __reduce__(self):
+        return Trie, (self.terms, self.edits)
+
+    def forget(self) -> None:
+        self.states: dict[frozenset, State] = {}
+        self.start = self.state({0: 0})
+
+    def state(self, places: dict[int, int]) -> State:
+        """The state of these places and of those that terms reach by characters a word leaves out."""
+        for used in range(self.edits):
+            for node in [n for n, e in places.items() if e == used]:
+                for child in self.below[node].values():
+                    if places.get(child, self.edits + 1) > used + 1:
+                        places[child] = used + 1
+        key = frozenset(places.items())
+        if key not in self.states:
+            self.states[key] = State(places, self.ends)
+        return self.states[key]
+
+    def step(self, state: State, char: str) -> State:
+        char = char if char in self.alphabet else ""
+        after = state.steps.get(char)
+        if after is None:
+            places: dict[int, int] = {}
+            for node, e in state.places.items():
+                for c, child in self.below[node].items():
+                    cost = e + (c != char)
+                    if cost <= self.edits and cost < places.get(child, self.edits + 1):
+                        places[child] = cost
+                if e < self.edits and e + 1 < places.get(node, self.edits + 1):
+                    places[node] = e + 1
+            after = state.steps[char] = self.state(places)
+        return after
+
+    def read(self, word: str) -> Iterator[State]:
+        """The states after each character, until no term is within reach."""
+        if len(self.states) > STATES:
+            self.forget()
+        state = self.start
+        for c in word:
+            state = self.step(state, c)
+            if not state.places:
+                return
+            yield state
 
     def near(self, word: str) -> str | None:
-        """The closest term within one edit, the first by name among equals."""
-        if not (any(word[:n] in self.heads for n in self.head_sizes)
-                or any(word[-n:] in self.tails for n in self.tail_sizes if n)):
-            return None
-        automaton, best = Levenshtein(word), None
-        stack = [(self.root, automaton.start())]
-        while stack:
-            node, state = stack.pop()
-            for c, below in node.items():
-                if c is None:
-                    d = automaton.distance(state)
-                    if d is not None and (best is None or (d, below) < best):
-                        best = (d, below)
-                elif after := automaton.step(state, c):
-                    stack.append((below, after))
-        return best[1] if best else None
+        """The closest term within the edits, the first by name among equals."""
+        n, state = 0, self.start
+        for n, state in enumerate(self.read(word), 1):
+            pass
+        return state.term if n == len(word) else None
 
 
-@dataclass
 class Lexicon:
-    words: frozenset = frozenset()
-    stems: frozenset = frozenset()
-    known: dict = field(default_factory=dict)
+    """Words and stems, and what words met so far turned out to be: two generations of at most
+    ``REMEMBERED`` words, of which the older leaves when the younger is full."""
+
+    def __init__(self, words: frozenset = frozenset(), stems: frozenset = frozenset()):
+        self.words, self.stems = words, stems
+        self.trie = Trie(sorted(w for w in words if len(w) >= FUZZY))
+        self.stem_trie = Trie(sorted(s for s in stems if len(s) >= FUZZY))
+        self.stem_sizes = sorted({len(s) for s in stems})
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
-    def __post_init__(self):
-        self.trie = Trie(sorted(w for w in self.words if len(w) >= FUZZY))
-        self.stem_trie = Trie(sorted(s for s in self.stems if len(s) >= FUZZY))
-        self.stem_sizes = sorted({len(s) for s in self.stems})
+    def __reduce__(self):
+        return Lexicon, (self.words, self.stems)
 
     def kind(self, word: str) -> int:
         """0 none, 1 a term, 2 a misspelled term, 3 a stem begins it, 4 a misspelled stem does."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            found = self.known[word] = self.look_up(word)
+            found = self.older.get(word)
+            if found is None:
+                found = self.look_up(word)
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            self.known[word] = found
         return found
 
     def look_up(self, word: str) -> int:
@@ -146,8 +179,10 @@ class Lexicon:
             return 3
         if self.trie.near(word):
             return 2
-        if any(len(word) > n and self.stem_trie.near(word[:n]) for n in self.stem_sizes if n >= FUZZY):
-            return 4
+        if self.stem_sizes:
+            for n, state in enumerate(self.stem_trie.read(word[:min(len(word) - 1, self.stem_sizes[-1])]), 1):
+                if n >= FUZZY and n in self.stem_sizes and state.term is not None:
+                    return 4
         return 0
 
     def features(self, text: str | None) -> list[float]:
@@ -203,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     share = F.when(F.col("label") == 1, rows / sizes[1]).otherwise(rows / sizes[0])
     # About `rows` of each class: small enough to broadcast whatever the corpus.
     drawn = stage(id_and_text(docs, id_col, text_col).join(F.broadcast(known.filter(place < share)), "doc_id")
-                  .dropDuplicates(["text"]), "toxicity-sample")
+                  .groupBy("text").agg(F.max("label").alias("label")), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
