@@ -55,6 +55,22 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def quoted(name: str) -> str:
+    """A column name as ``F.col`` takes it, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names`` with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once."""
     return F.transform(F.array(value), use)[0]

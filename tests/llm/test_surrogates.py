@@ -50,6 +50,38 @@ def test_spellings_of_a_number_and_written_secrets(spark):
     assert re.match(r"token = \"\w{9}\" PASSWORD : \w{8} API_KEY='\w{8}' [0-9A-F]{40}$", got[2])
 
 
+def test_one_surrogate_per_surname_and_number(spark):
+    given = [f"{a}{b}" for a in ("Jo", "Ka", "Le", "Mi", "Ru", "Ta") for b in ("hn", "rl", "on", "ke")]
+    rows = [(i, f"Mr {g} Smith came, Mr Smith and Mrs Smith left, Mrs {g} Miller stayed") for i, g in enumerate(given)]
+    rows += [(90, "+49 170 1234567, +491701234567; DE89 3704 0044 0532 0130 00 is DE89370400440532013000; A.B@X.com a.b@x.com"),
+             (91, "hosts 11.2.33.44 and 1.12.33.44, Mr Anna Bruno")]
+    got = texts_of(surrogates.replace_entities(frame(spark, rows), "k"))
+    smith, miller, men, women = set(), set(), set(), set()
+    for i, g in enumerate(given):
+        m = re.match(r"Mr (\S+) (\w+) came, Mr (\w+) and Mrs (\w+) left, Mrs (\S+) (\w+) stayed$", got[i])
+        men.add(m[1])
+        women.add(m[5])
+        smith |= {m[2], m[3], m[4]}
+        miller.add(m[6])
+    assert len(smith) == len(miller) == 1 and smith != miller and len(men) == len(women) == len(given)
+    assert {n for x in men for n in x.split("-")} <= set(surrogates.FIRST["latin", "m"])
+    assert {n for x in women for n in x.split("-")} <= set(surrogates.FIRST["latin", "f"])
+    a, b, c, d, e, f = re.match(r"(\+49 \d{3} \d{7}), (\+49\d{10}); ([A-Z]{2}\d\d(?: \d{4}){4} \d\d) is (\S+); (\S+) (\S+)$", got[90]).groups()
+    assert a.replace(" ", "") == b and c.replace(" ", "") == d and e != f and e.lower() == f and re.match(r"[A-Z]\.[A-Z]@[A-Z]\.com", e)
+    assert b != "+491701234567" and len(set(re.findall(r"[\d.]{7,}", got[91]))) == 2
+
+
+def test_columns_of_any_name(spark):
+    df = frame(spark, [(i, f"Mr {g} Smith, mail {g}@x.org") for i, g in enumerate(["Ann", "Ben", "Cid"] * 8)] + [(None, None), (None, "Mr Ann Smith")])
+    wide = df.selectExpr("*", "1 AS row", "2 AS same", "3 AS tries", "4 AS `a.b`", "5 AS __id", "6 AS part", "7 AS attempt")
+    got = surrogates.replace_entities(wide, "k")
+    assert got.columns == wide.columns and got.count() == wide.count()
+    keep = [f"`{c}`" for c in wide.columns if c != "text"]
+    assert sorted(map(str, got.select(*keep).collect())) == sorted(map(str, wide.select(*keep).collect()))
+    named = surrogates.replace_entities(wide.selectExpr("doc_id AS `i.d`", "text AS `t.x`", "`a.b`"), "k", "i.d", "t.x")
+    assert sorted(str(r["t.x"]) for r in named.collect()) == sorted(str(r.text) for r in got.collect())
+
+
 def test_distinct_entities_stay_distinct(spark, monkeypatch):
     # Few surrogates are possible, so first attempts collide.
     monkeypatch.setattr(surrogates, "address", lambda e, d: F.concat(F.lit("10.0.0."), F.pmod(surrogates.byte(d, F.lit(0)), F.lit(16)).cast("string")))
