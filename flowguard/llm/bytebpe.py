@@ -1,13 +1,13 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A text is cut by the tokenizer's pattern. A cut that is no token itself is an array of one-byte
-pieces (two hexadecimal digits each) with the ranks of its neighbouring pairs; ``aggregate``
-folds merges over it: the least rank, leftmost first, joins its pair, and the ranks on both sides
-are looked up anew. The rank map is a literal: an array of small buckets, found by the crc32 of a
-piece, since a look-up in one large map compares all its keys.
-
-Distinct words are counted over the whole corpus. The commonest ``REMEMBERED`` that are no tokens
-are folded once, collected (a bounded number) and become a second literal map; the others are
+A text is cut by the tokenizer's pattern. A cut that is no token itself is an array of the ids of
+its bytes with the ranks of its neighbouring pairs; ``aggregate`` folds merges over it: the least
+rank, leftmost first, joins its pair (a rank is the id of the joined piece), and the ranks on both
+sides are looked up anew. The rank map is a literal: an array of numbers in which each left id has
+a row of its right ids.
+
+Tokens and common words are looked up whole in a second literal. The words are the commonest
+``REMEMBERED`` of a sample of rows, folded once and collected (a bounded number); all others are
 folded where they stand. So no text is shuffled, and the results depend on neither. A cut of over
 ``LONG`` bytes, where a fold would be quadratic, is merged by a heap in an Arrow batch.
 
@@ -23,20 +23,36 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
-from functools import lru_cache
+from collections import Counter
+from collections.abc import Callable
+from functools import lru_cache, reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import id_and_text, let
+from flowguard.llm.common import id_and_text
 
 #: Words (no tokens themselves) that are encoded once and kept in a literal.
 REMEMBERED = 1 << 17
+#: Rows of the sample, drawn by hash of the id, that tells common words. Any choice gives the same ids.
+COUNTED_ROWS = 10_000
 #: Bytes of a cut up to which merges are folded.
 LONG = 256
 #: Rank of a pair that joins to nothing.
-NO_RANK = (1 << 31) - 1
+NO_RANK = (1 << 20) - 1
+#: Bits of a rank, and of the place and id of a piece.
+RANK_BITS = 20
+LOW_BITS = RANK_BITS + 20
+#: Spreads a crc32 for its second slot.
+SPREAD = 1103515245
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, as the end of a fold over nothing. Unlike an element
+    of a transformed array, it does not work out the type of all that is inside at every step."""
+    return F.aggregate(F.array(), value, lambda bound, _: bound, use)
 
 
 def java_pattern(pattern: str) -> str:
@@ -52,76 +68,159 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
 
 
-class LiteralMap:
-    """A map of strings as a literal: an array of buckets, ``|key=value|key=value|`` each, that a
-    key's crc32 points into. Splitting a constant is done by the optimizer, so tasks get the
-    finished array. Bind ``array`` once with ``let``: every further mention would be a copy."""
+def whole_tokens(ranks: dict[bytes, int]) -> dict[str, str]:
+    """The tokens that are texts, with their ids."""
+    found = {}
+    for piece, rank in ranks.items():
+        try:
+            found[piece.decode()] = str(rank)
+        except UnicodeDecodeError:
+            pass
+    return found
 
-    def __init__(self, entries: dict[str, str]):
-        self.n = len(entries) + 1
-        buckets = ["|"] * self.n
-        for key, value in entries.items():
-            buckets[zlib.crc32(key.encode()) % self.n] += f"{key}={value}|"
-        self.array = F.split(F.lit(" ".join(buckets)), " ")
 
-    def get(self, array: Column, key: Column) -> Column:
-        """The value of a key, null without one; ``array``: the bound literal."""
-        def value(code: Column) -> Column:
-            bucket = F.get(array, (F.crc32(code) % self.n).cast("int"))
-            return let(F.position(F.concat(F.lit("|"), code, F.lit("=")), bucket), lambda at: F.when(
-                at > 0, F.substring_index(F.substring(bucket, at + F.length(code) + 2, F.length(bucket)), "|", 1)))
+class LiteralMap:
+    """A map of strings as two literal arrays, bound once with ``let``: a key lies in one of two
+    slots that its crc32 names, the value beside it. Splitting a constant is done by the
+    optimizer, so tasks get finished arrays."""
 
-        return let(key, value)
+    def __init__(self, entries: dict[str, str]):
+        size = 16 + 11 * len(entries) // 5
+        slots: list[str | None] = [None] * size
+        held = Counter()
+        self.left_out: list[str] = []
+        for key in entries:
+            crc = zlib.crc32(key.encode())
+            held[crc] += 1
+            if held[crc] > 2 or not self.put(slots, key):
+                self.left_out.append(key)
+        self.size = size
+        #: A character that no key holds.
+        self.mark = next(c for c in map(chr, range(0xE000, 0x110000)) if not any(c in key for key in entries))
+        self.keys = F.split(F.lit(self.mark.join("" if k is None else k for k in slots)), self.mark)
+        self.values = F.split(F.lit(" ".join("" if k is None else entries[k] for k in slots)), " ")
+
+    @staticmethod
+    def places(key: str, size: int) -> tuple[int, int]:
+        crc = zlib.crc32(key.encode())
+        return crc % size, (crc * SPREAD >> 20) % size
+
+    def put(self, slots: list, key: str) -> bool:
+        """Place a key; keys in its way go to their other slot, and back if that does not end."""
+        moved, at = [], self.places(key, len(slots))[0]
+        for _ in range(200):
+            moved.append((at, slots[at]))
+            slots[at], key = key, slots[at]
+            if key is None:
+                return True
+            one, two = self.places(key, len(slots))
+            at = two if at == one else one
+        for at, before in reversed(moved):
+            slots[at] = before
+        return False
+
+    def bind(self, use: Callable[[Column, Column], Column]) -> Column:
+        return let(self.keys, lambda keys: let(self.values, lambda values: use(keys, values)))
+
+    def get(self, keys: Column, values: Column, key: Column) -> Column:
+        """The value of a key that is not empty, null without one; ``keys``, ``values``: bound literals."""
+        def look(at: Column, otherwise: Column) -> Column:
+            return let(at.cast("int"), lambda i: F.when(F.get(keys, i) == key, F.get(values, i)).otherwise(otherwise))
+
+        return let(F.crc32(key), lambda crc: look(crc % self.size, look(
+            F.shiftright(crc * SPREAD, 20) % self.size, F.lit(None).cast("string"))))
 
 
 def literal_array(values: list[str]) -> Column:
     return F.split(F.lit(",".join(values)), ",")
 
 
+class PairTable:
+    """Ranks of the pairs of tokens that join to a token, in one literal array of numbers, bound
+    once with ``let``: the ids of the 256 bytes; for each id where its row begins; then the rows,
+    each in gaps of the others, a cell being the left id and the rank. So a look-up is two
+    reads of an array, and no strings are made."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.names = max(ranks.values()) + 1
+        rows: dict[int, dict[int, int]] = {}
+        for piece, rank in ranks.items():
+            for k in range(1, len(piece)):
+                left, right = ranks.get(piece[:k]), ranks.get(piece[k:])
+                if left is not None and right is not None:
+                    rows.setdefault(left, {})[right] = rank
+        begin = np.full(self.names, -(1 << 30), np.int64)
+        cells = np.full(self.names + 3 * sum(map(len, rows.values())), -1, np.int64)
+        draws = np.random.default_rng(0)  # the same table on every run
+        for left, row in sorted(rows.items(), key=lambda r: (-len(r[1]), r[0])):
+            right = np.fromiter(row, np.int64)
+            at = self.gap(cells, right, draws)
+            begin[left] = at
+            cells[at + right] = (left << RANK_BITS) + np.fromiter(row.values(), np.int64)
+        begin[begin >= 0] += 256 + self.names
+        bytes_ = [ranks.get(bytes((b,)), -1) for b in range(256)]
+        self.array = literal_array([str(v) for v in (*bytes_, *begin.tolist(), *cells.tolist())]).cast("array<long>")
+
+    def gap(self, cells: np.ndarray, right: np.ndarray, draws: np.random.Generator) -> int:
+        """A place where a row fits; two thirds of the cells stay free."""
+        while True:
+            at = draws.integers(0, len(cells) - self.names, 64)
+            fits = (cells[at[:, None] + right] < 0).all(axis=1)
+            if fits.any():
+                return int(at[fits.argmax()])
+
+    def rank(self, table: Column, left: Column, right: Column) -> Column:
+        """The rank of a pair; ``NO_RANK`` if it joins to nothing or one of the two is missing."""
+        cell = F.get(table, (F.get(table, (left + 256).cast("int")) + right).cast("int"))
+        return let(cell - F.shiftleft(left, RANK_BITS), lambda r: F.when(r.between(0, NO_RANK), r).otherwise(
+            F.lit(NO_RANK).cast("long")))
+
+
 class RankFold:
-    """Merges over pieces written in hexadecimal digits; ``table`` is the bound literal of ``map``."""
+    """Merges over an array of pieces; ``table`` is the bound literal of ``map``. An element is a
+    number: the rank of the piece with the next one, the byte where the piece begins, its id. So
+    the least element is the pair to merge, the leftmost of the least rank."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.map = LiteralMap({piece.hex().upper(): str(rank) for piece, rank in ranks.items()})
+        self.map = PairTable(ranks)
 
-    def token(self, table: Column, piece: Column) -> Column:
-        return self.map.get(table, piece).cast("int")
+    @staticmethod
+    def name(element: Column) -> Column:
+        return element.bitwiseAND((1 << RANK_BITS) - 1)
 
-    def rank(self, table: Column, piece: Column) -> Column:
-        return F.coalesce(self.token(table, piece), F.lit(NO_RANK))
+    def element(self, table: Column, piece: Column, after: Column) -> Column:
+        """A piece (its place and id) with the rank it has with the id ``after``."""
+        return F.shiftleft(self.map.rank(table, self.name(piece), after), LOW_BITS) + piece
 
     def ids(self, table: Column, digits: Column) -> Column:
-        """Ids of a word of at least two bytes, given as digits."""
-        count = (F.length(digits) / 2).cast("int")
-        piece = lambda i, n: F.substring(digits, 2 * i + 1, F.lit(n))
-        pieces = F.transform(F.sequence(F.lit(0), count - 1), lambda i: piece(i, 2))
-        ranks = F.transform(F.sequence(F.lit(0), count - 2), lambda i: self.rank(table, piece(i, 4)))
-        begin = F.struct(pieces.alias("pieces"), ranks.alias("ranks"))
-        done = F.aggregate(F.sequence(F.lit(2), count), begin, lambda state, _: self.merged(table, state))
-        return F.transform(done["pieces"], lambda p: self.token(table, p))
+        """Ids of a word of at least one byte, given as ``digits``."""
+        # A piece stands before the first, so each pair has one on its left; the last has none on its right.
+        def fold(pieces: Column) -> Column:
+            begin = F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), lambda p, q: self.element(table, p, self.name(q)))
+            return F.aggregate(pieces, begin, lambda state, _: self.merged(table, state))
 
-    def merged(self, table: Column, state: Column) -> Column:
-        """The state after the merge of the least rank; without one, the state itself."""
-        def join(at: Column) -> Column:
-            """``at``: place of the pair, from 1."""
-            pieces, ranks = state["pieces"], state["ranks"]
-            size = F.size(pieces)
+        head = F.array(F.lit((1 << RANK_BITS) - 1).cast("long"))
+        pieces = F.concat(head, F.transform(digits, lambda d, i: F.get(table, d) + F.shiftleft(i + 1, RANK_BITS)))
+        return let(let(pieces, fold), lambda done: F.transform(F.slice(done, F.lit(2), F.size(done)), lambda e: self.name(e).cast("int")))
 
-            def around(piece: Column) -> Column:
-                none = F.array().cast("array<int>")
-                left = F.when(at > 1, F.array(self.rank(table, F.concat(F.get(pieces, at - 2), piece)))).otherwise(none)
-                right = F.when(at < size - 1, F.array(self.rank(table, F.concat(piece, F.get(pieces, at + 1))))).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(piece), F.slice(pieces, at + 2, size)).alias("pieces"),
-                    F.concat(F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right,
-                             F.slice(ranks, at + 2, size)).alias("ranks"))
+    def merged(self, table: Column, state: Column) -> Column:
+        """The state after one merge; without a pair to merge, the state itself."""
+        low = lambda e: e.bitwiseAND((1 << LOW_BITS) - 1)
 
-            return let(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), around)
+        def join(least: Column, at: Column) -> Column:
+            """``at``: place of the pair's left piece, from 1; the rank is the id of the joined piece."""
+            return let(F.shiftright(least, LOW_BITS), lambda r: let(F.get(state, at - 2), lambda before: let(F.get(state, at), lambda right: let(
+                F.get(state, at + 1), lambda after: swapped(least, at, before, right, self.element(table, low(before), r), self.element(
+                    table, low(least) - self.name(least) + r, self.name(after)))))))
 
-        def step(least: Column) -> Column:
-            return F.when(least < NO_RANK, let(F.array_position(state["ranks"], least).cast("int"), join)).otherwise(state)
+        def swapped(least, at, before, right, *made):
+            # No two elements are equal, as each has its own place.
+            steps = [lambda a: F.array_remove(a, right), lambda a: F.array_remove(a, least), lambda a: F.array_remove(a, before),
+                     lambda a: F.array_insert(a, at - 1, made[0]), lambda a: F.array_insert(a, at, made[1])]
+            return reduce(let, steps, state)
 
-        return let(F.array_min(state["ranks"]), step)
+        return let(F.array_min(state), lambda least: F.when(least < NO_RANK << LOW_BITS, let(
+            F.array_position(state, least).cast("int"), lambda at: join(least, at))).otherwise(state))
 
 
 def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -170,23 +269,24 @@ def cuts(text: Column, pattern: str) -> Column:
 
 
 def digits(word: Column) -> Column:
-    return F.hex(F.encode(word, "UTF-8"))
+    """The bytes of a word as numbers."""
+    return let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), lambda letters: F.transform(
+        F.sequence(F.lit(1), F.length(letters)), lambda i: F.ascii(F.substring(letters, i, F.lit(1)))))
 
 
 def is_long(word: Column) -> Column:
     return F.octet_length(word) > LONG
 
 
-def common_words(words: DataFrame, fold: RankFold, limit: int) -> dict[str, str]:
-    """Ids, with commas, of the ``limit`` commonest words that are no tokens, by their digits;
-    ``words`` has arrays of words."""
+def common_words(words: DataFrame, fold: RankFold, tokens: set[str], limit: int) -> dict[str, str]:
+    """Ids, with commas, of the ``limit`` commonest words that are no tokens; ``words`` has arrays
+    of words."""
     word = F.col("word")
-    counted = words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    unknown = counted.filter(~is_long(word) & let(fold.map.array, lambda t: fold.token(t, digits(word))).isNull())
-    top = unknown.orderBy(F.desc("n"), "word").limit(limit).repartition(words.sparkSession.sparkContext.defaultParallelism)
-    ids = let(fold.map.array, lambda t: let(digits(word), lambda code: fold.ids(t, code)))
-    coded = top.select(digits(word).alias("code"), F.array_join(ids.cast("array<string>"), ",").alias("ids"))
-    return {r.code: r.ids for r in coded.collect()}
+    counted = words.select(F.explode("words").alias("word")).filter(~is_long(word)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    top = counted.orderBy(F.desc("n"), "word").limit(limit).repartition(words.sparkSession.sparkContext.defaultParallelism)
+    ids = let(fold.map.array, lambda t: fold.ids(t, digits(word)))
+    coded = top.select("word", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
+    return {r.word: r.ids for r in coded.collect() if r.word not in tokens}
 
 
 def encode_bytes(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -194,18 +294,27 @@ def encode_bytes(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     """doc_id and ids of every row. ``path``: the file of ranks, on every machine."""
     ranks = read_ranks(path)
     fold, heap = RankFold(ranks), long_words(path)
-    split = id_and_text(docs, id_col, text_col).select("doc_id", cuts(F.col("text"), pattern).alias("words"))
-    known = LiteralMap({piece.hex().upper(): str(rank) for piece, rank in ranks.items()} | common_words(split, fold, remembered))
-    both = split.select("doc_id", "words", F.filter("words", is_long).alias("long")).withColumn("long_ids", heap("long"))
-
-    def ids(table: Column, memory: Column, word: Column) -> Column:
+    docs = id_and_text(docs, id_col, text_col)
+    split = lambda rows: rows.select("doc_id", cuts(F.col("text"), pattern).alias("words"))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("words")), F.lit(1 << 30)) / (1 << 30)
+    some = docs.filter(place < COUNTED_ROWS / max(1, docs.count()))
+    tokens = whole_tokens(ranks)
+    known = LiteralMap(tokens | common_words(split(some), fold, set(tokens), remembered))
+    if known_tokens := tokens.keys() & set(known.left_out):
+        raise ValueError(f"no place for the tokens {sorted(known_tokens)}")
+    both = split(docs).select("doc_id", "words", F.filter("words", is_long).alias("long")).withColumn("long_ids", heap("long"))
+
+    def ids(table: Column, keys: Column, values: Column, word: Column) -> Column:
+        """The ids of a word, with commas."""
         listed = F.get(F.col("long_ids"), F.array_position("long", word).cast("int") - 1)
-        return F.when(is_long(word), listed).otherwise(let(digits(word), lambda code: let(
-            known.get(memory, code), lambda found: F.when(found.isNull(), fold.ids(table, code)).otherwise(
-                F.split(found, ",").cast("array<int>")))))
-
-    return both.select("doc_id", F.flatten(let(fold.map.array, lambda table: let(known.array, lambda memory: F.transform(
-        "words", lambda word: ids(table, memory, word))))).alias("ids"))
+        found = lambda: F.when(is_long(word), listed).otherwise(fold.ids(table, digits(word)))
+        return let(known.get(keys, values, word), lambda k: F.when(k.isNotNull(), k).otherwise(
+            F.array_join(found().cast("array<string>"), ",")))
+
+    written = known.bind(lambda keys, values: let(fold.map.array, lambda table: F.array_join(F.transform(
+        "words", lambda word: ids(table, keys, values, word)), ",")))
+    return both.select("doc_id", F.when(F.size("words") > 0, F.split(written, ",").cast("array<int>")).otherwise(
+        F.array().cast("array<int>")).alias("ids"))
 
 
 def decode_bytes(encoded: DataFrame, path: str) -> DataFrame:

@@ -73,3 +73,19 @@ def test_heap_on_long_words(library):
     ranks = bytebpe.read_ranks(PATH)
     for text in ["".join(rng.choice("abcxyz") for _ in range(5_000)), "a" * 3_000, "thethe" * 700]:
         assert bytebpe.merge_by_heap(text.encode(), ranks) == library.encode_ordinary(text)
+
+
+def test_pair_table_and_literal_map(spark):
+    ranks = {b"a": 0, b"b": 1, b"c": 2, b"ab": 3, b"abc": 4, b"bc": 5, b"aa": 6}
+    table = bytebpe.PairTable(ranks)
+    pairs = [(x, y) for x in range(7) for y in range(7)]
+    names = {r: p for p, r in ranks.items()}
+    df = spark.createDataFrame(pairs + [(3, None), (None, 3)], "l long, r long")
+    got = df.select("l", "r", bytebpe.let(table.array, lambda t: table.rank(t, F.col("l"), F.col("r"))).alias("rank")).collect()
+    assert {(r.l, r.r): r.rank for r in got} == {(x, y): bytebpe.NO_RANK if None in (x, y) else ranks.get(names[x] + names[y], bytebpe.NO_RANK)
+                                                 for x, y in [*pairs, (3, None), (None, 3)]}
+    words = {f"w{i} |=,\x00": str(i) for i in range(500)}
+    known = bytebpe.LiteralMap(words)
+    asked = [*words, "w1", "", "unknown"]
+    found = spark.createDataFrame([(w,) for w in asked], "w string").select("w", known.bind(lambda k, v: known.get(k, v, F.col("w"))).alias("v"))
+    assert not known.left_out and {r.w: r.v or None for r in found.collect()} == {w: words.get(w) for w in asked}
