@@ -119,10 +119,14 @@ class MergeVocabulary:
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and costs of the pieces that pairs of symbols join to; no piece: endless cost."""
-        keys = self.pair_key(left, right)
+        some = np.flatnonzero(right >= 0)
+        keys = self.pair_key(left[some], right[some])
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        found = (self.pairs[at] == keys) & (right >= 0)
-        return self.pair_id[at], np.where(found, self.pair_cost[at], np.inf)
+        found = self.pairs[at] == keys
+        some, at = some[found], at[found]
+        made, cost = np.zeros(len(right), np.int64), np.full(len(right), np.inf)
+        made[some], cost[some] = self.pair_id[at], self.pair_cost[at]
+        return made, cost
 
     def merge_rows(self, symbols: np.ndarray) -> np.ndarray:
         """The same agenda for many short segments at once. Rows of symbols end in -1; column i of
@@ -133,7 +137,7 @@ class MergeVocabulary:
             return symbols
         made, agenda = (x.reshape(len(symbols), width - 1) for x in self.pair(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
         rows, columns = np.arange(len(symbols)), np.arange(width)
-        while len(rows):
+        while width > 1:
             at = agenda.argmin(axis=1)
             own = np.arange(len(rows))
             active = np.isfinite(agenda[own, at])
@@ -141,14 +145,14 @@ class MergeVocabulary:
             if not len(rows):
                 break
             own = own[:len(rows)]
-            line = symbols[rows]
+            line = symbols[rows, :width]
             line[own, at] = made[own, at]
-            shift = columns + (columns > at[:, None])
-            line = np.take_along_axis(np.pad(line, ((0, 0), (0, 1)), constant_values=-1), shift, axis=1)
-            symbols[rows] = line
-            move = columns[:-1] + (columns[:-1] >= at[:, None])
-            agenda = np.take_along_axis(np.pad(agenda, ((0, 0), (0, 1)), constant_values=np.inf), move, axis=1)
-            made = np.take_along_axis(np.pad(made, ((0, 0), (0, 1))), move, axis=1)
+            width -= 1  # each row left here has lost one symbol more
+            line = line[columns[:width + 1] != at[:, None] + 1].reshape(len(rows), width)
+            symbols[rows, :width] = line
+            symbols[rows, width] = -1
+            rest = columns[:width] != at[:, None]
+            agenda, made = (x[rest].reshape(len(rows), width - 1) for x in (agenda, made))
             for place, ok in ((at, at < width - 1), (at - 1, at > 0)):
                 r, c = own[ok], place[ok]
                 made[r, c], agenda[r, c] = self.pair(line[r, c], line[r, c + 1])
@@ -159,7 +163,8 @@ class MergeVocabulary:
         sizes = np.asarray([len(s) for s in segments])
         codes = self.char[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")]
         starts = np.cumsum(sizes) - sizes
-        found: list = [None] * len(segments)
+        alone = np.flatnonzero(sizes > SHORT).tolist()
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # places of segments, numbers of ids, ids
         for low, high in ((0, 6), (6, 10), (10, 16), (16, SHORT)):
             chosen = np.flatnonzero((sizes > low) & (sizes <= high))
             columns = np.arange(high)
@@ -167,16 +172,21 @@ class MergeVocabulary:
                 inside = columns < sizes[some][:, None]
                 symbols = np.where(inside, codes[np.minimum(starts[some][:, None] + columns, len(codes) - 1)], -1)
                 symbols = self.merge_rows(symbols)
-                kept = symbols >= 0
-                counts = kept.sum(axis=1)
-                flat, ends = symbols[kept].astype(np.int32), np.cumsum(counts)
-                strange = np.logical_or.reduceat(flat >= self.size, ends - counts) if len(flat) else kept[:, 0]
-                for k, e, n, odd in zip(some.tolist(), ends.tolist(), counts.tolist(), strange.tolist()):
-                    found[k] = self.encode_segment(segments[k]) if odd else flat[e - n:e]
-        for k in np.flatnonzero(sizes > SHORT).tolist():
-            found[k] = self.encode_segment(segments[k])
-        counts = np.asarray([len(f) for f in found])
-        return np.concatenate([np.asarray(f, np.int32) for f in found]), counts
+                plain = (symbols < self.size).all(axis=1)
+                alone += some[~plain].tolist()
+                kept = (symbols >= 0) & plain[:, None]
+                done.append((some[plain], kept.sum(axis=1)[plain], symbols[kept].astype(np.int32)))
+        listed = [self.encode_segment(segments[k]) for k in alone]
+        done.append((np.asarray(alone, np.int64), np.asarray([len(x) for x in listed], np.int64),
+                     np.fromiter(chain.from_iterable(listed), np.int32)))
+        counts = np.zeros(len(segments), np.int64)
+        for places, n, _ in done:
+            counts[places] = n
+        begin = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int32)
+        for places, n, ids in done:
+            out[np.repeat(begin[places] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, counts
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The text of ids as bytes, a space before each word, and the bytes of each id."""
@@ -188,7 +198,8 @@ class MergeVocabulary:
     def learn(self, fresh: list[str]) -> None:
         """Encode segments by the agenda and compare them with the library."""
         ids, counts = self.encode_segments(fresh)
-        theirs = self.lib.encode([s[1:] for s in fresh], num_threads=1)
+        bare = [s[1:] for s in fresh]
+        theirs = self.lib.encode(bare, num_threads=1)
         back = self.lib.decode(theirs)
         ends = np.cumsum(counts)
         listed = np.fromiter(chain.from_iterable(theirs), np.int32)
@@ -198,9 +209,9 @@ class MergeVocabulary:
                 mine = ids[ends[k] - counts[k]:ends[k]].tolist()
                 if s != " " and mine != other:
                     raise ValueError(f"segment {s[:80]!r}: agenda {mine[:20]}, library {other[:20]}")
-        for s, decoded in zip(fresh, back):
-            if s[1:] != decoded:
-                raise ValueError(f"segment {s[:80]!r}: decoded {decoded[:80]!r}")
+        if back != bare:
+            s, decoded = next((s, d) for s, d in zip(bare, back) if s != d)
+            raise ValueError(f"segment {s[:80]!r}: decoded {decoded[:80]!r}")
         if self.decode(ids)[0] != "".join(fresh).encode():
             raise ValueError("segments decode to another text")
         raw = ids.astype("<i4").tobytes()

@@ -88,3 +88,19 @@ def test_token_files(spark):
     empty = shared_dir(spark, "token-test")
     tokenfile.write_tokens(frame(spark, []), empty, WORDS, 2)
     assert tokenfile.read_tokens(spark, empty).count() == 0
+
+
+def test_merged_rows_hold_only_what_is_left():
+    # Rows shrink as they merge; ids of all segments come back in one array, the odd ones in their place.
+    book = pieces.MergeVocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    segments = [" the", " \U0001F642x", " " + "ab" * 40, " the", "  q", " internationalisation", " \U0001F642x"]
+    ids, counts = book.encode_segments(segments)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [book.encode_segment(s) for s in segments]
+    seen = []
+    whole = book.pair
+    book.pair = lambda left, right: (seen.append(len(right)), whole(left, right))[1]
+    rows = np.asarray([[*book.char[[ord(c) for c in " the"]], -1, -1, -1, -1]])
+    assert (book.merge_rows(rows) >= 0).sum() == len(book.encode_segment(" the"))
+    left, right = np.asarray([5, 5]), np.asarray([-1, -1])
+    made, cost = whole(left, right)
+    assert made.tolist() == [0, 0] and np.isinf(cost).all()
