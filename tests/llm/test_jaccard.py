@@ -98,3 +98,15 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_vectors_pass_through_small():
+    # A count below 256 goes as one byte: the vectors are what most shuffles of the join carry.
+    rng = np.random.default_rng(3)
+    found = rng.integers(0, 1 << 63, 700).astype(np.uint64)
+    counts = jaccard.counts_of(found)
+    blob = jaccard.vector_blob(counts)
+    assert np.array_equal(jaccard.vector(blob), counts) and len(blob) < len(counts) * 2 / 8 + 64
+    large = np.asarray([0, 255, 256, 1 << 20])
+    assert np.array_equal(jaccard.vector(jaccard.vector_blob(large)), large)
+    assert not len(jaccard.vector(jaccard.vector_blob(np.zeros(0, np.int64))))
