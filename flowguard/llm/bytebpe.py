@@ -3,15 +3,16 @@
 A text is cut by the tokenizer's pattern. A cut that is no token itself is an array of the ids of
 its bytes with the ranks of its neighbouring pairs; ``aggregate`` folds merges over it: the least
 rank, leftmost first, joins its pair (a rank is the id of the joined piece), and the ranks on both
-sides are looked up anew. The rank map is a literal: an array of numbers in which each left id has
+sides are looked up anew. The rank map is a constant: an array of numbers in which each left id has
 a row of its right ids.
 
-Tokens and common words are looked up whole in a second literal. The words are the commonest
+Tokens and common words are looked up whole in a second constant. The words are the commonest
 ``REMEMBERED`` of a sample of rows, folded once and collected (a bounded number); all others are
 folded where they stand. So no text is shuffled, and the results depend on neither. A cut of over
 ``LONG`` bytes, where a fold would be quadratic, is merged by a heap in an Arrow batch.
 
-Decoding looks up the piece of each id in a literal array and concatenates the pieces.
+Decoding looks up the piece of each id in a constant array and concatenates the pieces; bytes are
+letters of ISO-8859-1 until then.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; repeated rows are
 encoded one by one; an empty table gives an empty table; a text may be of any length; only the id
@@ -29,12 +30,13 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.llm.common import id_and_text
 
-#: Words (no tokens themselves) that are encoded once and kept in a literal.
+#: Words (no tokens themselves) that are encoded once and kept in a constant.
 REMEMBERED = 1 << 17
 #: Rows of the sample, drawn by hash of the id, that tells common words. Any choice gives the same ids.
 COUNTED_ROWS = 10_000
@@ -55,6 +57,21 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.aggregate(F.array(), value, lambda bound, _: bound, use)
 
 
+def with_constants(df: DataFrame, **arrays: pa.Array) -> DataFrame:
+    """Adds arrays as columns that are the same in all rows, for use in the next select alone. They
+    are scalar subqueries over one local row, which the optimizer moves to where they are used: they
+    run once, tasks get their bytes as they are, and the texts of plans, which Spark's listeners
+    keep, name them instead of listing their elements."""
+    table = lambda a: pa.table({"constant": pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)})
+    return df.select("*", *(df.sparkSession.createDataFrame(table(a)).scalar().alias(name) for name, a in arrays.items()))
+
+
+def literal_array(values: pa.Array) -> Column:
+    """An array of strings or numbers as a literal, for small ones."""
+    return F.split(F.lit("\uF8FF".join("" if v is None else str(v) for v in values.to_pylist())), "\uF8FF") \
+            .cast("array<long>" if pa.types.is_integer(values.type) else "array<string>")
+
+
 def java_pattern(pattern: str) -> str:
     """The pattern with the white space of Unicode, which Java's ``\\s`` is not."""
     inside = pattern.replace(r"[^\s", r"[^\p{IsWhite_Space}")
@@ -68,23 +85,22 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
 
 
-def whole_tokens(ranks: dict[bytes, int]) -> dict[str, str]:
+def whole_tokens(ranks: dict[bytes, int]) -> dict[str, list[int]]:
     """The tokens that are texts, with their ids."""
     found = {}
     for piece, rank in ranks.items():
         try:
-            found[piece.decode()] = str(rank)
+            found[piece.decode()] = [rank]
         except UnicodeDecodeError:
             pass
     return found
 
 
 class LiteralMap:
-    """A map of strings as two literal arrays, bound once with ``let``: a key lies in one of two
-    slots that its crc32 names, the value beside it. Splitting a constant is done by the
-    optimizer, so tasks get finished arrays."""
+    """A map of strings as two constant arrays, bound once with ``let``: a key lies in one of two
+    slots that its crc32 names, the value beside it."""
 
-    def __init__(self, entries: dict[str, str]):
+    def __init__(self, entries: dict):
         size = 16 + 11 * len(entries) // 5
         slots: list[str | None] = [None] * size
         held = Counter()
@@ -95,10 +111,8 @@ class LiteralMap:
             if held[crc] > 2 or not self.put(slots, key):
                 self.left_out.append(key)
         self.size = size
-        #: A character that no key holds.
-        self.mark = next(c for c in map(chr, range(0xE000, 0x110000)) if not any(c in key for key in entries))
-        self.keys = F.split(F.lit(self.mark.join("" if k is None else k for k in slots)), self.mark)
-        self.values = F.split(F.lit(" ".join("" if k is None else entries[k] for k in slots)), " ")
+        self.keys = pa.array(slots, pa.string())
+        self.values = pa.array([None if k is None else entries[k] for k in slots])
 
     @staticmethod
     def places(key: str, size: int) -> tuple[int, int]:
@@ -120,7 +134,8 @@ class LiteralMap:
         return False
 
     def bind(self, use: Callable[[Column, Column], Column]) -> Column:
-        return let(self.keys, lambda keys: let(self.values, lambda values: use(keys, values)))
+        """``use`` with the arrays as literals."""
+        return let(literal_array(self.keys), lambda keys: let(literal_array(self.values), lambda values: use(keys, values)))
 
     def get(self, keys: Column, values: Column, key: Column) -> Column:
         """The value of a key that is not empty, null without one; ``keys``, ``values``: bound literals."""
@@ -128,15 +143,11 @@ class LiteralMap:
             return let(at.cast("int"), lambda i: F.when(F.get(keys, i) == key, F.get(values, i)).otherwise(otherwise))
 
         return let(F.crc32(key), lambda crc: look(crc % self.size, look(
-            F.shiftright(crc * SPREAD, 20) % self.size, F.lit(None).cast("string"))))
-
-
-def literal_array(values: list[str]) -> Column:
-    return F.split(F.lit(",".join(values)), ",")
+            F.shiftright(crc * SPREAD, 20) % self.size, F.lit(None))))
 
 
 class PairTable:
-    """Ranks of the pairs of tokens that join to a token, in one literal array of numbers, bound
+    """Ranks of the pairs of tokens that join to a token, in one constant array of numbers, bound
     once with ``let``: the ids of the 256 bytes; for each id where its row begins; then the rows,
     each in gaps of the others, a cell being the left id and the rank. So a look-up is two
     reads of an array, and no strings are made."""
@@ -159,7 +170,11 @@ class PairTable:
             cells[at + right] = (left << RANK_BITS) + np.fromiter(row.values(), np.int64)
         begin[begin >= 0] += 256 + self.names
         bytes_ = [ranks.get(bytes((b,)), -1) for b in range(256)]
-        self.array = literal_array([str(v) for v in (*bytes_, *begin.tolist(), *cells.tolist())]).cast("array<long>")
+        self.values = pa.array(np.concatenate([np.asarray(bytes_, np.int64), begin, cells]))
+
+    @property
+    def array(self) -> Column:
+        return literal_array(self.values)
 
     def gap(self, cells: np.ndarray, right: np.ndarray, draws: np.random.Generator) -> int:
         """A place where a row fits; two thirds of the cells stay free."""
@@ -278,15 +293,15 @@ def is_long(word: Column) -> Column:
     return F.octet_length(word) > LONG
 
 
-def common_words(words: DataFrame, fold: RankFold, tokens: set[str], limit: int) -> dict[str, str]:
-    """Ids, with commas, of the ``limit`` commonest words that are no tokens; ``words`` has arrays
+def common_words(words: DataFrame, fold: RankFold, tokens: set[str], limit: int) -> dict[str, list[int]]:
+    """Ids of the ``limit`` commonest words that are no tokens; ``words`` has arrays
     of words."""
     word = F.col("word")
     counted = words.select(F.explode("words").alias("word")).filter(~is_long(word)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(limit).repartition(words.sparkSession.sparkContext.defaultParallelism)
-    ids = let(fold.map.array, lambda t: fold.ids(t, digits(word)))
-    coded = top.select("word", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
-    return {r.word: r.ids for r in coded.collect() if r.word not in tokens}
+    ids = let(F.col("pairs"), lambda t: fold.ids(t, digits(word)))
+    coded = with_constants(top, pairs=fold.map.values).select("word", F.array_join(ids.cast("array<string>"), ",").alias("ids"))  # small in the driver
+    return {word: [int(i) for i in listed.split(",")] for word, listed in coded.collect() if word not in tokens}
 
 
 def encode_bytes(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -305,16 +320,14 @@ def encode_bytes(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     both = split(docs).select("doc_id", "words", F.filter("words", is_long).alias("long")).withColumn("long_ids", heap("long"))
 
     def ids(table: Column, keys: Column, values: Column, word: Column) -> Column:
-        """The ids of a word, with commas."""
+        """The ids of a word."""
         listed = F.get(F.col("long_ids"), F.array_position("long", word).cast("int") - 1)
         found = lambda: F.when(is_long(word), listed).otherwise(fold.ids(table, digits(word)))
-        return let(known.get(keys, values, word), lambda k: F.when(k.isNotNull(), k).otherwise(
-            F.array_join(found().cast("array<string>"), ",")))
+        return let(known.get(keys, values, word), lambda k: F.when(k.isNotNull(), k).otherwise(found()))
 
-    written = known.bind(lambda keys, values: let(fold.map.array, lambda table: F.array_join(F.transform(
-        "words", lambda word: ids(table, keys, values, word)), ",")))
-    return both.select("doc_id", F.when(F.size("words") > 0, F.split(written, ",").cast("array<int>")).otherwise(
-        F.array().cast("array<int>")).alias("ids"))
+    written = let(F.col("known_keys"), lambda keys: let(F.col("known_ids"), lambda values: let(F.col("pairs"), lambda table: F.flatten(
+        F.transform("words", lambda word: ids(table, keys, values, word))))))
+    return with_constants(both, known_keys=known.keys, known_ids=known.values, pairs=fold.map.values).select("doc_id", written.cast("array<int>").alias("ids"))
 
 
 def decode_bytes(encoded: DataFrame, path: str) -> DataFrame:
@@ -322,17 +335,22 @@ def decode_bytes(encoded: DataFrame, path: str) -> DataFrame:
     ranks = read_ranks(path)
     names = [""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
-        names[rank] = piece.hex()
-    pieces = literal_array(names)
-    return encoded.withColumn("decoded", F.unhex(F.array_join(F.transform("ids", lambda i: F.get(pieces, i)), "")))
+        names[rank] = piece.decode("ISO-8859-1")
+    letters = let(F.col("pieces"), lambda pieces: F.array_join(F.transform("ids", lambda i: F.get(pieces, i)), ""))
+    return with_constants(encoded, pieces=pa.array(names)).select(*encoded.columns, F.encode(letters, "ISO-8859-1").alias("decoded"))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     """Counts and digests; an id is four bytes, the lowest first."""
-    halves = literal_array([n.to_bytes(2, "little").hex() for n in range(1 << 16)])
-    written = let(halves, lambda half: F.transform("ids", lambda i: F.concat(
-        F.get(half, i.bitwiseAND(0xFFFF)), F.get(half, F.shiftright(i, 16)))))
-    return decoded.select(
+    halves = with_constants(decoded, halves=pa.array([n.to_bytes(2, "little").decode("ISO-8859-1") for n in range(1 << 16)]))
+
+    def letters(half: Column) -> Column:
+        """Ids of two bytes have the two zeros between them; the last two follow."""
+        short = F.concat(F.array_join(F.transform("ids", lambda i: F.get(half, i)), "\0\0"), F.when(F.size("ids") > 0, "\0\0").otherwise(""))
+        long = F.array_join(F.transform("ids", lambda i: F.concat(F.get(half, i.bitwiseAND(0xFFFF)), F.get(half, F.shiftright(i, 16)))), "")
+        return F.when(F.coalesce(F.array_max("ids"), F.lit(0)) < 1 << 16, short).otherwise(long)
+
+    return halves.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.unhex(F.array_join(written, "")), 256).alias("ids_sha256"),
+        F.sha2(F.encode(let(F.col("halves"), letters), "ISO-8859-1"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -89,3 +89,16 @@ def test_pair_table_and_literal_map(spark):
     asked = [*words, "w1", "", "unknown"]
     found = spark.createDataFrame([(w,) for w in asked], "w string").select("w", known.bind(lambda k, v: known.get(k, v, F.col("w"))).alias("v"))
     assert not known.left_out and {r.w: r.v or None for r in found.collect()} == {w: words.get(w) for w in asked}
+
+
+def test_plans_name_their_constants(spark):
+    """The text of a plan, which Spark's listeners keep in the driver, does not list the tables."""
+    made = bytebpe.digests(bytebpe.decode_bytes(encoded(spark, [(1, "some unheardof words")]), PATH))
+    assert len(made._jdf.queryExecution().executedPlan().toString()) < 100_000
+
+
+def test_digests_of_large_ids(spark):
+    rows = [(1, [3, 70_000, 0]), (2, [65_535]), (3, [65_536]), (4, []), (5, [0, 1])]
+    got = bytebpe.digests(spark.createDataFrame([(i, ids, bytearray(b"x")) for i, ids in rows], "doc_id long, ids array<int>, decoded binary"))
+    assert {r.doc_id: r.ids_sha256 for r in got.collect()} == {
+        i: hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest() for i, ids in rows}
