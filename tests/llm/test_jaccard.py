@@ -1,5 +1,6 @@
 import collections
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -110,3 +111,11 @@ def test_vectors_pass_through_small():
     large = np.asarray([0, 255, 256, 1 << 20])
     assert np.array_equal(jaccard.vector(jaccard.vector_blob(large)), large)
     assert not len(jaccard.vector(jaccard.vector_blob(np.zeros(0, np.int64))))
+
+
+def test_only_what_the_result_reads_stays(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    found = jaccard.similar_documents(frame(spark, prose(4, 6)))
+    assert sorted(p.name.split("-")[1] for p in set(folder.iterdir()) - before if p.is_dir()) == ["classes", "sets"]
+    assert found.count() == len(prose(4, 6))
