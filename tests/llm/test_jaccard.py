@@ -119,3 +119,41 @@ def test_only_what_the_result_reads_stays(spark):
     found = jaccard.similar_documents(frame(spark, prose(4, 6)))
     assert sorted(p.name.split("-")[1] for p in set(folder.iterdir()) - before if p.is_dir()) == ["classes", "sets"]
     assert found.count() == len(prose(4, 6))
+
+
+def test_a_linked_set_shares_what_it_needs():
+    rng = np.random.default_rng(5)
+    met = 0
+    for n in [4, 5, 6, 7, 9, 12, 20, 41, 42, 100, 333, 549]:
+        for _ in range(30):
+            a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            drop = rng.integers(0, n // 9 + 1)
+            b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 62, rng.integers(0, n // 9 + 1)).astype(np.uint64)]))
+            if np.array_equal(a, b) or not jaccard.linked(len(np.intersect1d(a, b)), len(a), len(b)):
+                continue
+            met += 1
+            for common in (None, rng.permutation(a)[:rng.integers(0, n)]):
+                keys, place, slot, needs = jaccard.group_contents(np.concatenate([a, b]), np.asarray([len(a), len(b)]), common)
+                for one, other in ((0, 1), (1, 0)):
+                    shared = (place == one) & np.isin(keys, keys[place == other])
+                    assert (shared & (slot == jaccard.OWN)).sum() >= needs[0, one] or (shared & (slot == jaccard.NEXT)).sum() >= needs[1, one]
+    assert met > 100
+
+
+def test_a_quoted_passage_makes_no_cluster(spark):
+    """Texts that share a third of their shingles meet, but are no points of a tree; copies stay."""
+    words = lambda i, n: [f"w{i}x{k}" for k in range(n)]
+    rows = [(i, " ".join(words(i, 300) + words(f"q{i // 3}", 150))) for i in range(30)]
+    rows += [(100 + i, " ".join(words(f"near{i // 2}", 300) + words(100 + i, 20))) for i in range(10)]
+    docs = jaccard.id_and_text(frame(spark, rows))
+    found = jaccard.meetings(jaccard.candidate_edges(docs, 20_000, 24, np.zeros(0, np.uint64))).collect()
+    assert sum(r.a == r.b for r in found) > 20 and sum(r.a == r.b and r.able for r in found) == 10
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.similar_documents(docs).collect()}
+    assert {i: r[:2] for i, r in got.items()} == brute(rows) and got[100][2] == 1 and got[0][2] == 0
+
+
+def test_texts_of_others_are_not_shuffled(spark):
+    docs = jaccard.id_and_text(frame(spark, [(i, f"text {i}") for i in range(2_000)]))
+    nodes = docs.filter("doc_id % 100 = 0").select("doc_id")
+    ids = {r.doc_id for r in jaccard.chosen_texts(docs, nodes).collect()}
+    assert {i for i in range(0, 2_000, 100)} <= ids and len(ids) < 200
