@@ -23,9 +23,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near copies."""
-    kept = jaccard.similar_documents(docs, count_links=False).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(stage(kept, "kept"), docs["doc_id"] == F.col("_kept"), "left") \
-               .filter(F.col("_kept").isNotNull() | docs["doc_id"].isNull()).select(*[docs[c] for c in docs.columns])
+    least = jaccard.similar_documents(docs, count_links=False).filter("doc_id IS NOT NULL") \
+                   .groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return jaccard.without(docs, stage(least.filter("NOT kept").select("doc_id"), "near-copies"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import collections
 import re
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowguard.llm import jaccard
 from flowguard.llm.graph import components
@@ -157,3 +159,23 @@ def test_texts_of_others_are_not_shuffled(spark):
     nodes = docs.filter("doc_id % 100 = 0").select("doc_id")
     ids = {r.doc_id for r in jaccard.chosen_texts(docs, nodes).collect()}
     assert {i for i in range(0, 2_000, 100)} <= ids and len(ids) < 200
+
+
+def test_rows_left_out_by_id(spark):
+    """Rows of other ids and those without one stay, whatever the other columns are called; texts of rows off the filter meet no join."""
+    rows = [(i % 1_500, f"text {i}") for i in range(2_000)] + [(None, "no id")]
+    docs = frame(spark, rows).withColumn("hit", F.lit(1))
+    ids = docs.filter("doc_id % 100 = 0").select("doc_id").distinct()
+    got = jaccard.without(docs, ids)
+    assert got.columns == docs.columns
+    assert sorted(map(repr, got.collect())) == sorted(repr(r) for r in docs.collect() if r.doc_id is None or r.doc_id % 100)
+
+
+def test_hashing_a_block_takes_little_memory():
+    text = "abcd " * (jaccard.BLOCK // 5)
+    jaccard.shingle_sets([text])
+    tracemalloc.start()
+    jaccard.shingle_sets([text])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8e6 and jaccard.BATCH_BYTES <= 2 << 20
