@@ -11,8 +11,7 @@ Tokens and common words are looked up whole in a second constant. The words are
 folded where they stand. So no text is shuffled, and the results depend on neither. A cut of over
 ``LONG`` bytes, where a fold would be quadratic, is merged by a heap in an Arrow batch.
 
-Decoding looks up the piece of each id in a constant array and concatenates the pieces; bytes are
-letters of ISO-8859-1 until then.
+Decoding takes the pieces of all ids of an Arrow batch at once and cuts them by rows.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; repeated rows are
 encoded one by one; an empty table gives an empty table; a text may be of any length; only the id
@@ -26,13 +25,15 @@ import heapq
 import zlib
 from collections import Counter
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from flowguard.llm.common import id_and_text
 
@@ -101,7 +102,7 @@ class LiteralMap:
     slots that its crc32 names, the value beside it."""
 
     def __init__(self, entries: dict):
-        size = 16 + 11 * len(entries) // 5
+        size = 1 << (16 + 11 * len(entries) // 5).bit_length()
         slots: list[str | None] = [None] * size
         held = Counter()
         self.left_out: list[str] = []
@@ -112,12 +113,13 @@ class LiteralMap:
                 self.left_out.append(key)
         self.size = size
         self.keys = pa.array(slots, pa.string())
-        self.values = pa.array([None if k is None else entries[k] for k in slots])
+        values = pa.array([None if k is None else entries[k] for k in slots])
+        self.values = values.cast(pa.list_(pa.int32())) if pa.types.is_list(values.type) else values
 
     @staticmethod
     def places(key: str, size: int) -> tuple[int, int]:
         crc = zlib.crc32(key.encode())
-        return crc % size, (crc * SPREAD >> 20) % size
+        return crc & size - 1, crc * SPREAD >> 20 & size - 1
 
     def put(self, slots: list, key: str) -> bool:
         """Place a key; keys in its way go to their other slot, and back if that does not end."""
@@ -139,16 +141,16 @@ class LiteralMap:
 
     def get(self, keys: Column, values: Column, key: Column) -> Column:
         """The value of a key that is not empty, null without one; ``keys``, ``values``: bound literals."""
-        def look(at: Column, otherwise: Column) -> Column:
-            return let(at.cast("int"), lambda i: F.when(F.get(keys, i) == key, F.get(values, i)).otherwise(otherwise))
+        def look(hashed: Column, otherwise: Column) -> Column:
+            at = hashed.bitwiseAND(self.size - 1)
+            return F.when(F.get(keys, at) == key, F.get(values, at)).otherwise(otherwise)
 
-        return let(F.crc32(key), lambda crc: look(crc % self.size, look(
-            F.shiftright(crc * SPREAD, 20) % self.size, F.lit(None))))
+        return let(F.crc32(key), lambda crc: look(crc, look(F.shiftright(crc * SPREAD, 20), F.lit(None))))
 
 
 class PairTable:
     """Ranks of the pairs of tokens that join to a token, in one constant array of numbers, bound
-    once with ``let``: the ids of the 256 bytes; for each id where its row begins; then the rows,
+    once with ``let``: for each id where its row begins; the ids of the 256 bytes; then the rows,
     each in gaps of the others, a cell being the left id and the rank. So a look-up is two
     reads of an array, and no strings are made."""
 
@@ -170,7 +172,7 @@ class PairTable:
             cells[at + right] = (left << RANK_BITS) + np.fromiter(row.values(), np.int64)
         begin[begin >= 0] += 256 + self.names
         bytes_ = [ranks.get(bytes((b,)), -1) for b in range(256)]
-        self.values = pa.array(np.concatenate([np.asarray(bytes_, np.int64), begin, cells]))
+        self.values = pa.array(np.concatenate([begin, np.asarray(bytes_, np.int64), cells]))
 
     @property
     def array(self) -> Column:
@@ -184,11 +186,14 @@ class PairTable:
             if fits.any():
                 return int(at[fits.argmax()])
 
+    def byte(self, table: Column, digit: Column) -> Column:
+        return F.get(table, digit + self.names)
+
     def rank(self, table: Column, left: Column, right: Column) -> Column:
         """The rank of a pair; ``NO_RANK`` if it joins to nothing or one of the two is missing."""
-        cell = F.get(table, (F.get(table, (left + 256).cast("int")) + right).cast("int"))
-        return let(cell - F.shiftleft(left, RANK_BITS), lambda r: F.when(r.between(0, NO_RANK), r).otherwise(
-            F.lit(NO_RANK).cast("long")))
+        # A cell of another left id differs by less than zero or by more than any rank.
+        cell = F.get(table, F.get(table, left) + right)
+        return F.least((cell - F.shiftleft(left, RANK_BITS)).bitwiseAND((1 << 63) - 1), F.lit(NO_RANK).cast("long"))
 
 
 class RankFold:
@@ -205,7 +210,7 @@ class RankFold:
 
     def element(self, table: Column, piece: Column, after: Column) -> Column:
         """A piece (its place and id) with the rank it has with the id ``after``."""
-        return F.shiftleft(self.map.rank(table, self.name(piece), after), LOW_BITS) + piece
+        return F.shiftleft(self.map.rank(table, self.name(piece), after), LOW_BITS).bitwiseOR(piece)
 
     def ids(self, table: Column, digits: Column) -> Column:
         """Ids of a word of at least one byte, given as ``digits``."""
@@ -215,27 +220,28 @@ class RankFold:
             return F.aggregate(pieces, begin, lambda state, _: self.merged(table, state))
 
         head = F.array(F.lit((1 << RANK_BITS) - 1).cast("long"))
-        pieces = F.concat(head, F.transform(digits, lambda d, i: F.get(table, d) + F.shiftleft(i + 1, RANK_BITS)))
+        pieces = F.concat(head, F.transform(digits, lambda d, i: self.map.byte(table, d).bitwiseOR(F.shiftleft((i + 1).cast("long"), RANK_BITS))))
         return let(let(pieces, fold), lambda done: F.transform(F.slice(done, F.lit(2), F.size(done)), lambda e: self.name(e).cast("int")))
 
     def merged(self, table: Column, state: Column) -> Column:
         """The state after one merge; without a pair to merge, the state itself."""
-        low = lambda e: e.bitwiseAND((1 << LOW_BITS) - 1)
+        place = lambda e: e.bitwiseAND((1 << LOW_BITS) - (1 << RANK_BITS))
 
-        def join(least: Column, at: Column) -> Column:
-            """``at``: place of the pair's left piece, from 1; the rank is the id of the joined piece."""
-            return let(F.shiftright(least, LOW_BITS), lambda r: let(F.get(state, at - 2), lambda before: let(F.get(state, at), lambda right: let(
-                F.get(state, at + 1), lambda after: swapped(least, at, before, right, self.element(table, low(before), r), self.element(
-                    table, low(least) - self.name(least) + r, self.name(after)))))))
+        def join(least: Column, begin: Column, n: Column) -> Column:
+            """``begin``: place of the pair; ``n``: pieces before it; the rank is the id of the joined piece."""
+            rank = F.shiftright(least, LOW_BITS)
+            return let(F.get(state, n - 1), lambda before: let(F.get(state, n + 1), lambda right: swapped(
+                least, before, right, n, self.element(table, before.bitwiseAND((1 << LOW_BITS) - 1), rank),
+                self.element(table, begin.bitwiseOR(rank), self.name(F.get(state, n + 2))))))
 
-        def swapped(least, at, before, right, *made):
+        def swapped(least, before, right, n, *made):
             # No two elements are equal, as each has its own place.
-            steps = [lambda a: F.array_remove(a, right), lambda a: F.array_remove(a, least), lambda a: F.array_remove(a, before),
-                     lambda a: F.array_insert(a, at - 1, made[0]), lambda a: F.array_insert(a, at, made[1])]
-            return reduce(let, steps, state)
+            removed = F.array_remove(F.array_remove(F.array_remove(state, right), least), before)
+            return F.array_insert(F.array_insert(removed, n, made[0]), n + 1, made[1])
 
-        return let(F.array_min(state), lambda least: F.when(least < NO_RANK << LOW_BITS, let(
-            F.array_position(state, least).cast("int"), lambda at: join(least, at))).otherwise(state))
+        # The pair's place is counted: array_position leaves its loop by an exception, which costs more than the rest of a merge.
+        return let(F.array_min(state), lambda least: F.when(least < NO_RANK << LOW_BITS, let(place(least), lambda begin: let(
+            F.size(F.filter(state, lambda e: place(e) < begin)), lambda n: join(least, begin, n)))).otherwise(state))
 
 
 def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -285,8 +291,7 @@ def cuts(text: Column, pattern: str) -> Column:
 
 def digits(word: Column) -> Column:
     """The bytes of a word as numbers."""
-    return let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), lambda letters: F.transform(
-        F.sequence(F.lit(1), F.length(letters)), lambda i: F.ascii(F.substring(letters, i, F.lit(1)))))
+    return F.transform(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), F.ascii)
 
 
 def is_long(word: Column) -> Column:
@@ -322,35 +327,56 @@ def encode_bytes(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     def ids(table: Column, keys: Column, values: Column, word: Column) -> Column:
         """The ids of a word."""
         listed = F.get(F.col("long_ids"), F.array_position("long", word).cast("int") - 1)
-        found = lambda: F.when(is_long(word), listed).otherwise(fold.ids(table, digits(word)))
-        return let(known.get(keys, values, word), lambda k: F.when(k.isNotNull(), k).otherwise(found()))
+        return F.coalesce(known.get(keys, values, word), F.when(is_long(word), listed).otherwise(fold.ids(table, digits(word))))
 
     written = let(F.col("known_keys"), lambda keys: let(F.col("known_ids"), lambda values: let(F.col("pairs"), lambda table: F.flatten(
         F.transform("words", lambda word: ids(table, keys, values, word))))))
-    return with_constants(both, known_keys=known.keys, known_ids=known.values, pairs=fold.map.values).select("doc_id", written.cast("array<int>").alias("ids"))
+    return with_constants(both, known_keys=known.keys, known_ids=known.values, pairs=fold.map.values).select("doc_id", written.alias("ids"))
+
+
+@lru_cache(maxsize=2)
+def read_pieces(path: str) -> pa.Array:
+    """Pieces by id, then an empty one for ids that have none."""
+    pieces = {rank: piece for piece, rank in read_ranks(path).items()}
+    return pa.array([pieces.get(i, b"") for i in range(max(pieces) + 2)], pa.binary())
+
+
+def per_row(ids: pa.Array, ends: np.ndarray, data: pa.Buffer) -> pa.Array:
+    """One binary per list of ``ids``; ``ends``: where in ``data`` the bytes of each flattened id begin, and the end."""
+    rows = np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+    made = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends[rows].astype(np.int32)), data])
+    return pc.if_else(ids.is_valid(), made, None) if ids.null_count else made
+
+
+def piece_bytes(path: str):
+    """The pieces of the ids of an array, one after the other."""
+    @F.arrow_udf(BinaryType())
+    def decode(ids: pa.Array) -> pa.Array:
+        pieces = read_pieces(path)
+        flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+        none = len(pieces) - 1
+        taken = pieces.take(pa.array(np.where((flat < 0) | (flat > none), none, flat)))
+        _, ends, data = taken.buffers()
+        ends = np.frombuffer(ends, np.int32, len(taken) + 1, 4 * taken.offset) if len(taken) else np.zeros(1, np.int32)
+        return per_row(ids, ends, data or pa.py_buffer(b""))
+
+    return decode
+
+
+@F.arrow_udf(BinaryType())
+def id_bytes(ids: pa.Array) -> pa.Array:
+    """The ids of an array, four bytes each, the lowest first."""
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+    return per_row(ids, 4 * np.arange(len(flat) + 1, dtype=np.int64), pa.py_buffer(flat.tobytes()))
 
 
 def decode_bytes(encoded: DataFrame, path: str) -> DataFrame:
     """Adds the bytes that the pieces of the ids make."""
-    ranks = read_ranks(path)
-    names = [""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        names[rank] = piece.decode("ISO-8859-1")
-    letters = let(F.col("pieces"), lambda pieces: F.array_join(F.transform("ids", lambda i: F.get(pieces, i)), ""))
-    return with_constants(encoded, pieces=pa.array(names)).select(*encoded.columns, F.encode(letters, "ISO-8859-1").alias("decoded"))
+    return encoded.withColumn("decoded", piece_bytes(path)("ids"))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     """Counts and digests; an id is four bytes, the lowest first."""
-    halves = with_constants(decoded, halves=pa.array([n.to_bytes(2, "little").decode("ISO-8859-1") for n in range(1 << 16)]))
-
-    def letters(half: Column) -> Column:
-        """Ids of two bytes have the two zeros between them; the last two follow."""
-        short = F.concat(F.array_join(F.transform("ids", lambda i: F.get(half, i)), "\0\0"), F.when(F.size("ids") > 0, "\0\0").otherwise(""))
-        long = F.array_join(F.transform("ids", lambda i: F.concat(F.get(half, i.bitwiseAND(0xFFFF)), F.get(half, F.shiftright(i, 16)))), "")
-        return F.when(F.coalesce(F.array_max("ids"), F.lit(0)) < 1 << 16, short).otherwise(long)
-
-    return halves.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.encode(let(F.col("halves"), letters), "ISO-8859-1"), 256).alias("ids_sha256"),
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(id_bytes("ids"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

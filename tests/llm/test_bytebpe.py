@@ -102,3 +102,22 @@ def test_digests_of_large_ids(spark):
     got = bytebpe.digests(spark.createDataFrame([(i, ids, bytearray(b"x")) for i, ids in rows], "doc_id long, ids array<int>, decoded binary"))
     assert {r.doc_id: r.ids_sha256 for r in got.collect()} == {
         i: hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest() for i, ids in rows}
+
+
+def test_merges_search_no_place_by_exception(spark):
+    """``array_position`` leaves its loop by an exception when it finds an element, the dearest step of a merge."""
+    fold = bytebpe.RankFold({b"a": 0, b"b": 1, b"ab": 2})
+    made = spark.range(1).select(bytebpe.let(fold.map.array, lambda t: fold.ids(t, bytebpe.digits(F.lit("abab")))).alias("ids"))
+    assert "array_position" not in made._jdf.queryExecution().analyzed().toString()
+    assert made.collect()[0].ids == [2, 2]
+
+
+def test_decoding_runs_in_batches_without_constants(spark):
+    ranks = bytebpe.read_ranks(PATH)
+    some = sorted(ranks.items(), key=lambda r: -len(r[0]))[:50]
+    rows = [(1, [r for _, r in some]), (2, None), (3, []), (4, [-1, ranks[b"a"], len(ranks) + 70_000]), (5, [ranks[b"b"]])] * 7
+    made = bytebpe.decode_bytes(spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1), PATH)
+    assert {(r.doc_id, r.decoded and bytes(r.decoded)) for r in made.collect()} == {
+        (1, b"".join(p for p, _ in some)), (2, None), (3, bytearray()), (4, b"a"), (5, b"b")}
+    plan = bytebpe.digests(made)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "ubquery" not in plan
