@@ -117,7 +117,7 @@ def test_decoding_runs_in_batches_without_constants(spark):
     some = sorted(ranks.items(), key=lambda r: -len(r[0]))[:50]
     rows = [(1, [r for _, r in some]), (2, None), (3, []), (4, [-1, ranks[b"a"], len(ranks) + 70_000]), (5, [ranks[b"b"]])] * 7
     made = bytebpe.decode_bytes(spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1), PATH)
-    assert {(r.doc_id, r.decoded and bytes(r.decoded)) for r in made.collect()} == {
-        (1, b"".join(p for p, _ in some)), (2, None), (3, bytearray()), (4, b"a"), (5, b"b")}
+    assert {(r.doc_id, None if r.decoded is None else bytes(r.decoded)) for r in made.collect()} == {
+        (1, b"".join(p for p, _ in some)), (2, None), (3, b""), (4, b"a"), (5, b"b")}
     plan = bytebpe.digests(made)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "ubquery" not in plan
