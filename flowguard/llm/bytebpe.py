@@ -239,7 +239,7 @@ class RankFold:
             removed = F.array_remove(F.array_remove(F.array_remove(state, right), least), before)
             return F.array_insert(F.array_insert(removed, n, made[0]), n + 1, made[1])
 
-        # The pair's place is counted: array_position leaves its loop by an exception, which costs more than the rest of a merge.
+        # The pair's place is counted: array_position leaves its loop by an exception, which was the dearest step of a merge.
         return let(F.array_min(state), lambda least: F.when(least < NO_RANK << LOW_BITS, let(place(least), lambda begin: let(
             F.size(F.filter(state, lambda e: place(e) < begin)), lambda n: join(least, begin, n)))).otherwise(state))
 
