@@ -302,3 +302,58 @@ def test_classifiers(spark, planted, make, trees, depth, balanced):
     assert get_threshold(model) == 0.99
     top = top_features(feature_importance(spark, model, ["signal", "noise"]), 1).collect()
     assert [r["feature"] for r in top] == ["signal"]
+
+
+def test_boosted_trees_equal_sparks(spark, monkeypatch):
+    """Without draws the trees, probabilities and importances are those of Spark's trees, in any number of tasks. Every
+    row has a weight of its own, or equal counts would leave the choice between two cuts to rounding."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from flowguard.models import boosting
+    from flowguard.models.classifier import AttackProbability
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=3_000), rng.integers(0, 5, 3_000), np.where(rng.random(3_000) < 0.4, 1.5, rng.lognormal(size=3_000))])
+    y = (x[:, 0] + 0.3 * x[:, 1] * (x[:, 2] > 1.5) + rng.normal(scale=0.7, size=3_000) > 0.5).astype(int)
+    rows = [(i, r.tolist(), int(v), float(w)) for i, (r, v, w) in enumerate(zip(x, y, rng.uniform(0.5, 2, 3_000)))]
+    df = spark.createDataFrame(rows, "id int, x array<double>, Label int, weight double") \
+        .select("id", array_to_vector("x").alias("features"), "Label", "weight").repartition(5, "id").persist()
+
+    def fitted(estimator):
+        model = PipelineModel([estimator.fit(df), AttackProbability()])
+        importance = [r["importance"] for r in feature_importance(spark, model, ["a", "b", "c"]).collect()]
+        return column(model.transform(df), "proba"), column(model.transform(df), "decision"), importance
+
+    want = fitted(GBTClassifier(labelCol="Label", weightCol="weight", maxIter=6, maxDepth=4, stepSize=0.1))
+    for rows_per_task in (10_000, 700):
+        monkeypatch.setattr(boosting, "ROWS_PER_TASK", rows_per_task)
+        got = fitted(boosted_trees(trees=6, depth=4, rows=1.0, columns="all"))
+        assert got[0] == pytest.approx(want[0], abs=1e-9) and (got[1] == want[1]).all()
+        assert got[2] == pytest.approx(want[2], abs=1e-6)
+
+
+def test_boosted_trees_take_few_jobs(spark, planted, tmp_path):
+    """A fit is a handful of jobs, however many trees; saved and loaded it scores alike, and the leaves found by bits
+    are those of a walk."""
+    from flowguard.models.boosting import Scorer
+    df = planted[1]
+    spark.sparkContext.setJobGroup("boosted", "")
+    model = fit_classifier(df, boosted_trees(trees=40))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("boosted")) < 20
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    assert (column(again.transform(df), "proba") == column(model.transform(df), "proba")).all()
+    scorer = Scorer(**{k: model.stages[0].state[k] for k in ("feature", "cut", "leaf", "width")})
+    assert scorer(planted[0]) == pytest.approx(scorer._walked(planted[0]))
+    assert column(model.transform(df), "proba") == pytest.approx(1 / (1 + np.exp(-2 * scorer(planted[0]))))
+
+
+def test_boosted_trees_refuse_what_spark_refuses(spark):
+    rows = [(0, [1.0], 0), (1, [2.0], 1), (2, [3.0], None)]
+    df = spark.createDataFrame(rows, "id int, x array<double>, Label int").select("id", array_to_vector("x").alias("features"), "Label")
+    with pytest.raises(Exception, match="labels"):
+        fit_classifier(df, boosted_trees(trees=2))
+    with pytest.raises(ValueError):
+        fit_classifier(df.limit(0), boosted_trees(trees=2))
+    one = fit_classifier(df.where("id = 0"), boosted_trees(trees=2)).transform(df)
+    assert column(one, "decision").tolist() == [0, 0, 0]
