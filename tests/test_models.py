@@ -357,3 +357,18 @@ def test_boosted_trees_refuse_what_spark_refuses(spark):
         fit_classifier(df.limit(0), boosted_trees(trees=2))
     one = fit_classifier(df.where("id = 0"), boosted_trees(trees=2)).transform(df)
     assert column(one, "decision").tolist() == [0, 0, 0]
+
+
+def test_network_takes_few_jobs(spark, planted, monkeypatch):
+    """A fit is a handful of jobs, however many steps, and several tasks that add up their gradients give the weights
+    of one."""
+    from flowguard.models import recon
+    df = planted[1]
+    est = Reconstruction(method="mlp", layers=[6, 2, 6], epochs=6, batchSize=100, stepSize=1e-2, idCol="id")
+    spark.sparkContext.setJobGroup("network", "")
+    one = est.fit(df).state
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("network")) < 20
+    monkeypatch.setattr(recon, "ROWS_PER_TASK", 600)
+    four = est.fit(df).state
+    assert all(np.allclose(one[k], four[k], rtol=1e-6, atol=1e-9) for k in one)
