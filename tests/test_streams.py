@@ -101,6 +101,17 @@ def test_pause_equal_to_the_idle_time_joins(spark):
     assert [r[8] for r in got] == [2, 1, 2]
 
 
+def test_records_are_combined_without_python(spark, rows):
+    """Segments meet their records in Spark's own operators; NaN counts as a missing value."""
+    odd = [(*r[:3], float("nan") if r[3] is None else r[3], *r[4:]) for r in rows]
+    table = spark.createDataFrame(odd, SEGMENTS).repartition(3)
+    close(run_records(spark, table, 700, 3, "30 DAYS"), records(rows, 700))
+    folder = replay(table, "ts", 2, "segments")
+    stream = stream_flow_records(stream_table(spark, folder, "*.parquet", table.schema, 1), "ts", 700, KINDS.classes, taxonomy=KINDS)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "InPandas" not in plan and "TransformWithState" not in plan
+
+
 def test_session_stream_equals_batch(spark, rows):
     c = PacketColumns(ts="ts", length="total_packets")
     table = spark.createDataFrame(rows, SEGMENTS).select("flow_id", "ts", "total_packets", "Label")
